@@ -67,16 +67,17 @@ def two_sided_normal_p(z: Column) -> Column:
     return finite_or_null(_erfc_udf()(F.abs(z) / F.sqrt(F.lit(2.0))))
 
 
+def _decimals(v: Column, digits: int) -> Column:
+    # Unlike printf-style formatting this rounds the exact binary value, half to even.
+    return F.call_function("format_number", v, F.lit("0." + "0" * digits if digits else "0"))
+
+
 def fixed(x: Column, digits: int = 4) -> Column:
     """Fixed-decimal text, ``n/a`` when missing."""
-    v = finite_or_null(x.cast("double"))
-    return F.coalesce(F.when(v.isNotNull(), F.format_string(f"%.{digits}f", v)), F.lit("n/a"))
+    return F.coalesce(_decimals(finite_or_null(x.cast("double")), digits), F.lit("n/a"))
 
 
 def percent(x: Column, digits: int = 3) -> Column:
     """Decimal return as percentage text, ``n/a`` when missing."""
-    v = finite_or_null(x.cast("double"))
-    return F.coalesce(
-        F.when(v.isNotNull(), F.concat(F.format_string(f"%.{digits}f", v * 100), F.lit("%"))),
-        F.lit("n/a"),
-    )
+    shown = F.concat(_decimals(finite_or_null(x.cast("double")) * 100, digits), F.lit("%"))
+    return F.coalesce(shown, F.lit("n/a"))

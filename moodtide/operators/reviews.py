@@ -33,21 +33,23 @@ def disagreement_queue(
     Texts are reduced to a digest of their key with the best (gap, review) of each, so copies
     combine before the shuffle; only the k winners then fetch their text.
     """
-    gaps = scored.where(disagreement().isNotNull())
     key = text_key(F.col("review_text"), compatibility_forms=compatibility_forms)
-    keyed = gaps.select(
-        key.alias("key"), disagreement().alias("disagreement"), "review_id"
-    ).where(F.col("key") != "")
-    rank = F.struct((-F.col("disagreement")).alias("g"), "review_id")
+    keyed = scored.select(key.alias("key"), disagreement().alias("gap"), "review_id")
+    # Unscored and empty texts get no rank. Filtering them first would score every text twice,
+    # as the filter would be evaluated below the scoring.
+    ranked = (F.col("key") != "") & F.col("gap").isNotNull()
+    rank = F.when(ranked, F.struct((-F.col("gap")).alias("g"), "review_id"))
     winners = (
-        keyed.groupBy(F.unhex(F.sha2("key", 256)).alias("digest"))
-        .agg(F.min(rank).alias("best"))
+        keyed.select(F.unhex(F.sha2("key", 256)).alias("digest"), rank.alias("rank"))
+        .groupBy("digest")
+        .agg(F.min("rank").alias("best"))
+        .where(F.col("best").isNotNull())
         .orderBy("best")
         .limit(top_k)
         .select(F.col("best.review_id").alias("review_id"))
     )
     # At most top_k ids, so the broadcast is bounded by construction.
-    rows = gaps.join(F.broadcast(winners), "review_id", "left_semi").select(
+    rows = scored.join(F.broadcast(winners), "review_id", "left_semi").select(
         "review_id",
         "date",
         "ticker",
@@ -76,9 +78,9 @@ def top_disagreement(scored: DataFrame, n: int) -> DataFrame:
     """The n reviews with the largest score gap, repeats included."""
     return (
         scored.withColumn("disagreement", disagreement())
-        .where(F.col("disagreement").isNotNull())
-        .orderBy(F.desc("disagreement"), "review_id")
+        .orderBy(F.desc_nulls_last("disagreement"), "review_id")
         .limit(n)
+        .where(F.col("disagreement").isNotNull())
     )
 
 

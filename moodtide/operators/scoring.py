@@ -58,38 +58,38 @@ def _clip(x: Column) -> Column:
 
 
 def _telling_words(words: Column, lex: Mapping[str, Mapping[str, float]]) -> Column:
-    """Only polarity words, and modifiers directly before one, in their order.
-
-    What is left keeps the meaning of "previous token", as long as no word is both.
-    """
-    polar = list(lex["polarity"])
-    modifiers = [*lex["intensifier"], *lex["negation"]]
-    if set(polar) & set(modifiers):
-        return words
-    if not modifiers:
-        return F.filter(words, lambda w: w.isin(polar))
-    return F.filter(
-        words,
-        lambda w, i: w.isin(polar) | (w.isin(modifiers) & F.get(words, i + 1).isin(polar)),
+    """Lexicon words with their position; the rest of the text is dropped in a cheap pass."""
+    known = sorted({w for kind in lex.values() for w in kind})
+    marked = F.transform(
+        words, lambda w, i: F.when(w.isin(known), F.struct(i.alias("at"), w.alias("word")))
     )
+    return F.array_compact(marked)
 
 
 def _scan_tokens(words: Column, lex: Mapping[str, Mapping[str, float]]) -> Column:
-    """One pass over a token array; the state holds the factor set by the previous token."""
+    """Mean weight over a token array; the state holds the last modifier and its position.
+
+    ``words`` occurs once in the result, so however the optimiser moves the expression, a text
+    is never split more than once per score.
+    """
     modifiers = {**lex["intensifier"], **lex["negation"]}
 
-    def step(acc: Column, word: Column) -> Column:
-        weight = _weight_of(word, lex["polarity"], None)
-        hit = weight.isNotNull()
-        value = _clip(weight * acc["factor"])
+    def step(acc: Column, hit: Column) -> Column:
+        weight = _weight_of(hit["word"], lex["polarity"], None)
+        polar = weight.isNotNull()
+        factor = F.when(acc["at"] == hit["at"] - 1, acc["factor"]).otherwise(1.0)
         return F.struct(
-            F.when(hit, acc["total"] + value).otherwise(acc["total"]).alias("total"),
-            F.when(hit, acc["hits"] + 1).otherwise(acc["hits"]).alias("hits"),
-            _weight_of(word, modifiers, 1.0).alias("factor"),
+            F.when(polar, acc["total"] + _clip(weight * factor)).otherwise(acc["total"]).alias("total"),
+            F.when(polar, acc["hits"] + 1).otherwise(acc["hits"]).alias("hits"),
+            _weight_of(hit["word"], modifiers, 1.0).alias("factor"),
+            hit["at"].alias("at"),
         )
 
     start = F.struct(
-        F.lit(0.0).alias("total"), F.lit(0).alias("hits"), F.lit(1.0).alias("factor")
+        F.lit(0.0).alias("total"),
+        F.lit(0).alias("hits"),
+        F.lit(1.0).alias("factor"),
+        F.lit(-1).alias("at"),
     )
     return F.aggregate(
         _telling_words(words, lex),

@@ -8,7 +8,7 @@ the topic matrix needs.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -47,24 +47,43 @@ def _transposed_product(cells: tuple, n_terms: int, left: np.ndarray) -> np.ndar
     return np.stack(cols, axis=1)
 
 
-def _sum_rows(partials: DataFrame, width: int, rows: int) -> np.ndarray:
-    """Add partial matrices by row number; at most ``rows`` x ``width`` numbers come back."""
-    cols = [f"c{j}" for j in range(width)]
-    summed = partials.groupBy("row").agg(*[F.sum(c).alias(c) for c in cols]).toPandas()
-    out = np.zeros((rows, width))
-    if len(summed):
-        out[summed["row"].to_numpy()] = summed[cols].to_numpy()
-    return out
+# Partial matrices that may reach the driver at once; more are added up in a tree first.
+_MAX_PARTIALS = 16
 
+_ROWS_PER_TASK = 20_000
 
-def _frame_of(total: np.ndarray) -> pd.DataFrame:
-    out = pd.DataFrame(total, columns=[f"c{j}" for j in range(total.shape[1])])
-    out.insert(0, "row", np.arange(len(total), dtype="int64"))
-    return out
+Partial = Callable[[Iterator[pd.DataFrame]], np.ndarray]
 
 
-def _partial_schema(width: int) -> str:
-    return "row long, " + ", ".join(f"c{j} double" for j in range(width))
+def _tree_sum(rows: DataFrame, partial: Partial) -> np.ndarray:
+    """Sum of one fixed-size matrix per task. ``partial`` folds the batches of a task into it."""
+
+    def first(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield _packed(partial(frames))
+
+    def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = _unpacked_sum(block for pdf in frames for block in zip(pdf["width"], pdf["cells"]))
+        if total is not None:
+            yield _packed(total)
+
+    n = rows.rdd.getNumPartitions()
+    out = rows.mapInPandas(first, "width int, cells binary")
+    while n > _MAX_PARTIALS:
+        n = max(_MAX_PARTIALS, int(np.ceil(np.sqrt(n))))
+        out = out.repartition(n).mapInPandas(merge, "width int, cells binary")
+    return _unpacked_sum((r["width"], r["cells"]) for r in out.collect())
+
+
+def _packed(total: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"width": [total.shape[1]], "cells": [total.astype("<f8").tobytes()]})
+
+
+def _unpacked_sum(blocks: Iterable[tuple[int, bytes]]) -> np.ndarray | None:
+    total = None
+    for width, cells in blocks:
+        block = np.frombuffer(cells, "<f8").reshape(-1, width)
+        total = block.copy() if total is None else total + block
+    return total
 
 
 def _right_vectors(matrix: DataFrame, n_terms: int, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,14 +92,14 @@ def _right_vectors(matrix: DataFrame, n_terms: int, k: int, seed: int) -> tuple[
     basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_terms, p)))[0]
 
     def apply(block: np.ndarray) -> np.ndarray:
-        def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def partial(frames: Iterator[pd.DataFrame]) -> np.ndarray:
             total = np.zeros((n_terms, p))
             for pdf in frames:
                 cells = _flat(pdf)
                 total += _transposed_product(cells, n_terms, _sparse_product(cells, len(pdf), block))
-            yield _frame_of(total)
+            return total
 
-        return _sum_rows(matrix.mapInPandas(partial, _partial_schema(p)), p, n_terms)
+        return _tree_sum(matrix, partial)
 
     for _ in range(_POWER_SWEEPS):
         basis = np.linalg.qr(apply(basis))[0]
@@ -98,15 +117,15 @@ def _start(
     scale = np.where(sigma > 0, 1.0 / np.where(sigma > 0, sigma, 1.0), 0.0)
     project = right * scale
 
-    def squares(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def squares(frames: Iterator[pd.DataFrame]) -> np.ndarray:
         total = np.zeros((2, k))
         for pdf in frames:
             u = _sparse_product(_flat(pdf), len(pdf), project)
             total[0] += (np.maximum(u, 0) ** 2).sum(axis=0)
             total[1] += (np.minimum(u, 0) ** 2).sum(axis=0)
-        yield _frame_of(total)
+        return total
 
-    norms = np.sqrt(_sum_rows(matrix.mapInPandas(squares, _partial_schema(k)), k, 2))
+    norms = np.sqrt(_tree_sum(matrix, squares))
     topics = np.zeros((k, n_terms))
     sign, factor = np.ones(k), np.zeros(k)
     topics[0] = np.sqrt(sigma[0]) * np.abs(right[:, 0])
@@ -175,8 +194,7 @@ def factorise(
 
     for sweep in range(1, max_iter + 1):
         since.append(topics)
-        partial = _sweep_sums(since, n_terms, k)
-        sums = _sum_rows(state.mapInPandas(partial, _partial_schema(k)), k, n_terms + k + 1)
+        sums = _tree_sum(state, _sweep_sums(since, n_terms, k))
         gram, target, violation = sums[n_terms : n_terms + k], sums[:n_terms], sums[n_terms + k, 0]
         columns = topics.T.copy()
         violation += _descend(columns, gram, target)
@@ -220,18 +238,18 @@ def _replayed(since: Sequence[np.ndarray], k: int):
     return rows
 
 
-def _sweep_sums(since: Sequence[np.ndarray], n_terms: int, k: int):
+def _sweep_sums(since: Sequence[np.ndarray], n_terms: int, k: int) -> Partial:
     """Partial V'W (one row per term), then W'W (k rows), then the violation."""
     since = list(since)
 
-    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sums(frames: Iterator[pd.DataFrame]) -> np.ndarray:
         out = np.zeros((n_terms + k + 1, k))
         for pdf in frames:
             cells, w, violation = _replay(pdf, since, k)
             out[:n_terms] += _transposed_product(cells, n_terms, w)
             out[n_terms : n_terms + k] += w.T @ w
             out[n_terms + k, 0] += violation
-        yield _frame_of(out)
+        return out
 
     return sums
 
@@ -298,7 +316,8 @@ def nmf_topics(
         matrix, terms = text_term_rows(weights, corpus, id_col)
         if len(terms) < k:
             return _topics_frame(spark, [])
-        matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
+        tasks = -(-n_docs // _ROWS_PER_TASK)
+        matrix = matrix.repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
         topics = factorise(
             matrix, n_docs, len(terms), k, seed=seed, max_iter=max_iter, tol=tol
         )

@@ -49,9 +49,9 @@ def merge_collisions(df: DataFrame, *, text_name: str = "review_text") -> DataFr
         elif name != text_name:
             out.append(F.coalesce(*same).alias(name))
         else:
-            values = F.transform(
-                _fullest_first(flat, same), lambda i: F.get(F.array(*same), i)
-            )
+            order = f"__order_{len(out)}"
+            flat = flat.withColumn(order, _fullest_first(flat, same))
+            values = F.transform(F.col(order), lambda i: F.get(F.array(*same), i))
             first = F.get(F.filter(values, lambda v: ~_blank(v)), F.lit(0))
             out.append(F.coalesce(first, F.element_at(values, -1)).alias(name))
     return flat.select(*out)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodtide.operators import panel as P
-from moodtide.operators.scoring import disagreement, lexicon_scorer, score_reviews
+from moodtide.operators.scoring import Scorer, disagreement, lexicon_scorer, score_reviews
 
 ENTITIES = ("click", "error", "purchase", "signup", "view")
 
@@ -59,11 +59,19 @@ def text_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_scorer(spark: SparkSession, which: int) -> Scorer:
+    """Lexicon scorer, rounded so that ties do not hang on the order of summation."""
+    score = lexicon_scorer(lexicon(spark, which))
+
+    def rounded(df: DataFrame, out: str) -> DataFrame:
+        return score(df, out).withColumn(out, F.round(out, 9))
+
+    return rounded
+
+
 def text_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_reviews(
-        text_reviews(spark, sf_dir),
-        lexicon_scorer(lexicon(spark, 0)),
-        lexicon_scorer(lexicon(spark, 1)),
+        text_reviews(spark, sf_dir), text_scorer(spark, 0), text_scorer(spark, 1)
     )
 
 
@@ -100,8 +108,9 @@ def long_market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per day and entity, persisted: small, and read by several branches of a query."""
     daily = P.daily_means(long_scored(spark, sf_dir), with_disagreement=True)
-    return P.add_lag(P.join_market(daily, long_market(spark, sf_dir)))
+    return P.add_lag(P.join_market(daily, long_market(spark, sf_dir))).persist()
 
 
 def long_reg(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,7 +75,7 @@ hits AS (
   JOIN lex ON t.token = lex.word LEFT JOIN mods ON t.prev = mods.word),
 means AS (SELECT id, avg(va) AS a, avg(vb) AS b FROM hits GROUP BY id),
 scored AS (
-  SELECT v.*, coalesce(m.a, 0.0)::DOUBLE AS score_a, coalesce(m.b, 0.0)::DOUBLE AS score_b
+  SELECT v.*, round(coalesce(m.a, 0.0)::DOUBLE, 9) AS score_a, round(coalesce(m.b, 0.0)::DOUBLE, 9) AS score_b
   FROM reviews v LEFT JOIN means m ON v.review_id = m.id)"""
 
 
@@ -668,7 +668,7 @@ SELECT ticker, (generate_subscripts(flags, 1) - 1)::INT AS position, unnest(flag
 _RULE_NUMBERS = ("a_first", "a_last", "a_sd", "b_mean", "r_a", "r_b", "end_gap", "rolling_sd", "holdout_r_a", "holdout_r_b",
                  "mean_abs_disagreement", "r_gap", "drift_size")
 register("verdict_rules", f"""
-WITH o AS (SELECT o_custkey, o_orderkey AS k, o_totalprice/500000 AS v FROM orders),
+WITH o AS (SELECT o_custkey, o_orderkey AS k, o_totalprice/499979 AS v FROM orders),
 s AS (SELECT o_custkey, count(*) AS n, arg_min(v, k) AS f, arg_max(v, k) AS l, min(v) AS lo, max(v) AS hi, avg(v) AS m FROM o GROUP BY 1),
 facts AS (
   SELECT o_custkey, n*3 AS n_days, f AS a_first, l AS a_last, CASE WHEN n > 2 THEN (hi - lo)/4 END AS a_sd,

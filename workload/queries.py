@@ -663,8 +663,8 @@ def verdict_facts_text(spark, d):
     result = report.run(
         X.text_reviews(spark, d),
         X.text_market(spark, d),
-        N.lexicon_scorer(X.lexicon(spark, 0)),
-        N.lexicon_scorer(X.lexicon(spark, 1)),
+        X.text_scorer(spark, 0),
+        X.text_scorer(spark, 1),
         report.Options(min_train=15),
     )
     return _flat(result.facts)
@@ -673,7 +673,7 @@ def verdict_facts_text(spark, d):
 def _window_statistics(spark, d):
     """Statistics of every customer from its orders, as inputs that reach all rule branches."""
     o = X.table(spark, d, "orders").select(
-        "o_custkey", F.col("o_orderkey").alias("k"), (F.col("o_totalprice") / 500000).alias("v")
+        "o_custkey", F.col("o_orderkey").alias("k"), (F.col("o_totalprice") / 499979).alias("v")
     )
     n = F.count(F.lit(1))
     by_key = F.struct("k")
@@ -722,8 +722,8 @@ def snapshot_json(spark, d):
     result = report.run(
         X.text_reviews(spark, d),
         X.text_market(spark, d),
-        N.lexicon_scorer(X.lexicon(spark, 0)),
-        N.lexicon_scorer(X.lexicon(spark, 1)),
+        X.text_scorer(spark, 0),
+        X.text_scorer(spark, 1),
         report.Options(min_train=15),
     )
     return result.entity_snapshots()
