@@ -63,7 +63,8 @@ def top_bigrams(
     stop_words: Sequence[str] | None = None,
 ) -> DataFrame:
     """Most frequent word pairs after stop-word removal; empty for fewer than ``min_docs`` texts."""
-    grams = corpus.select(bigrams(_content(text_col, stop_words)).alias("grams"))
+    tokenised = corpus.select(_content(text_col, stop_words).alias("words"))
+    grams = tokenised.select(bigrams(F.col("words")).alias("grams"))
     mention = [F.transform("grams", lambda g: F.struct(g.alias("phrase"), F.lit(1).alias("c"), F.lit(0).alias("d")))]
     if min_df > 1:
         # One extra mention per text and phrase counts the texts without a per-text shuffle.

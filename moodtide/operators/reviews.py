@@ -34,11 +34,12 @@ def disagreement_queue(
     combine before the shuffle; only the k winners then fetch their text.
     """
     key = text_key(F.col("review_text"), compatibility_forms=compatibility_forms)
-    keyed = scored.select(key.alias("key"), disagreement().alias("gap"), "review_id")
+    facts = ["date", "ticker", "score_a", "score_b"]
+    keyed = scored.select(key.alias("key"), disagreement().alias("gap"), "review_id", *facts)
     # Unscored and empty texts get no rank. Filtering them first would score every text twice,
     # as the filter would be evaluated below the scoring.
     ranked = (F.col("key") != "") & F.col("gap").isNotNull()
-    rank = F.when(ranked, F.struct((-F.col("gap")).alias("g"), "review_id"))
+    rank = F.when(ranked, F.struct((-F.col("gap")).alias("g"), "review_id", *facts))
     winners = (
         keyed.select(F.unhex(F.sha2("key", 256)).alias("digest"), rank.alias("rank"))
         .groupBy("digest")
@@ -46,20 +47,17 @@ def disagreement_queue(
         .where(F.col("best").isNotNull())
         .orderBy("best")
         .limit(top_k)
-        .select(F.col("best.review_id").alias("review_id"))
-    )
-    # At most top_k ids, so the broadcast is bounded by construction.
-    rows = scored.join(F.broadcast(winners), "review_id", "left_semi").select(
-        "review_id",
-        "date",
-        "ticker",
-        F.left("review_text", F.lit(max_chars)).alias("text"),
-        "score_a",
-        "score_b",
-        disagreement().alias("disagreement"),
+        .select("best.*")
     )
+    # At most top_k rows, so the broadcast is bounded by construction. The text side needs no
+    # scores, so nothing is scored again.
+    texts = scored.select("review_id", F.left("review_text", F.lit(max_chars)).alias("text"))
+    rows = texts.join(F.broadcast(winners), "review_id")
     return (
         first_per_key(rows, ["review_id"], [F.col("date"), F.col("ticker")])
+        .select(
+            "review_id", "date", "ticker", "text", "score_a", "score_b", (-F.col("g")).alias("disagreement")
+        )
         .orderBy(F.desc("disagreement"), "review_id")
         .limit(top_k)
     )
@@ -156,17 +154,16 @@ def exact_quantiles(
             F.struct(
                 F.lit(i).alias("q"),
                 F.lit(float(p)).alias("p"),
+                F.count(F.lit(1)).alias("n"),
                 F.when(small | (lo == 0.0), F.min("v")).otherwise(F.percentile_approx("v", lo, accuracy)).alias("lo"),
                 F.when(small | (hi == 1.0), F.max("v")).otherwise(F.percentile_approx("v", hi, accuracy)).alias("hi"),
             )
         )
-    sketch = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.array(*brackets).alias("b"))
+    sketch = rows.groupBy(*by).agg(F.array(*brackets).alias("b"))
     if by:
-        with_b = rows.join(sketch, list(by), "inner")
+        each = rows.join(sketch, list(by), "inner").select(*by, "v", F.inline("b"))
     else:
-        one = sketch.select(F.struct("n", "b")).scalar()
-        with_b = rows.withColumn("__s", one).select("v", "__s.n", "__s.b")
-    each = with_b.select(*by, "n", "v", F.inline("b"))
+        each = rows.select("v", F.inline(sketch.scalar()))
     # Values outside the bracket collapse to one row per group and side.
     side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
     counts = (
@@ -209,9 +206,8 @@ def tail_days(reg: DataFrame, quantile: float = 0.1, by: Sequence[str] = ()) ->
     if by:
         rows = rows.join(tails, list(by), "inner")
     else:
-        rows = rows.withColumn("__t", tails.select(F.struct("q_low", "q_high")).scalar()).select(
-            "date", "ticker", "ret", "__t.q_low", "__t.q_high"
-        )
+        one = tails.select(F.struct("q_low", "q_high")).scalar()
+        rows = rows.select("*", F.inline(F.array(one)).alias("q_low", "q_high"))
     beyond = (F.col("ret") <= F.col("q_low")) | (F.col("ret") >= F.col("q_high"))
     return rows.where(beyond).select("date", "ticker").distinct()
 
@@ -235,7 +231,10 @@ def tail_reviews(
     max_reviews: int | None = MAX_TAIL_REVIEWS,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Reviews of the tail days, sampled down to ``max_reviews`` (None keeps all)."""
+    """Reviews of the tail days, sampled down to ``max_reviews`` (None keeps all).
+
+    With a costly scorer, pass unscored reviews and score the result.
+    """
     rows = reviews_on_days(reviews, tail_days(reg, quantile, by))
     return rows if max_reviews is None else fixed_sample(rows, max_reviews)
 

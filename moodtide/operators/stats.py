@@ -31,9 +31,9 @@ def _attach(df: DataFrame, per_group: DataFrame, by: Sequence[str], columns: Seq
     """
     if by:
         return df.join(per_group.select(*by, *columns), list(by), "inner")
+    # Inlined as one generator, the subquery appears once in the plan, not once per column.
     one = per_group.select(F.struct(*columns)).scalar()
-    out = df.withColumn("__g", one)
-    return out.select(*df.columns, *[F.col("__g")[c].alias(c) for c in columns])
+    return df.select(*df.columns, F.inline(F.array(one)).alias(*columns))
 
 
 # -- correlation ------------------------------------------------------------------------

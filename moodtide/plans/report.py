@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -69,9 +70,13 @@ class Run:
     facts: DataFrame
     _persisted: list[DataFrame] = field(default_factory=list, repr=False)
 
+    @cached_property
     def corpus(self) -> DataFrame:
-        """Flagged reviews long enough to mine."""
-        return M.substantial(R.flagged_corpus(self.scored, self.reg, **self._corpus_options()))
+        """Flagged reviews long enough to mine; few, and persisted for the steps that follow."""
+        flagged = R.flagged_corpus(self.scored, self.reg, **self._corpus_options())
+        kept = M.substantial(flagged).persist(StorageLevel.MEMORY_AND_DISK)
+        self._persisted.append(kept)
+        return kept
 
     def corpus_source(self) -> DataFrame:
         slices = R.corpus_slices(self.scored, self.reg, **self._corpus_options())
@@ -85,12 +90,12 @@ class Run:
 
     def bigrams(self) -> DataFrame:
         return M.top_bigrams(
-            self.corpus(), self.options.bigram_top_n, stop_words=self.options.stop_words
+            self.corpus, self.options.bigram_top_n, stop_words=self.options.stop_words
         )
 
     def topics(self, **settings) -> DataFrame:
         return nmf_topics(
-            self.corpus(), self.options.n_topics, stop_words=self.options.stop_words, **settings
+            self.corpus, self.options.n_topics, stop_words=self.options.stop_words, **settings
         )
 
     def themes(self) -> DataFrame:
@@ -186,6 +191,15 @@ def json_in_name_order(columns: dict[str, Column]) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Doubles rounded to nine decimals.
+
+    Sums depend in their last bits on the order in which tasks finish; without rounding, the same
+    data would give a new fingerprint on every run.
+    """
+    return df.withColumns({c: F.round(c, 9) + 0.0 for c, t in df.dtypes if t == "double"})
+
+
 def fingerprint(text: Column) -> Column:
     """First 32 hex digits of the SHA-256 of a snapshot."""
     return F.substring(F.sha2(text, 256), 1, 32)
@@ -199,11 +213,11 @@ def entity_snapshots(
     by: Sequence[str] = ("ticker",),
 ) -> DataFrame:
     """One JSON snapshot with fingerprint per entity."""
-    out = facts
+    out = settled(facts)
     for name, part in (("regression", ols), ("holdout", holdout)):
         if part is not None:
             fields = sorted(c for c in part.columns if c not in by)
-            out = out.join(part.select(*by, F.struct(*fields).alias(name)), list(by), "left")
+            out = out.join(settled(part).select(*by, F.struct(*fields).alias(name)), list(by), "left")
     text = json_in_name_order({c: F.col(c) for c in out.columns})
     return out.select(*by, text.alias("snapshot")).withColumn("fingerprint", fingerprint(F.col("snapshot")))
 
@@ -216,11 +230,13 @@ def run_snapshot(result: Run, *, quotes: int = 12, with_topics: bool = False) ->
     first = P.first_entity(result.panel).select("ticker").limit(1).scalar()
 
     def one(df: DataFrame, drop: Sequence[str] = ("ticker",)) -> Column:
+        df = settled(df)
         rows = df.where(F.col("ticker") == first) if "ticker" in drop and "ticker" in df.columns else df
         return rows.select(F.struct(*sorted(c for c in df.columns if c not in drop))).limit(1).scalar()
 
     def listed(df: DataFrame, order: Sequence[str]) -> Column:
         fields = [*order, *sorted(c for c in df.columns if c not in order)]
+        df = settled(df)
         return df.agg(F.array_sort(F.collect_list(F.struct(*fields)))).scalar()
 
     o = result.options
@@ -233,7 +249,7 @@ def run_snapshot(result: Run, *, quotes: int = 12, with_topics: bool = False) ->
         "correlations": pooled,
         "volume": volume,
         "overlap": lap,
-        "mean_abs_disagreement": result.disagreement_mean.scalar(),
+        "mean_abs_disagreement": settled(result.disagreement_mean).scalar(),
         "worst_day": one(result.worst_day, ()),
         "best_day": one(result.best_day, ()),
         "first_entity": first,

@@ -64,7 +64,7 @@ def text_scorer(spark: SparkSession, which: int) -> Scorer:
     score = lexicon_scorer(lexicon(spark, which))
 
     def rounded(df: DataFrame, out: str) -> DataFrame:
-        return score(df, out).withColumn(out, F.round(out, 9))
+        return score(df, out).withColumn(out, F.round(out, 12))
 
     return rounded
 

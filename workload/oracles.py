@@ -75,7 +75,7 @@ hits AS (
   JOIN lex ON t.token = lex.word LEFT JOIN mods ON t.prev = mods.word),
 means AS (SELECT id, avg(va) AS a, avg(vb) AS b FROM hits GROUP BY id),
 scored AS (
-  SELECT v.*, round(coalesce(m.a, 0.0)::DOUBLE, 9) AS score_a, round(coalesce(m.b, 0.0)::DOUBLE, 9) AS score_b
+  SELECT v.*, round(coalesce(m.a, 0.0)::DOUBLE, 12) AS score_a, round(coalesce(m.b, 0.0)::DOUBLE, 12) AS score_b
   FROM reviews v LEFT JOIN means m ON v.review_id = m.id)"""
 
 

@@ -455,8 +455,9 @@ def tail_days(spark, d):
 
 @query
 def tail_reviews(spark, d):
-    """All reviews of tail days."""
-    rows = R.tail_reviews(X.text_scored(spark, d), X.text_reg(spark, d), max_reviews=None)
+    """All reviews of tail days, scored after the selection."""
+    rows = R.tail_reviews(X.text_reviews(spark, d), X.text_reg(spark, d), max_reviews=None)
+    rows = N.score_reviews(rows, X.text_scorer(spark, 0), X.text_scorer(spark, 1))
     return rows.select("review_id", "date", "ticker", "score_a", "score_b")
 
 
@@ -532,7 +533,8 @@ def corpus_provenance(spark, d):
 
 
 def _corpus(spark, d):
-    return M.substantial(R.flagged_corpus(X.text_scored(spark, d), X.text_reg(spark, d)))
+    """Persisted: at most a few hundred reviews, and read twice by some queries."""
+    return M.substantial(R.flagged_corpus(X.text_scored(spark, d), X.text_reg(spark, d))).persist()
 
 
 @query
