@@ -33,10 +33,14 @@ PLAIN_SPELLING = (
 ELLIPSIS = "…"
 
 
+# A run of word characters is a token when it consists of a-z only. The lookarounds keep a match
+# from starting or ending inside a longer run; the possessive repeat stops it from backing off.
+_TOKEN = r"(?<![\p{L}\p{N}_])[a-z]{2,}+(?![\p{L}\p{N}_])"
+
+
 def tokens(text: Column) -> Column:
     """Lower-case words: whole runs of word characters made of two or more a-z letters."""
-    runs = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
-    return F.filter(runs, lambda t: t.rlike("^[a-z]{2,}$"))
+    return F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
 
 
 def content_tokens(text: Column, stop_words: Sequence[str]) -> Column:

@@ -55,14 +55,17 @@ def _content(text_col: str, stop_words: Sequence[str] | None) -> Column:
 
 def top_bigrams(
     corpus: DataFrame,
-    top_n: int = 15,
+    top_n: int | None = 15,
     *,
     text_col: str = "review_text",
     min_df: int = 1,
     min_docs: int = 3,
     stop_words: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Most frequent word pairs after stop-word removal; empty for fewer than ``min_docs`` texts."""
+    """Most frequent word pairs after stop-word removal; empty for fewer than ``min_docs`` texts.
+
+    ``top_n=None`` gives the counts of all pairs, unordered.
+    """
     tokenised = corpus.select(_content(text_col, stop_words).alias("words"))
     grams = tokenised.select(bigrams(F.col("words")).alias("grams"))
     mention = [F.transform("grams", lambda g: F.struct(g.alias("phrase"), F.lit(1).alias("c"), F.lit(0).alias("d")))]
@@ -82,7 +85,8 @@ def top_bigrams(
         .select("phrase", "count")
     )
     n_docs = corpus.agg(F.count(text_col)).scalar()
-    return counts.where(n_docs >= min_docs).orderBy(F.desc("count"), "phrase").limit(top_n)
+    counts = counts.where(n_docs >= min_docs)
+    return counts if top_n is None else counts.orderBy(F.desc("count"), "phrase").limit(top_n)
 
 
 def term_weights(

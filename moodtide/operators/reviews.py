@@ -22,26 +22,59 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+# -- scores without texts ---------------------------------------------------------------
+
+
+def score_table(scored: DataFrame, *, compatibility_forms: bool = True) -> DataFrame:
+    """Scores of every review with a digest in place of its text: about a hundred bytes a row.
+
+    Persisted once, it serves the daily table, the queue and the flagged corpus, which then fetch
+    only the few texts they show; texts are read and scored a single time. The digest is that of
+    the text key, NULL for an empty text.
+    """
+    key = text_key(F.col("review_text"), compatibility_forms=compatibility_forms)
+    keyed = scored.select("review_id", "date", "ticker", "score_a", "score_b", key.alias("key"))
+    digest = F.when(F.col("key") != "", F.unhex(F.sha2("key", 256)))
+    return keyed.select("review_id", "date", "ticker", "score_a", "score_b", digest.alias("digest"))
+
+
+def _with_texts(texts: DataFrame, few: DataFrame) -> DataFrame:
+    """Texts of the ``few`` rows of a top-k, whose limit bounds the broadcast.
+
+    Rows that share an id are copies of one another; one is kept.
+    """
+    rows = texts.select("review_id", "review_text").join(F.broadcast(few), "review_id")
+    return first_per_key(rows, ["review_id"], [F.col("review_text")])
+
+
 # -- queue of texts on which the scorers disagree ---------------------------------------
 
 
 def disagreement_queue(
-    scored: DataFrame, top_k: int = 10, *, max_chars: int = 500, compatibility_forms: bool = True
+    scored: DataFrame,
+    top_k: int = 10,
+    *,
+    texts: DataFrame | None = None,
+    max_chars: int = 500,
+    compatibility_forms: bool = True,
 ) -> DataFrame:
     """Top-k reviews by score gap with distinct text.
 
-    Texts are reduced to a digest of their key with the best (gap, review) of each, so copies
-    combine before the shuffle; only the k winners then fetch their text.
+    Copies combine before the shuffle, as each text is a digest with its best (gap, review);
+    only the k winners then fetch their text. ``scored`` may be a :func:`score_table`, with the
+    reviews as ``texts``.
     """
-    key = text_key(F.col("review_text"), compatibility_forms=compatibility_forms)
+    table = scored
+    if "digest" not in scored.columns:
+        texts = scored
+        table = score_table(scored, compatibility_forms=compatibility_forms)
     facts = ["date", "ticker", "score_a", "score_b"]
-    keyed = scored.select(key.alias("key"), disagreement().alias("gap"), "review_id", *facts)
+    rank = F.struct((-disagreement()).alias("g"), "review_id", *facts)
     # Unscored and empty texts get no rank. Filtering them first would score every text twice,
     # as the filter would be evaluated below the scoring.
-    ranked = (F.col("key") != "") & F.col("gap").isNotNull()
-    rank = F.when(ranked, F.struct((-F.col("gap")).alias("g"), "review_id", *facts))
+    ranked = F.when(F.col("digest").isNotNull() & disagreement().isNotNull(), rank)
     winners = (
-        keyed.select(F.unhex(F.sha2("key", 256)).alias("digest"), rank.alias("rank"))
+        table.select("digest", ranked.alias("rank"))
         .groupBy("digest")
         .agg(F.min("rank").alias("best"))
         .where(F.col("best").isNotNull())
@@ -49,14 +82,16 @@ def disagreement_queue(
         .limit(top_k)
         .select("best.*")
     )
-    # At most top_k rows, so the broadcast is bounded by construction. The text side needs no
-    # scores, so nothing is scored again.
-    texts = scored.select("review_id", F.left("review_text", F.lit(max_chars)).alias("text"))
-    rows = texts.join(F.broadcast(winners), "review_id")
     return (
-        first_per_key(rows, ["review_id"], [F.col("date"), F.col("ticker")])
+        _with_texts(texts, winners)
         .select(
-            "review_id", "date", "ticker", "text", "score_a", "score_b", (-F.col("g")).alias("disagreement")
+            "review_id",
+            "date",
+            "ticker",
+            F.left("review_text", F.lit(max_chars)).alias("text"),
+            "score_a",
+            "score_b",
+            (-F.col("g")).alias("disagreement"),
         )
         .orderBy(F.desc("disagreement"), "review_id")
         .limit(top_k)
@@ -72,14 +107,18 @@ def dedupe_queue(
     return first_per_key(keyed, ["__key"], order).drop("__key")
 
 
-def top_disagreement(scored: DataFrame, n: int) -> DataFrame:
-    """The n reviews with the largest score gap, repeats included."""
-    return (
+def top_disagreement(scored: DataFrame, n: int, *, texts: DataFrame | None = None) -> DataFrame:
+    """The n reviews with the largest score gap, repeats included.
+
+    ``scored`` may be a :func:`score_table`, with the reviews as ``texts``.
+    """
+    top = (
         scored.withColumn("disagreement", disagreement())
         .orderBy(F.desc_nulls_last("disagreement"), "review_id")
         .limit(n)
         .where(F.col("disagreement").isNotNull())
     )
+    return top if texts is None else _with_texts(texts, top.drop("digest"))
 
 
 # -- excerpts of single days ------------------------------------------------------------
@@ -256,13 +295,19 @@ def corpus_slices(
     scored: DataFrame,
     reg: DataFrame,
     *,
+    texts: DataFrame | None = None,
     top_n: int = 80,
     quantile: float = 0.1,
     max_tail_reviews: int | None = MAX_TAIL_REVIEWS,
 ) -> DataFrame:
-    """High-disagreement reviews and tail-day reviews, marked by ``slice``; may overlap."""
-    high = top_disagreement(scored, top_n).withColumn("slice", F.lit("disagreement"))
-    tail = tail_reviews(scored, reg, quantile=quantile, max_reviews=max_tail_reviews)
+    """High-disagreement reviews and tail-day reviews, marked by ``slice``; may overlap.
+
+    Tail-day reviews carry no scores, so they need no scoring. ``scored`` may be a
+    :func:`score_table`, with the reviews as ``texts``.
+    """
+    high = top_disagreement(scored, top_n, texts=texts).withColumn("slice", F.lit("disagreement"))
+    plain = (scored if texts is None else texts).select("review_id", "date", "ticker", "review_text")
+    tail = tail_reviews(plain, reg, quantile=quantile, max_reviews=max_tail_reviews)
     return high.unionByName(tail.withColumn("slice", F.lit("tail")), allowMissingColumns=True)
 
 
@@ -270,13 +315,19 @@ def flagged_corpus(
     scored: DataFrame,
     reg: DataFrame,
     *,
+    texts: DataFrame | None = None,
     top_n: int = 80,
     quantile: float = 0.1,
     max_tail_reviews: int | None = MAX_TAIL_REVIEWS,
 ) -> DataFrame:
     """Both slices, one row per (text, date, ticker); the disagreement row wins."""
     both = corpus_slices(
-        scored, reg, top_n=top_n, quantile=quantile, max_tail_reviews=max_tail_reviews
+        scored,
+        reg,
+        texts=texts,
+        top_n=top_n,
+        quantile=quantile,
+        max_tail_reviews=max_tail_reviews,
     )
     return first_per_key(both, _CORPUS_KEYS, _corpus_order())
 

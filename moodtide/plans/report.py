@@ -41,49 +41,121 @@ class Options:
     bigram_top_n: int = 15
     n_topics: int = 5
     unique_market: bool = False
-    keep_scores: bool = False
+    keep_scores: bool = True
     stop_words: Sequence[str] | None = None
 
 
 @dataclass
 class Run:
-    """Result tables. All are lazy except ``topics()``, which iterates when called."""
+    """Tables of one run. Each is built when first asked for and computed when acted on.
+
+    ``topics()`` iterates, so it runs jobs when called.
+    """
 
     options: Options
+    reviews: DataFrame
     scored: DataFrame
+    scores: DataFrame
     daily: DataFrame
     panel: DataFrame
-    reg: DataFrame
-    correlations: DataFrame
-    correlations_pooled: DataFrame
-    volume: DataFrame
-    overlap: DataFrame
-    disagreement_mean: DataFrame
-    worst_day: DataFrame
-    best_day: DataFrame
-    queue: DataFrame
-    stability: DataFrame
-    ols_a: DataFrame
-    ols_b: DataFrame
-    holdout_a: DataFrame
-    holdout_b: DataFrame
-    facts: DataFrame
     _persisted: list[DataFrame] = field(default_factory=list, repr=False)
 
+    # -- statistics, all from the daily table --
+
+    @cached_property
+    def reg(self) -> DataFrame:
+        return P.regression_rows(self.panel)
+
+    @cached_property
+    def correlations(self) -> DataFrame:
+        return S.correlations(self.reg, self.options.by)
+
+    @cached_property
+    def correlations_pooled(self) -> DataFrame:
+        return S.correlations(self.reg)
+
+    @cached_property
+    def volume(self) -> DataFrame:
+        return self.daily.agg(
+            F.sum("review_count").alias("n_reviews"),
+            F.min("date").alias("first_date"),
+            F.max("date").alias("last_date"),
+        )
+
+    @cached_property
+    def overlap(self) -> DataFrame:
+        return P.overlap(self.panel)
+
+    @cached_property
+    def disagreement_mean(self) -> DataFrame:
+        return daily_disagreement(self.daily)
+
+    @cached_property
+    def worst_day(self) -> DataFrame:
+        return P.worst_day(self.reg)
+
+    @cached_property
+    def best_day(self) -> DataFrame:
+        return P.best_day(self.panel)
+
+    @cached_property
+    def stability(self) -> DataFrame:
+        o = self.options
+        return S.stability_frame(self.reg, by=o.by, window=o.window, min_rows=o.min_rows)
+
+    @cached_property
+    def ols_a(self) -> DataFrame:
+        return S.ols_hc3(self.reg, "avg_a_lag1", by=self.options.by)
+
+    @cached_property
+    def ols_b(self) -> DataFrame:
+        return S.ols_hc3(self.reg, "avg_b_lag1", by=self.options.by)
+
+    @cached_property
+    def holdout_a(self) -> DataFrame:
+        return self._holdout("avg_a_lag1")
+
+    @cached_property
+    def holdout_b(self) -> DataFrame:
+        return self._holdout("avg_b_lag1")
+
+    def _holdout(self, x: str) -> DataFrame:
+        o = self.options
+        return S.holdout_eval(self.reg, x, by=o.by, min_train=o.min_train, min_holdout=o.min_holdout)
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        o = self.options
+        return entity_facts(
+            self.panel,
+            daily_disagreement(self.daily, o.by),
+            by=o.by,
+            min_train=o.min_train,
+            min_holdout=o.min_holdout,
+            window=o.window,
+        )
+
+    # -- texts --
+
+    @cached_property
+    def queue(self) -> DataFrame:
+        return R.disagreement_queue(self.scores, self.options.top_disagreement, texts=self.reviews)
+
     @cached_property
     def corpus(self) -> DataFrame:
         """Flagged reviews long enough to mine; few, and persisted for the steps that follow."""
-        flagged = R.flagged_corpus(self.scored, self.reg, **self._corpus_options())
+        flagged = R.flagged_corpus(self.scores, self.reg, **self._corpus_options())
         kept = M.substantial(flagged).persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(kept)
         return kept
 
     def corpus_source(self) -> DataFrame:
-        slices = R.corpus_slices(self.scored, self.reg, **self._corpus_options())
+        slices = R.corpus_slices(self.scores, self.reg, **self._corpus_options())
         return R.corpus_provenance(slices, quantile=self.options.tail_quantile)
 
     def _corpus_options(self) -> dict:
         return {
+            "texts": self.reviews,
             "top_n": max(self.options.top_disagreement * 5, 60),
             "quantile": self.options.tail_quantile,
         }
@@ -102,10 +174,10 @@ class Run:
         return M.theme_clusters(self.bigrams())
 
     def worst_day_excerpts(self, k: int = 3) -> DataFrame:
-        return R.day_excerpts(self.scored, self.worst_day, by=[], k=k)
+        return R.day_excerpts(self.reviews, self.worst_day, by=[], k=k)
 
     def best_day_excerpts(self, k: int = 4) -> DataFrame:
-        return R.day_excerpts(self.scored, self.best_day, by=[], k=k)
+        return R.day_excerpts(self.reviews, self.best_day, by=[], k=k)
 
     def entity_snapshots(self) -> DataFrame:
         return entity_snapshots(self.facts, self.ols_a, self.holdout_a, by=self.options.by)
@@ -125,55 +197,24 @@ def run(
 ) -> Run:
     """Prepare, score, roll up, join, lag, and derive every table of a run.
 
-    Reviews are read once for the daily table, which is small and persisted; all series
-    statistics come from it. With ``keep_scores`` the scored reviews are persisted too, which
-    pays off for a costly model.
+    Texts are read and scored once, into a score table without texts that is persisted unless
+    ``keep_scores`` is off. The daily table made from it is small and persisted too; all series
+    statistics come from that, and the text steps fetch only the few texts they select.
     """
     o = options or Options()
-    by = list(o.by)
     prepared = prepare_reviews(reviews, o.review_date_col, o.review_text_col, o.review_ticker_col)
     returns = prepare_market(market, o.market_date_col, o.market_ticker_col, o.market_ret_col)
     scored = score_reviews(prepared, scorer_a, scorer_b)
     persisted = []
+    scores = R.score_table(scored)
     if o.keep_scores:
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(scored)
-    daily = P.daily_means(scored, with_disagreement=True).persist(StorageLevel.MEMORY_AND_DISK)
-    persisted.append(daily)
-    merged = P.require_overlap(P.join_market(daily, returns, unique=o.unique_market))
-    panel = P.add_lag(merged)
-    reg = P.regression_rows(panel)
-
-    holdout = {"by": by, "min_train": o.min_train, "min_holdout": o.min_holdout}
-    gap = daily_disagreement(daily, by)
-    return Run(
-        options=o,
-        scored=scored,
-        daily=daily,
-        panel=panel,
-        reg=reg,
-        correlations=S.correlations(reg, by),
-        correlations_pooled=S.correlations(reg),
-        volume=daily.groupBy().agg(
-            F.sum("review_count").alias("n_reviews"),
-            F.min("date").alias("first_date"),
-            F.max("date").alias("last_date"),
-        ),
-        overlap=P.overlap(panel),
-        disagreement_mean=daily_disagreement(daily, []),
-        worst_day=P.worst_day(reg),
-        best_day=P.best_day(panel),
-        queue=R.disagreement_queue(scored, o.top_disagreement),
-        stability=S.stability_frame(reg, by=by, window=o.window, min_rows=o.min_rows),
-        ols_a=S.ols_hc3(reg, "avg_a_lag1", by=by),
-        ols_b=S.ols_hc3(reg, "avg_b_lag1", by=by),
-        holdout_a=S.holdout_eval(reg, "avg_a_lag1", **holdout),
-        holdout_b=S.holdout_eval(reg, "avg_b_lag1", **holdout),
-        facts=entity_facts(
-            panel, gap, by=by, min_train=o.min_train, min_holdout=o.min_holdout, window=o.window
-        ),
-        _persisted=persisted,
-    )
+        scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(scores)
+    daily = P.daily_means(scores, with_disagreement=True).persist(StorageLevel.MEMORY_AND_DISK)
+    panel = P.add_lag(P.join_market(daily, returns, unique=o.unique_market))
+    panel = panel.persist(StorageLevel.MEMORY_AND_DISK)
+    persisted += [daily, panel]
+    return Run(o, prepared, scored, scores, daily, P.require_overlap(panel), persisted)
 
 
 def daily_disagreement(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:

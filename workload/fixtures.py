@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodtide.operators import panel as P
+from moodtide.operators import reviews as R
 from moodtide.operators.scoring import Scorer, disagreement, lexicon_scorer, score_reviews
 
 ENTITIES = ("click", "error", "purchase", "signup", "view")
@@ -75,9 +76,14 @@ def text_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score table of the text panel, persisted: every text is read and scored once."""
+    return R.score_table(text_scored(spark, sf_dir)).persist()
+
+
 def text_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regression rows of the text panel, persisted: small, and used by several branches."""
-    daily = P.daily_means(text_scored(spark, sf_dir))
+    daily = P.daily_means(text_scores(spark, sf_dir))
     merged = P.join_market(daily, text_market(spark, sf_dir))
     return P.regression_rows(P.add_lag(merged)).persist()
 

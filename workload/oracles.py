@@ -538,7 +538,9 @@ register("theme_clusters", f"WITH {MINED}, top AS ({_TOP}), {THEMES}")
 register("theme_clusters_pages", f"""
 WITH docs AS (SELECT row_number() OVER () AS doc_id, text FROM (SELECT html AS text FROM pages UNION ALL SELECT text FROM conversations)),
 {tokens('docs', 'doc_id', 'text')},
-top AS (SELECT phrase, count(*) AS count FROM grams GROUP BY phrase ORDER BY count(*) DESC, phrase LIMIT 200), {THEMES}""")
+top AS (SELECT DISTINCT phrase FROM grams), {THEMES}""")
+register("theme_clusters_documents", f"""
+WITH {_DOCS}, {tokens('docs', 'doc_id', 'text')}, top AS (SELECT DISTINCT phrase FROM grams), {THEMES}""")
 
 # -- scalar functions -------------------------------------------------------------------
 

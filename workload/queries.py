@@ -503,7 +503,7 @@ def worst_day_excerpts(spark, d):
 
 @query
 def best_day_excerpts(spark, d):
-    daily = P.daily_means(X.text_scored(spark, d))
+    daily = P.daily_means(X.text_scores(spark, d))
     panel = P.join_market(daily, X.text_market(spark, d))
     return R.day_excerpts(X.text_reviews(spark, d), P.best_day(panel), by=[], k=4)
 
@@ -520,13 +520,19 @@ def day_excerpts(spark, d):
 
 @query
 def flagged_corpus(spark, d):
-    out = R.flagged_corpus(X.text_scored(spark, d), X.text_reg(spark, d))
+    out = R.flagged_corpus(
+        X.text_scores(spark, d), X.text_reg(spark, d), texts=X.text_reviews(spark, d)
+    )
     return out.select("review_id", "date", "ticker", "slice", "disagreement")
 
 
 @query
 def corpus_provenance(spark, d):
-    return R.corpus_provenance(R.corpus_slices(X.text_scored(spark, d), X.text_reg(spark, d)))
+    return R.corpus_provenance(
+        R.corpus_slices(
+            X.text_scores(spark, d), X.text_reg(spark, d), texts=X.text_reviews(spark, d)
+        )
+    )
 
 
 # -- text mining ------------------------------------------------------------------------
@@ -534,7 +540,10 @@ def corpus_provenance(spark, d):
 
 def _corpus(spark, d):
     """Persisted: at most a few hundred reviews, and read twice by some queries."""
-    return M.substantial(R.flagged_corpus(X.text_scored(spark, d), X.text_reg(spark, d))).persist()
+    flagged = R.flagged_corpus(
+        X.text_scores(spark, d), X.text_reg(spark, d), texts=X.text_reviews(spark, d)
+    )
+    return M.substantial(flagged).persist()
 
 
 @query
@@ -579,10 +588,15 @@ def theme_clusters(spark, d):
 
 @query
 def theme_clusters_pages(spark, d):
-    """Themes in the frequent pairs of the raw pages and conversations."""
+    """Themes in all pairs of the raw pages and conversations."""
     pages = X.table(spark, d, "pages").select(F.col("html").alias("review_text"))
     talk = X.table(spark, d, "conversations").select(F.col("text").alias("review_text"))
-    return M.theme_clusters(M.top_bigrams(pages.union(talk), 200))
+    return M.theme_clusters(M.top_bigrams(pages.union(talk), None))
+
+
+@query
+def theme_clusters_documents(spark, d):
+    return M.theme_clusters(M.top_bigrams(X.text_reviews(spark, d), None))
 
 
 @query
