@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from moodtide.functions.numeric import finite_or_null
 from moodtide.functions.text import tokens
+from moodtide.session import broadcast_if_small
 
 Scorer = Callable[[DataFrame, str], DataFrame]
 BatchModel = Callable[[Sequence[str]], Sequence[float]]
@@ -125,12 +126,12 @@ def _join_lexicon(
         .groupBy("__id", "word", "prev")
         .agg(F.count("*").alias("times"))
     )
-    polar = exploded.join(
-        lex.where(F.col("w_polarity").isNotNull()).select("word", "w_polarity"), "word"
-    )
+    polarity = lex.where(F.col("w_polarity").isNotNull()).select("word", "w_polarity")
     mods = lex.select(
         F.col("word").alias("prev"), F.coalesce("w_neg", "w_int").alias("factor")
     ).where(F.col("factor").isNotNull())
+    polar = exploded.join(broadcast_if_small(polarity), "word")
+    mods = broadcast_if_small(mods)
     scores = (
         polar.join(mods, "prev", "left")
         .select("__id", "times", _clip(F.col("w_polarity") * F.coalesce("factor", F.lit(1.0))).alias("v"))
