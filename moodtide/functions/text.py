@@ -11,8 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Invisible and bidirectional fillers that count as blanks.
-INVISIBLE = r"[​-‏  ﻿⁠ ]"
+# Blanks of every kind, with invisible and bidirectional fillers.
+_BLANKS = r"[\s\p{Z}\x1C-\x1F\x85\u200B-\u200F\u2060\uFEFF]+"
 
 # Typographic characters and their plain spelling.
 PLAIN_SPELLING = (
@@ -85,9 +85,7 @@ def text_key(
     t = text
     if compatibility_forms:
         t = F.coalesce(_nfkc_udf()(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
-    t = F.regexp_replace(t, INVISIBLE, " ")
-    t = F.lower(F.regexp_replace(t, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
-    t = F.regexp_replace(t, r"[\s\p{Z}]+", " ")
+    t = F.lower(F.trim(F.regexp_replace(t, _BLANKS, " ")))
     return F.left(t, F.lit(max_chars)) if max_chars else t
 
 

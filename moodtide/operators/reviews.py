@@ -103,8 +103,12 @@ def dedupe_queue(
 ) -> DataFrame:
     """Keep the first queue row per text key; rows with an empty key are dropped."""
     order = order or [F.desc("disagreement"), F.col("review_id")]
-    keyed = queue.withColumn("__key", text_key(F.col(text_col))).where(F.col("__key") != "")
-    return first_per_key(keyed, ["__key"], order).drop("__key")
+    keyed = queue.withColumn("__key", text_key(F.col(text_col)))
+    # A flag beside the key: a filter on the key itself would sink below the window and work the
+    # key out a second time.
+    flagged = keyed.withColumn("__empty", F.col("__key") == "")
+    kept = first_per_key(flagged, ["__key"], order).where(~F.col("__empty"))
+    return kept.drop("__key", "__empty")
 
 
 def top_disagreement(scored: DataFrame, n: int, *, texts: DataFrame | None = None) -> DataFrame:
