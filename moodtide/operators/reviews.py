@@ -25,13 +25,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 # -- scores without texts ---------------------------------------------------------------
 
 
-def score_table(scored: DataFrame, *, compatibility_forms: bool = True) -> DataFrame:
+def score_table(
+    scored: DataFrame, *, with_digest: bool = True, compatibility_forms: bool = True
+) -> DataFrame:
     """Scores of every review with a digest in place of its text: about a hundred bytes a row.
 
     Persisted once, it serves the daily table, the queue and the flagged corpus, which then fetch
     only the few texts they show; texts are read and scored a single time. The digest is that of
-    the text key, NULL for an empty text.
+    the text key, NULL for an empty text; only the queue needs it.
     """
+    if not with_digest:
+        return scored.select("review_id", "date", "ticker", "score_a", "score_b")
     key = text_key(F.col("review_text"), compatibility_forms=compatibility_forms)
     keyed = scored.select("review_id", "date", "ticker", "score_a", "score_b", key.alias("key"))
     digest = F.when(F.col("key") != "", F.unhex(F.sha2("key", 256)))

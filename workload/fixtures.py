@@ -78,7 +78,7 @@ def text_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score table of the text panel, persisted: every text is read and scored once."""
-    return R.score_table(text_scored(spark, sf_dir)).persist()
+    return R.score_table(text_scored(spark, sf_dir), with_digest=False).persist()
 
 
 def text_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
