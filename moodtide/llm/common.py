@@ -62,7 +62,7 @@ class Words:
     """Words of a column of texts: ``codes`` into ``dictionary``; text i owns starts[i]:starts[i+1]."""
 
     def __init__(self, texts: pa.Array, byte_table: bytes):
-        col = pa.concat_arrays([pc.fill_null(texts, "").cast(pa.binary())])
+        col = pa.concat_arrays([pc.fill_null(texts.cast(pa.string()), "").cast(pa.binary())])
         _, offsets, data = col.buffers()
         raw = data.to_pybytes().translate(byte_table) if data is not None else b""
         lowered = pa.StringArray.from_buffers(len(col), offsets, pa.py_buffer(raw))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moodtide.llm import license_scan, secret_scan, url_filter
-from moodtide.llm.common import table
+from moodtide.llm import ann, license_scan, packing, secret_scan, sharding, toxicity, url_filter
+from moodtide.llm.common import id_remainder, table
 
 # The rules of the url query.
 URL_RULES = [
@@ -16,10 +16,45 @@ URL_RULES = [
 ]
 
 
+def op2_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    held_out = id_remainder(F.col("doc_id"), 3) == 1
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, d, "labels"), ~held_out))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"),
+    )
+
+
 def op4_license_scan(spark, d):
     return license_scan.scan(table(spark, d, "documents"))
 
 
+def op5_sharding(spark, d):
+    placed = sharding.plan(table(spark, d, "documents"), 40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        "curve",
+    )
+
+
+def op6_packing(spark, d):
+    return packing.pack_documents(table(spark, d, "documents"))
+
+
+def op8_nearest(spark, d):
+    return ann.search(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_secret_scan(spark, d):
     return secret_scan.scan(table(spark, d, "documents"))
 
@@ -30,4 +65,15 @@ def op10_url_filter(spark, d):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op4_license_scan, op9_secret_scan, op10_url_filter)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_toxicity,
+        op4_license_scan,
+        op5_sharding,
+        op6_packing,
+        op8_nearest,
+        op9_secret_scan,
+        op10_url_filter,
+    )
+}
