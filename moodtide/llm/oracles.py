@@ -2,4 +2,32 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TEXT = _LOWER.format("coalesce(text, '')")
+
+NEAR_DEDUP = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_TEXT}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE
+    list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) END AS s
+  FROM w
+), e AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM s
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a
+), c AS (
+  SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1
+)
+SELECT doc_id, cast(len(s.s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN c USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_near_dedup": NEAR_DEDUP,
+}

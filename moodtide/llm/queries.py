@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moodtide.llm import ann, license_scan, packing, secret_scan, sharding, toxicity, url_filter
+from moodtide.llm import ann, license_scan, near_dedup, packing, secret_scan, sharding, toxicity, url_filter
 from moodtide.llm.common import id_remainder, table
 
 # The rules of the url query.
@@ -16,6 +16,10 @@ URL_RULES = [
 ]
 
 
+def op1_near_dedup(spark, d):
+    return near_dedup.components(table(spark, d, "documents"), size=5, percent=75)
+
+
 def op2_toxicity(spark, d):
     docs = table(spark, d, "documents")
     held_out = id_remainder(F.col("doc_id"), 3) == 1
@@ -68,6 +72,7 @@ def op10_url_filter(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_near_dedup,
         op2_toxicity,
         op4_license_scan,
         op5_sharding,
