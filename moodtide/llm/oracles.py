@@ -28,6 +28,36 @@ SELECT doc_id, cast(len(s.s) AS BIGINT) AS n_shingles, component_id, doc_id = co
 FROM s JOIN c USING (doc_id)
 """
 
+DECONTAMINATION = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all({_TEXT}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_TEXT}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS x
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT n FROM windows
+), starts AS (
+  SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n
+), found AS (
+  SELECT r, i, s.n, item_id FROM starts s JOIN windows x ON x.n = s.n AND x.x = array_to_string(s.w[i:i + s.n - 1], ' ')
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY 1
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, cast(item_id AS VARCHAR) AS item FROM found) GROUP BY 1
+)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_near_dedup": NEAR_DEDUP,
+    "op3_decontamination": DECONTAMINATION,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moodtide.llm import ann, license_scan, near_dedup, packing, secret_scan, sharding, toxicity, url_filter
+from moodtide.llm import ann, decontam, license_scan, near_dedup, packing, secret_scan, sharding, toxicity, url_filter
 from moodtide.llm.common import id_remainder, table
 
 # The rules of the url query.
@@ -33,6 +33,10 @@ def op2_toxicity(spark, d):
     )
 
 
+def op3_decontamination(spark, d):
+    return decontam.judge(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("h")
+
+
 def op4_license_scan(spark, d):
     return license_scan.scan(table(spark, d, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     for f in (
         op1_near_dedup,
         op2_toxicity,
+        op3_decontamination,
         op4_license_scan,
         op5_sharding,
         op6_packing,
