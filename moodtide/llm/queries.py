@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moodtide.llm import ann, decontam, license_scan, near_dedup, packing, secret_scan, sharding, toxicity, url_filter
+from moodtide.llm import ann, ctw, decontam, license_scan, near_dedup, packing, secret_scan, sharding, toxicity, url_filter
 from moodtide.llm.common import id_remainder, table
 
 # The rules of the url query.
@@ -59,6 +59,12 @@ def op6_packing(spark, d):
     return packing.pack_documents(table(spark, d, "documents"))
 
 
+def op7_context_tree(spark, d):
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    scored = ctw.score(table(spark, d, "documents"), ~held_out)
+    return scored.withColumn("held_out", held_out)
+
+
 def op8_nearest(spark, d):
     return ann.search(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -82,6 +88,7 @@ QUERIES = {
         op4_license_scan,
         op5_sharding,
         op6_packing,
+        op7_context_tree,
         op8_nearest,
         op9_secret_scan,
         op10_url_filter,
