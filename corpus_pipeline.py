@@ -1,14 +1,89 @@
-"""A training corpus in five stages: each takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""A training corpus in five stages over a table of documents.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
+their input. Null and empty texts pass every filter; a null id is never linked with another document.
+"""
 
 from __future__ import annotations
 
-STAGES = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from moodtide.llm import decontam, near_dedup, packing, secret_scan, toxicity
+from moodtide.llm.common import written
+
+TOXIC_FROM = 0.7
+
+
+def _masked(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """``docs`` with all columns but id and text renamed, so that no column of an operator clashes."""
+    names = {c: f"_column{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    return docs.withColumnsRenamed(names), tuple(names.get(c, c) for c in docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under ``TOXIC_FROM``; the model learns from all labels."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    masked, names = _masked(docs)
+    scored = toxicity.score(masked, model, keep=names)
+    return scored.filter(F.col("score") < TOXIC_FROM).select(*names).toDF(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest id; rows of one id become one."""
+    groups = near_dedup.components(docs)
+    dropped = written(groups.filter(~F.col("kept")).select("doc_id").distinct(), "dropped")
+    kept = docs.join(decontam.small(dropped), "doc_id", "left_anti").select(*docs.columns)
+    repeated = groups.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    repeated = written(repeated.select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    ids = decontam.small(repeated)
+    once = kept.join(ids, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return kept.join(ids, "doc_id", "left_anti").select(*docs.columns).union(once)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than 5 per cent of the words stand in passages of the benchmark."""
+    judged = decontam.judge(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bad = judged.filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
+    bad = decontam.small(written(bad, "contaminated"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
+    return docs.join(bad, same, "left_anti").select(*docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced by a mark and the number of characters set anew."""
+    masked, names = _masked(docs)
+    found = secret_scan.scan(masked, keep=names)
+    redact = F.udf(secret_scan.redact, StringType(), useArrow=True)
+    clean = F.when(F.col("spans") == "", F.col("text")).otherwise(redact("text", "spans"))
+    out = found.withColumn("text", clean).select(*names).toDF(*docs.columns)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.length("text").cast(kind))
+    return out
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where the ids of each document lie in sequences of 2048."""
+    return packing.pack_documents(docs, window=2048)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("secret_scan", redact_secrets),
+    ("packing", pack),
+]
+ORACLE_SQL = None  # tested against brute force
 
 
-def run(spark, sf_dir):
-    """All stages over ``documents``."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what each returns is written before the next reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
