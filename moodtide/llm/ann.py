@@ -29,12 +29,12 @@ class Settings:
     """
 
     sample: int = 16_384
-    list_size: int = 128
+    list_size: int = 256
     max_lists: int = 2_048
     replicas: int = 4
     boundary: float = 1.1
-    beam: int = 128
-    ratio: float = 1.5
+    beam: int = 512
+    ratio: float = 1.2
     least_lists: int = 32
     list_rows: int = 4_096
 
@@ -43,13 +43,16 @@ class Centroids:
     def __init__(self, points: np.ndarray, n: int, rounds: int = 8, seed: int = 7):
         rng = np.random.default_rng(seed)
         c = points[rng.choice(len(points), n, replace=False)]
+        radius = np.sqrt((points**2).sum(axis=1).max())
         price = np.zeros(n)  # crowded lists become dearer, which balances them
         for _ in range(rounds):
             d = self._distances(points, c)
             nearest = np.argmin(d + price, axis=1)
             size = np.bincount(nearest, minlength=n)
             total = np.stack([np.bincount(nearest, points[:, j], minlength=n) for j in range(points.shape[1])], axis=1)
-            c = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], c)
+            # back onto the sphere, else the mean of many vectors is near to all of them
+            length = np.linalg.norm(total, axis=1, keepdims=True)
+            c = np.where(length > 0, total / np.maximum(length, 1e-300) * radius, c)
             price += 0.1 * d.min(axis=1).mean() * (size / max(size.mean(), 1) - 1)
             price = np.maximum(price - price.min(), 0)
         self.points = c
@@ -155,10 +158,11 @@ def search(
         "vector-members",
     )
     queries = rows.filter("q").select("key", F.col("id").alias("query_id")).distinct()
-    distinct = members.filter("n = 1").select("key", "v")
-    asked = written(distinct.join(queries.select("key").distinct(), "key", "left_semi"), "vector-queries")
+    distinct = members.filter("n = 1").select("key", "id", "v")
+    asked = written(distinct.join(queries.select("key").distinct(), "key", "left_semi").select("key", "v"), "vector-queries")
 
-    result = "query string, key string, score double"
+    id_type = rows.schema["id"].dataType.simpleString()
+    result = f"query string, key string, id {id_type}, score double"
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n, top = distinct.agg(F.count("*"), F.max(norm)).first()
     spark = vectors.sparkSession
@@ -174,7 +178,7 @@ def search(
             for pdf in batches:
                 if len(pdf):
                     who, where = shared.value.assign(_lift(_matrix(pdf["v"]), top), s)
-                    yield pd.DataFrame({"list": where, "key": pdf["key"].to_numpy()[who], "v": pdf["v"].to_numpy()[who]})
+                    yield pd.DataFrame({"list": where, **{c: pdf[c].to_numpy()[who] for c in ("key", "id", "v")}})
 
         def probe(batches):
             for pdf in batches:
@@ -182,7 +186,7 @@ def search(
                 hits = [shared.value.search(q / np.linalg.norm(q) * np.sqrt(top), s) for q in x]
                 yield pd.DataFrame({"key": pdf["key"], "v": pdf["v"], "list": hits})
 
-        posted = written(distinct.mapInPandas(post, "list int, key string, v array<float>"), "vector-lists")
+        posted = written(distinct.mapInPandas(post, f"list int, key string, id {id_type}, v array<float>"), "vector-lists")
         sizes = posted.groupBy("list").count().collect()  # one row a list, max_lists at most
         parts = {r["list"]: -(-r["count"] // s.list_rows) for r in sizes}
         split = {i: p for i, p in parts.items() if p > 1}
@@ -198,14 +202,18 @@ def search(
 
         def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if not len(left) or not len(right):
-                return pd.DataFrame({"query": pd.Series(dtype=str), "key": pd.Series(dtype=str), "score": pd.Series(dtype=float)})
+                return pd.DataFrame({c: [] for c in ("query", "key", "id", "score")})
             scores = _matrix(right["v"]) @ _matrix(left["v"]).T
             m = min(k + 1, len(left))
             best = np.argpartition(-scores, m - 1, axis=1)[:, :m]
             limit = np.take_along_axis(scores, best, 1).min(axis=1)
             who, what = np.nonzero(scores >= limit[:, None])  # with all that tie with the last
             return pd.DataFrame(
-                {"query": right["key"].to_numpy()[who], "key": left["key"].to_numpy()[what], "score": scores[who, what]}
+                {
+                    "query": right["key"].to_numpy()[who],
+                    **{c: left[c].to_numpy()[what] for c in ("key", "id")},
+                    "score": scores[who, what],
+                }
             )
 
         found = posted.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInPandas(compare, result)
@@ -214,13 +222,12 @@ def search(
         w = Window.partitionBy(*by).orderBy(*order)
         return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
 
-    # the k + 1 best vectors of a query vector hold its k + 1 best rows
-    merged = found.groupBy("query", "key").agg(F.max("score").alias("score"))
-    smallest_id = members.filter("n = 1").select("key", F.col("id").alias("first_id"))
-    vectors_found = first(merged.join(smallest_id, "key"), ["query"], [F.desc("score"), "first_id"], k + 1)
+    # the k + 1 best vectors of a query vector hold its k + 1 best rows; copies in several lists go first
+    merged = found.groupBy("query", "key", "id").agg(F.max("score").alias("score"))
+    vectors_found = first(merged, ["query"], [F.desc("score"), "id"], k + 1).drop("rank", "id")
     rows_found = first(
-        vectors_found.drop("rank").join(members.select("key", "id"), "key"), ["query"], [F.desc("score"), "id"], k + 1
+        vectors_found.join(members.select("key", "id"), "key"), ["query"], [F.desc("score"), "id"], k + 1
     )
-    answers = rows_found.drop("rank", "key", "first_id").join(queries.withColumnRenamed("key", "query"), "query")
+    answers = rows_found.drop("rank", "key").join(queries.withColumnRenamed("key", "query"), "query")
     own = first(answers.filter("id <> query_id"), ["query_id"], [F.desc("score"), "id"], k)
     return own.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
