@@ -7,14 +7,16 @@ similarity, and exact intersections of the full sets decide.
 Texts with equal sets are one vertex from the start. A text enters only the lists of its rarest
 values: a pair that passes the estimate shares at least ``SHARE`` of a sketch, hence one of those
 (prefix filter), so passages that many texts hold open long lists only for texts made of them. In a
-list, members are first compared with one leader; what this links needs no further comparison. Then
-every pair in a list that still lies in two components is compared, so no link between components
-is missed, while a group of thousands of copies costs comparisons in proportion to its size.
+list, members are first compared with one leader; what this links needs no further comparison. Texts
+of lists that still hold several components then meet by the rarest quarter of their full sets, and every
+such pair of two components is compared: no link between components is missed, while a group of
+thousands of copies, or a passage in thousands of texts, costs comparisons in proportion to its size.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -101,26 +103,44 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(build, f"id {kind}, set array<long>")
 
 
-def posting_lists(vertices: DataFrame) -> DataFrame:
-    """(v, id, n): each vertex in the lists of its rarest sketch values that others hold too."""
-    entries = vertices.select("id", "c", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("v"))
+def posting_lists(holders: DataFrame, values: str, share: float) -> DataFrame:
+    """(v, id, n): each of ``holders(id, c, n, values)`` in the lists of its rarest values that others hold too.
+
+    Two holders with ``share`` of their values in common meet in a list (prefix filter).
+    """
+    entries = holders.select("id", "c", "n", F.size(values).alias("m"), F.explode(values).alias("v"))
     shared = entries.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
-    per_vertex = (
+    per_holder = (
         entries.join(shared, "v")
         .groupBy("id", "c", "n", "m")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"))  # K at most
+        .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"))  # those of one text
     )
     # the prefix counts values nobody shares first; they open no list
-    slots = F.col("m") - F.greatest(F.lit(1), F.ceil(F.col("m") * SHARE)).cast("int") + 1
+    slots = F.col("m") - F.greatest(F.lit(1), F.ceil(F.col("m") * share)).cast("int") + 1
     slots = slots - (F.col("m") - F.size("values"))
     return (
-        per_vertex.withColumn("slots", slots)
+        per_holder.withColumn("slots", slots)
         .filter("slots > 0")
         .select("id", "n", F.explode(F.slice("values", F.lit(1), F.col("slots"))).alias("s"))
         .select(F.col("s.v").alias("v"), "id", "n")
     )
 
 
+def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """``lists`` with the root of each member and the commonest of the list, where there are several."""
+    named = roots.withColumnRenamed("node", "id")
+    placed = lists.join(named, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    main = (
+        placed.groupBy("v", "root")
+        .agg(F.count("*").alias("k"))
+        .groupBy("v")
+        .agg(F.max(F.struct("k", "root")).alias("main"), F.count("*").alias("roots"))
+        .filter("roots > 1")
+        .select("v", F.col("main.root").alias("main"))
+    )
+    return placed.join(main, "v")
+
+
 def _similar_sizes(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
@@ -153,6 +173,74 @@ def confirmed(pairs: DataFrame, vertices: DataFrame, sets: DataFrame, percent: i
     return counted.filter(F.col("both") * 100 >= F.col("either") * percent).select("a", "b")
 
 
+def _joins(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between two blocks (id, root, set) that join roots, one for each two roots that they join."""
+    found, parent = [], {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    if len(left) and len(right):
+        size = right["set"].map(len).to_numpy()
+        values, owner = np.concatenate(right["set"].to_numpy()), np.repeat(np.arange(len(right)), size)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        ids, roots = right["id"].tolist(), right["root"].tolist()
+        for a, root, own in zip(left["id"].tolist(), left["root"].tolist(), left["set"], strict=True):
+            first, last = np.searchsorted(values, own), np.searchsorted(values, own, side="right")
+            held = last - first
+            at = np.repeat(first - (np.cumsum(held) - held), held) + np.arange(held.sum())
+            both = np.bincount(owner[at], minlength=len(right))
+            for j in np.flatnonzero(both * 100 >= (len(own) + size - both) * percent).tolist():
+                x, y = find(root), find(roots[j])
+                if x != y:
+                    parent[x] = y
+                    found.append((a, ids[j]))
+    return pd.DataFrame(found, columns=["a", "b"]) if found else pd.DataFrame({"a": [], "b": []})
+
+
+# Shingles in a block of the texts that are compared with a component, and of those compared with them.
+LEFT_BLOCK, RIGHT_BLOCK = 100_000, 400_000
+
+
+def across_roots(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the roots of each list of ``mixed``.
+
+    Texts outside a list's commonest root are compared with those inside and with one another, block
+    against block; pairs are not written out. Lists of one commonest root are taken together, so that
+    texts that meet in many lists are compared once.
+    """
+    members = mixed.select("main", "id", "root", "n").distinct()
+    outside = F.col("root") != F.col("main")
+    blocks = members.groupBy("main").agg(
+        F.ceil(F.sum(F.when(outside, F.col("n")).otherwise(0)) / LEFT_BLOCK).cast("int").alias("lefts"),
+        F.ceil(F.sum("n") / RIGHT_BLOCK).cast("int").alias("rights"),
+    )
+    placed = members.join(blocks, "main").join(sets, "id")
+    count = F.greatest(F.lit(1), F.col("lefts"))
+    own = F.xxhash64("id")
+
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    left = placed.filter(outside).select(
+        "main", "id", "root", "set", F.pmod(own, count).cast("int").alias("i"), every(F.col("rights")).alias("j")
+    )
+    again = [F.col(c).alias(c) for c in ("main", "id", "root", "set")]  # new attributes, as for a self-join
+    right = placed.select(
+        *again, every(count).alias("i"), F.pmod(own, F.col("rights")).cast("int").alias("j")
+    )
+    keys = ["main", "i", "j"]
+    kind = sets.schema["id"].dataType.simpleString()
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return _joins(a, b, percent)
+
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, f"a {kind}, b {kind}")
+
+
 def components(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
@@ -173,7 +261,7 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: str =
         ),
         "vertices",
     )
-    lists = written(posting_lists(vertices), "lists")
+    lists = written(posting_lists(vertices, "sketch", SHARE), "lists")
     chosen = lists.select("id").distinct()
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(chosen, "id", "left_semi")
     sets = written(full_sets(texts, size), "sets")
@@ -193,28 +281,15 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: str =
     links = written(links.union(confirmed(star, vertices, sets, percent, "star")), "links")
     roots = connected_components(links.toDF("src", "dst"), "near-star")
 
-    placed = written(
-        lists.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")),
-        "placed",
-    )
-    per_root = placed.groupBy("v", "root").agg(F.count("*").alias("k"))
-    main = (
-        per_root.groupBy("v")
-        .agg(F.max(F.struct("k", "root")).alias("main"), F.count("*").alias("roots"))
-        .filter("roots > 1")
-        .select("v", F.col("main.root").alias("main"))
-    )
-    mixed = written(placed.join(main, "v"), "mixed")
-    rest = mixed.filter("root <> main").select("v", F.col("id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    other = mixed.select("v", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), "main")
-    crossing = (
-        rest.join(other, "v")
-        .filter("ra <> rb AND (rb = main OR a < b)")
-        .filter(_similar_sizes(F.col("na"), F.col("nb"), percent))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+    # Texts that still share a list across components, which a passage in many texts brings about, meet
+    # again by their full sets, where the prefix is exact and such a passage opens no list.
+    left = _rooted(lists, roots).select("id").distinct()
+    unsettled = sets.join(left, "id", "left_semi").select(
+        "id", F.xxhash64("set").alias("c"), F.size("set").cast("long").alias("n"), "set"
     )
-    more = confirmed(crossing, vertices, sets, percent, "crossing")
+    exact_lists = written(posting_lists(unsettled, "set", percent / 100), "exact-lists")
+    mixed = written(_rooted(exact_lists, roots), "mixed")
+    more = across_roots(mixed, sets, percent)
     roots = connected_components(links.union(more).toDF("src", "dst"), "near")
     smallest = roots.groupBy("root").agg(F.min("node").alias("component_id"))
     named = roots.join(smallest, "root").select(F.col("node").alias("id"), "component_id")
