@@ -74,10 +74,11 @@ def _nfkc_udf():
 
 
 def text_key(
-    text: Column, *, max_chars: int | None = 500, compatibility_forms: bool = True
+    text: Column, *, max_chars: int | None = None, compatibility_forms: bool = True
 ) -> Column:
     """Key under which two texts count as the same; empty text gives an empty key.
 
+    The key covers the whole text. ``max_chars`` cuts it, for callers to whom a prefix decides.
     Compatibility forms (NFKC) have no built-in Spark expression, so texts with characters
     beyond ASCII go through Arrow; the others cross as NULL and stay in the JVM.
     ``compatibility_forms=False`` leaves the step out.
@@ -96,16 +97,17 @@ def excerpt(text: Column, max_chars: int = 240) -> Column:
     ).otherwise(text)
 
 
-def latin_safe(text: Column, max_chars: int = 400) -> Column:
-    """Printable-ASCII text; a single blank if nothing is left."""
+def latin_safe(text: Column, max_chars: int | None = None) -> Column:
+    """Printable-ASCII text; a single blank if nothing is left. ``max_chars`` cuts it, with dots."""
     t = text
     for odd, plain in PLAIN_SPELLING:
         t = F.replace(t, F.lit(odd), F.lit(plain))
     t = F.regexp_replace(t, r"[^\x20-\x7E\n]+", " ")
-    cut = F.when(
-        F.length(t) > max_chars, F.concat(F.left(t, F.lit(max_chars)), F.lit("..."))
-    ).otherwise(t)
-    cut = F.regexp_replace(cut, r"^[ \n]+|[ \n]+$", "")
+    if max_chars is not None:
+        t = F.when(
+            F.length(t) > max_chars, F.concat(F.left(t, F.lit(max_chars)), F.lit("..."))
+        ).otherwise(t)
+    cut = F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")
     return F.when(cut == "", F.lit(" ")).otherwise(cut)
 
 

@@ -66,21 +66,12 @@ def top_bigrams(
 
     ``top_n=None`` gives the counts of all pairs, unordered.
     """
-    tokenised = corpus.select(_content(text_col, stop_words).alias("words"))
-    grams = tokenised.select(bigrams(F.col("words")).alias("grams"))
-    mention = [F.transform("grams", lambda g: F.struct(g.alias("phrase"), F.lit(1).alias("c"), F.lit(0).alias("d")))]
-    if min_df > 1:
-        # One extra mention per text and phrase counts the texts without a per-text shuffle.
-        mention.append(
-            F.transform(
-                F.array_distinct("grams"),
-                lambda g: F.struct(g.alias("phrase"), F.lit(0).alias("c"), F.lit(1).alias("d")),
-            )
-        )
-    mentions = grams.select(F.inline(F.concat(*mention)))
+    ordered = corpus.select(F.array_sort(bigrams(_content(text_col, stop_words))).alias("grams"))
+    # pairs are counted within the row of their text: one mention per text and phrase
+    mentions = ordered.select(F.inline(_term_counts(F.col("grams")))).toDF("phrase", "c")
     counts = (
         mentions.groupBy("phrase")
-        .agg(F.sum("c").alias("count"), F.sum("d").alias("df"))
+        .agg(F.sum("c").alias("count"), F.count(F.lit(1)).alias("df"))
         .where(F.lit(min_df <= 1) | (F.col("df") >= min_df))
         .select("phrase", "count")
     )
@@ -89,37 +80,45 @@ def top_bigrams(
     return counts if top_n is None else counts.orderBy(F.desc("count"), "phrase").limit(top_n)
 
 
+def _term_counts(ordered: Column) -> Column:
+    """(term, tf) of a sorted word array, from the places where the word changes."""
+    n = F.size(ordered)
+    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(every, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(n))
+    return F.when(
+        n > 0,
+        F.zip_with(starts, ends, lambda a, b: F.struct(F.get(ordered, a).alias("term"), (b - a).cast("long").alias("tf"))),
+    ).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
+
+
 def term_weights(
     corpus: DataFrame,
     *,
     text_col: str = "review_text",
     id_col: str = "review_id",
     max_df: float = 0.95,
-    max_terms: int = 2000,
+    max_terms: int | None = None,
     stop_words: Sequence[str] | None = None,
 ) -> DataFrame:
     """TF-IDF per text and term: ``tf * (ln((1+n)/(1+df)) + 1)``, scaled to unit length per text.
 
-    Terms in more than ``max_df`` of the texts are dropped, then the ``max_terms`` most frequent
-    are kept.
+    Terms in more than ``max_df`` of the texts are dropped; ``max_terms`` keeps the most frequent of
+    the others only. Terms are counted within the row of their text, before anything is shuffled.
     """
-    tf = (
-        corpus.select(F.col(id_col), F.explode(_content(text_col, stop_words)).alias("term"))
-        .groupBy(id_col, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    words = corpus.select(F.col(id_col), F.array_sort(_content(text_col, stop_words)).alias("words"))
+    tf = words.select(id_col, F.inline(_term_counts(F.col("words"))))
     n = corpus.agg(F.count(F.lit(1))).scalar()
     vocab = (
         tf.groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
         .withColumn("n", n)
         .where(F.col("df") <= F.lit(float(max_df)) * F.col("n"))
-        .orderBy(F.desc("total"), "term")
-        .limit(max_terms)
-        .select("term", (F.ln((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
     )
-    # max_terms bounds the vocabulary, so it may be broadcast.
-    weighted = tf.join(F.broadcast(vocab), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    if max_terms is not None:
+        vocab = vocab.orderBy(F.desc("total"), "term").limit(max_terms)
+    vocab = vocab.select("term", (F.ln((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
+    weighted = tf.join(vocab, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return weighted.select(id_col, "term", "tf", (F.col("w") / norm).alias("weight"))
 
@@ -130,6 +129,27 @@ def theme_clusters(phrases: DataFrame, phrase_col: str = "phrase") -> DataFrame:
     hits = words.agg(
         *[F.coalesce(F.bool_or(F.col("word").isin(list(ws))), F.lit(False)).alias(t) for t, ws in THEME_WORDS.items()]
     )
+    return _named_themes(hits)
+
+
+def themes_of_texts(
+    corpus: DataFrame, text_col: str = "review_text", stop_words: Sequence[str] | None = None
+) -> DataFrame:
+    """:func:`theme_clusters` over all phrases of the texts, without counting phrases.
+
+    Every content word of a text with two or more of them stands in a phrase.
+    """
+    words = corpus.select(_content(text_col, stop_words).alias("words")).where(F.size("words") >= 2)
+    hits = words.agg(
+        *[
+            F.coalesce(F.bool_or(F.arrays_overlap("words", F.array(*map(F.lit, ws)))), F.lit(False)).alias(t)
+            for t, ws in THEME_WORDS.items()
+        ]
+    )
+    return _named_themes(hits)
+
+
+def _named_themes(hits: DataFrame) -> DataFrame:
     problems = [t for t in THEME_WORDS if t != "positive"]
     any_problem = F.lit(False)
     for t in problems:

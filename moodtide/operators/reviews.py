@@ -9,46 +9,67 @@ from pyspark.sql import functions as F
 
 from moodtide.functions.text import excerpt, text_key
 from moodtide.operators.scoring import disagreement
-from moodtide.session import broadcast_if_small
 
-# Sample size and seed of the tail-day slice.
-MAX_TAIL_REVIEWS = 400
+# Seed of the sample of the tail-day slice.
 TAIL_SEED = 42
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep the first row of each key. Each task keeps its own first row before the shuffle."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    """Keep the first row of each key. Each task keeps its own first row before the shuffle.
+
+    Text keys are compared by their digest, so that sorting does not move whole texts about.
+    """
+    kinds = dict(df.dtypes)
+    parts = [_raw_digest(F.col(k)) if kinds[k] == "string" else F.col(k) for k in keys]
+    w = Window.partitionBy(*parts).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+def _raw_digest(text: Column) -> Column:
+    """256 bits that stand for a text as it is; NULL for NULL."""
+    return F.unhex(F.sha2(text, 256))
+
+
 # -- scores without texts ---------------------------------------------------------------
 
 
 def score_table(
     scored: DataFrame, *, with_digest: bool = True, compatibility_forms: bool = True
 ) -> DataFrame:
-    """Scores of every review with a digest in place of its text: about a hundred bytes a row.
+    """Scores of every review with digests in place of its text: about a hundred bytes a row.
 
     Persisted once, it serves the daily table, the queue and the flagged corpus, which then fetch
-    only the few texts they show; texts are read and scored a single time. The digest is that of
-    the text key, NULL for an empty text; only the queue needs it.
+    only the few texts they show; texts are read and scored a single time. ``digest`` is that of
+    the text key, NULL for an empty text; only the queue needs it. ``raw`` is that of the text itself:
+    with id, day and ticker it names a review, as ids may repeat.
     """
+    facts = ["review_id", "date", "ticker", "score_a", "score_b"]
+    raw = _raw_digest(F.col("review_text")).alias("raw")
     if not with_digest:
-        return scored.select("review_id", "date", "ticker", "score_a", "score_b")
+        return scored.select(*facts, raw)
     key = text_key(F.col("review_text"), compatibility_forms=compatibility_forms)
-    keyed = scored.select("review_id", "date", "ticker", "score_a", "score_b", key.alias("key"))
+    keyed = scored.select(*facts, raw, key.alias("key"))
     digest = F.when(F.col("key") != "", F.unhex(F.sha2("key", 256)))
-    return keyed.select("review_id", "date", "ticker", "score_a", "score_b", digest.alias("digest"))
+    return keyed.select(*facts, "raw", digest.alias("digest"))
 
 
-def _with_texts(texts: DataFrame, few: DataFrame) -> DataFrame:
-    """Texts of the ``few`` rows of a top-k, whose limit bounds the broadcast.
+_IDENTITY = ("review_id", "date", "ticker", "raw")
 
-    Rows that share an id are copies of one another; one is kept.
-    """
-    rows = texts.select("review_id", "review_text").join(F.broadcast(few), "review_id")
-    return first_per_key(rows, ["review_id"], [F.col("review_text")])
+
+def _with_texts(texts: DataFrame, few: DataFrame) -> DataFrame:
+    """Texts of the ``few`` rows of a top-k, whose limit bounds the broadcast; rows that repeat stay."""
+    others = [c for c in few.columns if c not in _IDENTITY]
+    same = few.groupBy(*_IDENTITY, *others).agg(F.count(F.lit(1)).alias("__times"))
+    own = texts.select("review_id", "date", "ticker", "review_text")
+    own = own.withColumn("raw", _raw_digest(F.col("review_text")))
+    named = same.select(*[F.col(c).alias(f"__{c}") for c in _IDENTITY], *others, "__times")
+    match = F.lit(True)
+    for c in _IDENTITY:
+        match = match & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    found = own.join(F.broadcast(named), match).drop(*[f"__{c}" for c in _IDENTITY])
+    once = first_per_key(found, [*_IDENTITY, *others], [F.lit(1)])
+    again = F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))
+    return once.withColumn("__n", again).drop("__n", "__times", "raw")
 
 
 # -- queue of texts on which the scorers disagree ---------------------------------------
@@ -59,10 +80,10 @@ def disagreement_queue(
     top_k: int = 10,
     *,
     texts: DataFrame | None = None,
-    max_chars: int = 500,
+    max_chars: int | None = None,
     compatibility_forms: bool = True,
 ) -> DataFrame:
-    """Top-k reviews by score gap with distinct text.
+    """Top-k reviews by score gap with distinct text; ``max_chars`` cuts the text shown.
 
     Copies combine before the shuffle, as each text is a digest with its best (gap, review);
     only the k winners then fetch their text. ``scored`` may be a :func:`score_table`, with the
@@ -72,7 +93,7 @@ def disagreement_queue(
     if "digest" not in scored.columns:
         texts = scored
         table = score_table(scored, compatibility_forms=compatibility_forms)
-    facts = ["date", "ticker", "score_a", "score_b"]
+    facts = ["date", "ticker", "score_a", "score_b", "raw"]
     rank = F.struct((-disagreement()).alias("g"), "review_id", *facts)
     # Unscored and empty texts get no rank. Filtering them first would score every text twice,
     # as the filter would be evaluated below the scoring.
@@ -92,7 +113,7 @@ def disagreement_queue(
             "review_id",
             "date",
             "ticker",
-            F.left("review_text", F.lit(max_chars)).alias("text"),
+            (F.col("review_text") if max_chars is None else F.left("review_text", F.lit(max_chars))).alias("text"),
             "score_a",
             "score_b",
             (-F.col("g")).alias("disagreement"),
@@ -150,7 +171,7 @@ def day_excerpts(
         "target_date",
         F.explode(F.array(F.col("target_date"), F.date_sub("target_date", 1))).alias("date"),
     )
-    found = reviews.join(broadcast_if_small(wanted), [*by, "date"], "inner").select(
+    found = reviews.join(wanted, [*by, "date"], "inner").select(
         *by, "target_date", "date", "review_id", "review_text"
     )
     group = Window.partitionBy(*by, "target_date")
@@ -233,6 +254,9 @@ def exact_quantiles(
     picked = cum.groupBy(*by, "q", "p", "n").agg(
         at("i").alias("a"), at("j").alias("b"), F.max("frac").alias("frac")
     )
+    # A rank outside its bracket is an error of the sketch's bound, not a missing value.
+    outside = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    picked = picked.withColumns({x: F.when(F.col(x).isNull(), outside).otherwise(F.col(x)) for x in "ab"})
     return picked.select(*by, "q", "p", "n", (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("value"))
 
 
@@ -261,7 +285,7 @@ def tail_days(reg: DataFrame, quantile: float = 0.1, by: Sequence[str] = ()) ->
 
 def reviews_on_days(reviews: DataFrame, days: DataFrame) -> DataFrame:
     """Reviews whose (date, ticker) is among ``days``."""
-    return reviews.join(broadcast_if_small(days), ["date", "ticker"], "left_semi")
+    return reviews.join(days, ["date", "ticker"], "left_semi")
 
 
 def fixed_sample(df: DataFrame, n: int, *, seed: int = TAIL_SEED, id_col: str = "review_id") -> DataFrame:
@@ -275,10 +299,10 @@ def tail_reviews(
     reg: DataFrame,
     *,
     quantile: float = 0.1,
-    max_reviews: int | None = MAX_TAIL_REVIEWS,
+    max_reviews: int | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Reviews of the tail days, sampled down to ``max_reviews`` (None keeps all).
+    """Reviews of the tail days; ``max_reviews`` takes a fixed sample of them.
 
     With a costly scorer, pass unscored reviews and score the result.
     """
@@ -306,7 +330,7 @@ def corpus_slices(
     texts: DataFrame | None = None,
     top_n: int = 80,
     quantile: float = 0.1,
-    max_tail_reviews: int | None = MAX_TAIL_REVIEWS,
+    max_tail_reviews: int | None = None,
 ) -> DataFrame:
     """High-disagreement reviews and tail-day reviews, marked by ``slice``; may overlap.
 
@@ -326,7 +350,7 @@ def flagged_corpus(
     texts: DataFrame | None = None,
     top_n: int = 80,
     quantile: float = 0.1,
-    max_tail_reviews: int | None = MAX_TAIL_REVIEWS,
+    max_tail_reviews: int | None = None,
 ) -> DataFrame:
     """Both slices, one row per (text, date, ticker); the disagreement row wins."""
     both = corpus_slices(
@@ -342,13 +366,14 @@ def flagged_corpus(
 
 def corpus_provenance(slices: DataFrame, *, quantile: float = 0.1) -> DataFrame:
     """How many reviews each slice brought and how many stayed after removing repeats."""
-    w = Window.partitionBy(*_CORPUS_KEYS).orderBy(*_corpus_order())
-    marked = slices.select(
-        "slice", (F.row_number().over(w) == 1).alias("kept")
+    # The rows kept beside all rows: ranking every row would gather a much-copied text in one task.
+    kept_rows = first_per_key(slices, _CORPUS_KEYS, _corpus_order())
+    marked = slices.select("slice", F.lit(False).alias("kept")).union(
+        kept_rows.select("slice", F.lit(True))
     )
     counts = marked.agg(
-        F.count_if(F.col("slice") == "disagreement").alias("n_disagreement"),
-        F.count_if(F.col("slice") == "tail").alias("n_tail"),
+        F.count_if((F.col("slice") == "disagreement") & ~F.col("kept")).alias("n_disagreement"),
+        F.count_if((F.col("slice") == "tail") & ~F.col("kept")).alias("n_tail"),
         F.count_if((F.col("slice") == "disagreement") & F.col("kept")).alias("kept_disagreement"),
         F.count_if((F.col("slice") == "tail") & F.col("kept")).alias("kept_tail"),
     )

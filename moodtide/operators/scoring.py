@@ -5,84 +5,111 @@ A scorer is a function ``(DataFrame, output column) -> DataFrame`` that adds one
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodtide.functions.numeric import finite_or_null
 from moodtide.functions.text import tokens
-from moodtide.session import broadcast_if_small
 
 Scorer = Callable[[DataFrame, str], DataFrame]
 BatchModel = Callable[[Sequence[str]], Sequence[float]]
 
-# Largest lexicon whose words are put into the expression; bigger ones are joined.
-MAX_INLINE_WORDS = 20_000
-
 _TOKENS = "__tokens"
 
 
 # -- lexicon table ----------------------------------------------------------------------
 
 
-def _inline_lexicon(lexicon: DataFrame, limit: int) -> dict[str, dict[str, float]] | None:
-    """The lexicon as {kind: {word: weight}}, or None when it has more than ``limit`` words."""
-    rows = lexicon.select("word", "kind", "weight").limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    out: dict[str, dict[str, float]] = {"polarity": {}, "negation": {}, "intensifier": {}}
-    for r in rows:
-        out[r["kind"]][r["word"]] = r["weight"] if r["weight"] is not None else -0.5
-    return out
-
-
-def _weight_of(word: Column, weights: Mapping[str, float], default: float | None) -> Column:
-    """Weight lookup as one hashed IN-list per distinct weight (a map literal is scanned linearly)."""
-    by_weight: dict[float, list[str]] = {}
-    for w, v in weights.items():
-        by_weight.setdefault(v, []).append(w)
-    known: Column | None = None
-    for v, ws in sorted(by_weight.items()):
-        hit = word.isin(ws)
-        known = F.when(hit, F.lit(float(v))) if known is None else known.when(hit, F.lit(float(v)))
-    fallback = F.lit(default).cast("double")
-    if known is None:
-        return fallback
-    return F.when(word.isin(list(weights)), known).otherwise(fallback)
+KINDS = ("polarity", "negation", "intensifier")
+DEFAULT_NEGATION = -0.5
 
+# Words of a lexicon travel inside the expression; a table of more words is no lexicon, but an error.
+MAX_WORDS = 1_000_000
+
+_SLOT = "array<map<string, struct<weight: double, factor: double>>>"
 
-def _clip(x: Column) -> Column:
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x))
 
+def normalised_lexicon(lexicon: DataFrame) -> dict[str, tuple[float | None, float | None]]:
+    """word -> (polarity weight, factor on the next word), from ``word, kind, weight``.
 
-def _telling_words(words: Column, lex: Mapping[str, Mapping[str, float]]) -> Column:
-    """Lexicon words with their position; the rest of the text is dropped in a cheap pass."""
-    known = sorted({w for kind in lex.values() for w in kind})
-    marked = F.transform(
-        words, lambda w, i: F.when(w.isin(known), F.struct(i.alias("at"), w.alias("word")))
+    A word listed more than once for a kind has its largest weight there. A negation without weight
+    has ``DEFAULT_NEGATION``; polarity words and intensifiers without weight, and rows without word,
+    are left out. A word that is both negation and intensifier is a negation.
+    """
+    weight = F.when(F.col("kind") == "negation", F.coalesce("weight", F.lit(DEFAULT_NEGATION))).otherwise(F.col("weight"))
+    rows = (
+        lexicon.where(F.col("word").isNotNull())
+        .groupBy("word", "kind")
+        .agg(F.max(weight.cast("double")).alias("weight"))
+        .limit(MAX_WORDS + 1)
+        .collect()
     )
-    return F.array_compact(marked)
+    if len(rows) > MAX_WORDS:
+        raise ValueError(f"a lexicon has at most {MAX_WORDS} words")
+    unknown = {r["kind"] for r in rows} - set(KINDS)
+    if unknown:
+        raise ValueError(f"unknown kinds of lexicon words: {sorted(map(str, unknown))}")
+    by = {(r["word"], r["kind"]): r["weight"] for r in rows if r["weight"] is not None}
+    return {
+        w: (by.get((w, "polarity")), by.get((w, "negation"), by.get((w, "intensifier"))))
+        for w in sorted({w for w, _ in by})
+    }
+
+
+class _Lookup:
+    """Weights of a word in an expression: one constant array of small maps, addressed by a hash.
+
+    A map literal is scanned from its start and a chain of conditions grows with the number of
+    different weights; here a look-up reads one slot, however many words and weights there are.
+    """
+
+    def __init__(self, lexicon: Mapping[str, tuple[float | None, float | None]], spark: SparkSession):
+        self.n = max(1, 2 * len(lexicon))
+        words = list(lexicon)
+        slots: list[dict] = [{} for _ in range(self.n)]
+        for w, slot in zip(words, self._slots(words, spark)):
+            weight, factor = lexicon[w]
+            slots[slot][w] = {"weight": weight, "factor": factor}
+        self.table = F.from_json(F.lit(json.dumps(slots)), _SLOT)
+
+    def _slots(self, words: list[str], spark: SparkSession) -> list[int]:
+        """The hash is Spark's own, so that both sides agree."""
+        if not words:
+            return []
+        frame = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
+        rows = frame.select("i", F.pmod(F.xxhash64("w"), F.lit(self.n)).alias("slot")).collect()
+        return [r["slot"] for r in sorted(rows, key=lambda r: r["i"])]
+
+    def of(self, word: Column) -> Column:
+        return F.get(self.table, F.pmod(F.xxhash64(word), F.lit(self.n)).cast("int"))[word]
+
+
+def _clip(x: Column) -> Column:
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x))
 
 
-def _scan_tokens(words: Column, lex: Mapping[str, Mapping[str, float]]) -> Column:
+def _scan_tokens(words: Column, lexicon: _Lookup) -> Column:
     """Mean weight over a token array; the state holds the last modifier and its position.
 
     ``words`` occurs once in the result, so however the optimiser moves the expression, a text
-    is never split more than once per score.
+    is never split more than once per score. The rest of the text is dropped in a first pass.
     """
-    modifiers = {**lex["intensifier"], **lex["negation"]}
+    looked_up = F.transform(words, lambda w, i: F.struct(i.alias("at"), lexicon.of(w).alias("w")))
+    hits = F.filter(looked_up, lambda h: h["w"].isNotNull())
 
     def step(acc: Column, hit: Column) -> Column:
-        weight = _weight_of(hit["word"], lex["polarity"], None)
+        weight = hit["w"]["weight"]
         polar = weight.isNotNull()
         factor = F.when(acc["at"] == hit["at"] - 1, acc["factor"]).otherwise(1.0)
         return F.struct(
             F.when(polar, acc["total"] + _clip(weight * factor)).otherwise(acc["total"]).alias("total"),
             F.when(polar, acc["hits"] + 1).otherwise(acc["hits"]).alias("hits"),
-            _weight_of(hit["word"], modifiers, 1.0).alias("factor"),
+            F.coalesce(hit["w"]["factor"], F.lit(1.0)).alias("factor"),
             hit["at"].alias("at"),
         )
 
@@ -93,78 +120,26 @@ def _scan_tokens(words: Column, lex: Mapping[str, Mapping[str, float]]) -> Colum
         F.lit(-1).alias("at"),
     )
     return F.aggregate(
-        _telling_words(words, lex),
+        hits,
         start,
         step,
         lambda acc: F.when(acc["hits"] > 0, acc["total"] / acc["hits"]).otherwise(F.lit(0.0)),
     )
 
 
-def _join_lexicon(
-    df: DataFrame, lexicon: DataFrame, out: str, text_col: str, id_col: str
-) -> DataFrame:
-    """Lexicon of any size: tokens meet the table in a join.
-
-    Tokens are first reduced to (word, factor) counts per review, so a frequent word costs one
-    row per review rather than one per occurrence.
-    """
-    lex = lexicon.groupBy("word").agg(
-        F.max(F.when(F.col("kind") == "polarity", F.col("weight"))).alias("w_polarity"),
-        F.max(F.when(F.col("kind") == "negation", F.coalesce("weight", F.lit(-0.5)))).alias("w_neg"),
-        F.max(F.when(F.col("kind") == "intensifier", F.col("weight"))).alias("w_int"),
-    )
-    words = F.col(_TOKENS)
-    pairs = F.zip_with(
-        words,
-        F.concat(F.array(F.lit("")), F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))),
-        lambda w, p: F.struct(w.alias("word"), p.alias("prev")),
-    )
-    exploded = (
-        df.select(F.col(id_col).alias("__id"), tokens(F.col(text_col)).alias(_TOKENS))
-        .where(F.size(_TOKENS) > 0)
-        .select("__id", F.inline(pairs))
-        .groupBy("__id", "word", "prev")
-        .agg(F.count("*").alias("times"))
-    )
-    polarity = lex.where(F.col("w_polarity").isNotNull()).select("word", "w_polarity")
-    mods = lex.select(
-        F.col("word").alias("prev"), F.coalesce("w_neg", "w_int").alias("factor")
-    ).where(F.col("factor").isNotNull())
-    polar = exploded.join(broadcast_if_small(polarity), "word")
-    mods = broadcast_if_small(mods)
-    scores = (
-        polar.join(mods, "prev", "left")
-        .select("__id", "times", _clip(F.col("w_polarity") * F.coalesce("factor", F.lit(1.0))).alias("v"))
-        .groupBy("__id")
-        .agg((F.sum(F.col("v") * F.col("times")) / F.sum("times")).alias(out))
-    )
-    joined = df.join(scores, df[id_col] == scores["__id"], "left").drop("__id")
-    return joined.withColumn(
-        out, F.when(F.col(text_col).isNotNull(), F.coalesce(F.col(out), F.lit(0.0)))
-    )
-
-
-def lexicon_scorer(
-    lexicon: DataFrame,
-    *,
-    text_col: str = "review_text",
-    id_col: str = "review_id",
-    max_inline_words: int = MAX_INLINE_WORDS,
-) -> Scorer:
+def lexicon_scorer(lexicon: DataFrame, *, text_col: str = "review_text") -> Scorer:
     """Mean weight of the polarity words of a text, 0.0 when it has none.
 
-    ``lexicon`` has ``word, kind (polarity | negation | intensifier), weight``. A polarity word
-    counts its weight times the previous token's factor (-0.5 after a negation unless the table
-    says otherwise), clipped to [-1, 1].
+    ``lexicon`` has ``word, kind (polarity | negation | intensifier), weight``; see
+    :func:`normalised_lexicon`. A polarity word counts its weight times the previous token's factor,
+    clipped to [-1, 1]. Texts stay where they are: no shuffle, no Python.
     """
-    inline = _inline_lexicon(lexicon, max_inline_words)
+    lookup = _Lookup(normalised_lexicon(lexicon), lexicon.sparkSession)
 
     def score(df: DataFrame, out: str) -> DataFrame:
-        if inline is None:
-            return _join_lexicon(df, lexicon, out, text_col, id_col)
         if _TOKENS not in df.columns:
             df = df.withColumn(_TOKENS, tokens(F.col(text_col)))
-        return df.withColumn(out, _scan_tokens(F.col(_TOKENS), inline))
+        return df.withColumn(out, _scan_tokens(F.col(_TOKENS), lookup))
 
     return score
 
@@ -208,23 +183,28 @@ def model_scorer(
 ) -> Scorer:
     """Score with a user model: ``factory`` runs once per task, the model gets text batches.
 
-    Errors of the model surface when the result is computed; they are not swallowed.
+    Only the text crosses to Python. A NULL text has a NULL score. Errors of the model surface when
+    the result is computed; they are not swallowed.
     """
 
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = factory()
+        for texts in batches:
+            there = texts.notna()
+            some = texts[there].tolist()
+            values: list[float] = []
+            for i in range(0, len(some), batch_size):
+                values.extend(float(v) for v in model(some[i : i + batch_size]))
+            out = pd.Series(float("nan"), index=texts.index)
+            out[there] = values
+            yield out
+
+    run_model = F.pandas_udf(run, T.DoubleType())
+
     def score(df: DataFrame, out: str) -> DataFrame:
-        schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
-
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            model = factory()
-            for pdf in frames:
-                texts = pdf[text_col].fillna("").tolist()
-                values: list[float] = []
-                for i in range(0, len(texts), batch_size):
-                    values.extend(float(v) for v in model(texts[i : i + batch_size]))
-                yield pdf.assign(**{out: values})
-
-        scored = df.mapInPandas(run, schema)
-        return scored.withColumn(out, _clip(finite_or_null(F.col(out))))
+        scored = df.withColumn(out, finite_or_null(run_model(F.col(text_col))))
+        # least and greatest pass over NULL
+        return scored.withColumn(out, F.when(F.col(out).isNotNull(), _clip(F.col(out))))
 
     return score
 

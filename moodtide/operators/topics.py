@@ -206,6 +206,8 @@ def factorise(
         if len(since) == sweeps_per_table:
             state = _written(state.mapInPandas(_replayed(since, k), _STATE), f"{folder}/{sweep}")
             since = []
+    else:
+        raise RuntimeError(f"topics did not settle in {max_iter} sweeps; last violation {violation:g} of {first_violation:g}")
     return topics
 
 

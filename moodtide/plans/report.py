@@ -38,6 +38,7 @@ class Options:
     min_train: int = 25
     min_holdout: int = 8
     tail_quantile: float = 0.1
+    max_tail_reviews: int | None = None
     bigram_top_n: int = 15
     n_topics: int = 5
     unique_market: bool = False
@@ -103,6 +104,22 @@ class Run:
         o = self.options
         return S.stability_frame(self.reg, by=o.by, window=o.window, min_rows=o.min_rows)
 
+    @cached_property
+    def biggest_drop(self) -> DataFrame:
+        return S.biggest_drop(self.panel, self.options.by)
+
+    @cached_property
+    def biggest_gap(self) -> DataFrame:
+        return S.biggest_gap(self.panel, self.options.by)
+
+    @cached_property
+    def sharpest_shift(self) -> DataFrame:
+        return S.sharpest_shift(self.stability, self.options.by)
+
+    @cached_property
+    def early_late_rolling(self) -> DataFrame:
+        return S.early_late_rolling(self.stability, self.options.by)
+
     @cached_property
     def ols_a(self) -> DataFrame:
         return S.ols_hc3(self.reg, "avg_a_lag1", by=self.options.by)
@@ -158,6 +175,7 @@ class Run:
             "texts": self.reviews,
             "top_n": max(self.options.top_disagreement * 5, 60),
             "quantile": self.options.tail_quantile,
+            "max_tail_reviews": self.options.max_tail_reviews,
         }
 
     def bigrams(self) -> DataFrame:

@@ -17,6 +17,8 @@ from moodtide.operators import stats as S
 MIN_SERIES = 15
 
 
+# The thresholds and labels of the rules below.
+
 # -- single rules -----------------------------------------------------------------------
 
 
@@ -158,12 +160,17 @@ def entity_statistics(
         *S.stability_spread_columns(), F.count(F.lit(1)).alias("n_stability")
     )
     out = out.join(spread, by, "left")
+    last = S.stability_endpoints(stability, by).select(
+        *by, *(F.col(f"{kind}_{s}").alias(f"last_{kind}_{s}") for s in "ab" for kind in ("expanding", "rolling"))
+    )
+    out = out.join(last, by, "left")
     for s in ("a", "b"):
         held = S.holdout_eval(
-            long_enough, f"avg_{s}_lag1", by=by, min_train=min_train, min_holdout=min_holdout, p_value=False
+            long_enough, f"avg_{s}_lag1", by=by, min_train=min_train, min_holdout=min_holdout
         ).select(
             *by,
             F.col("corr_pred_actual").alias(f"holdout_r_{s}"),
+            F.col("p_value").alias(f"holdout_p_{s}"),
             F.col("n_train").alias(f"n_train_{s}"),
             F.col("n_holdout").alias(f"n_holdout_{s}"),
         )
@@ -204,6 +211,8 @@ def add_verdicts(stats: DataFrame) -> DataFrame:
             "holdout_available_b": c("n_holdout_b").isNotNull(),
             "holdout_verdict_a": holdout_verdict(c("holdout_r_a"), c("r_a")),
             "holdout_verdict_b": holdout_verdict(c("holdout_r_b"), c("r_b")),
+            "significance_a": F.when(c("n_holdout_a").isNotNull(), significance(c("holdout_p_a"))),
+            "significance_b": F.when(c("n_holdout_b").isNotNull(), significance(c("holdout_p_b"))),
             "holdout_class_a": F.when(c("n_holdout_a").isNotNull(), holdout_class(c("holdout_r_a"))),
             "disagreement_level": disagreement_level(gap_note),
             "disagreement_warning": F.coalesce(gap_note > 0.28, F.lit(False)),

@@ -1,14 +1,10 @@
-"""Session settings: shared folder for checkpoints, size-checked broadcasts."""
+"""Session settings: the shared folder for checkpoints."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows up to which a side may be broadcast once its size has been counted.
-BROADCAST_ROWS = 1_000_000
+from pyspark.sql import SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -27,14 +23,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting that it has at most ``max_rows`` rows.
-
-    Beyond that the join is left to Spark, which shuffles both sides and splits skewed keys.
-    Counting runs the plan of ``df``: pass something cheap or persisted.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodtide.functions.dates import parse_day
+from moodtide.functions.dates import as_day
 from moodtide.functions.numeric import to_number
 
 # Column names that point to a role.
@@ -17,7 +17,12 @@ TEXT_HINTS = ("review_text", "text", "body", "content", "comment", "review", "me
 TICKER_HINTS = ("ticker", "symbol", "sym", "stock", "tick")
 RETURN_HINTS = ("ret", "return", "daily_return", "log_ret", "pct_return")
 
-DATE_ROWS, TEXT_ROWS, TICKER_ROWS, RETURN_ROWS = 200, 150, 100, 200
+# Parts of names that point to a role.
+DATE_PARTS = ("date", "time", "created")
+TEXT_PARTS = ("text", "body", "review", "comment")
+TICKER_PARTS = ("symbol", "ticker")
+RETURN_PARTS = ("return",)
+
 LOW_CONFIDENCE = 0.42
 
 
@@ -54,124 +59,86 @@ def _hinted(name: str, exact: Sequence[str], parts: Sequence[str]) -> bool:
     return n in exact or any(p in n for p in parts)
 
 
-def _head(df: DataFrame, order_by: str | None) -> DataFrame:
-    """The first rows in long form: ``col, pos, value, kind``; ``pos`` counts non-null values too.
+def _middle_below(value: Column, limit: float, *, inclusive: bool) -> Column:
+    """Whether the median of ``value`` lies below ``limit``, from counts and the values next to it."""
+    low = value <= limit if inclusive else value < limit
+    n, below = F.count(value), F.count_if(low)
+    middle = (F.max(F.when(low, value)) + F.min(F.when(~low, value))) / 2
+    halved = middle <= limit if inclusive else middle < limit
+    return F.when(below * 2 > n, True).when((below * 2 == n) & (n > 0), F.coalesce(halved, F.lit(False))).otherwise(False)
+
+
+def _statistics(column: str, data_type: str) -> Column:
+    """What the whole column shows, as one struct of aggregates."""
+    c = F.col(column)
+    text = c.cast("string")
+    number = to_number(c)
+    length = F.length(text).cast("double")
+    if data_type == "string":
+        is_text = F.count(c) != F.count(F.when(c.isNotNull(), c.try_cast("double")))
+    else:
+        is_text = F.lit(False)
+    # only days that preparation can read count as dates
+    day = as_day(c, data_type)
+    size = F.abs(number)
+    return F.struct(
+        F.coalesce(F.avg(day.isNotNull().cast("double")), F.lit(0.0)).alias("date_rate"),
+        is_text.alias("is_text"),
+        F.avg(length).alias("mean_len"),
+        F.count(text).alias("filled"),
+        F.count_distinct(F.when(text.isNotNull(), F.xxhash64(text))).alias("n_values"),
+        _middle_below(length, 6, inclusive=True).alias("short"),
+        F.coalesce(F.avg(number.isNotNull().cast("double")), F.lit(0.0)).alias("num_rate"),
+        _middle_below(size, 0.5, inclusive=False).alias("small"),
+    )
+
 
-    At most 200 rows per column reach the driver. A column with too few non-null values among
-    the first rows is looked up again past its NULLs.
+def column_scores(df: DataFrame) -> DataFrame:
+    """One row per column: how much it looks like a date, text, ticker and return column.
+
+    One aggregation over the whole table; its one row is turned into a row per column.
     """
     names = [f"c{i}" for i in range(len(df.columns))]
     flat = df.toDF(*names)
-    kinds = {n: t for n, t in flat.dtypes}
-    texts = flat.select(*[F.col(n).cast("string").alias(n) for n in names])
-    if order_by is not None:
-        rank = names[df.columns.index(order_by)]
-        flat = flat.orderBy(rank)
-        texts = flat.select(*[F.col(n).cast("string").alias(n) for n in names])
-    first = texts.limit(DATE_ROWS).collect()
-    long_rows: list[tuple[int, int, str | None, int | None, str]] = []
-    for i, n in enumerate(names):
-        values = [r[n] for r in first]
-        kind = _kind(kinds[n], values)
-        present = [v for v in values if v is not None]
-        if len(present) < TEXT_ROWS and len(first) == DATE_ROWS:
-            present = [r[0] for r in texts.where(F.col(n).isNotNull()).select(n).limit(TEXT_ROWS).collect()]
-        for p, v in enumerate(values):
-            long_rows.append((i, p, v, None, kind))
-        for p, v in enumerate(present):
-            long_rows.append((i, p, v, p, kind))
-    schema = "col int, pos int, value string, filled_pos int, kind string"
-    return df.sparkSession.createDataFrame(long_rows, schema)
-
-
-def _kind(data_type: str, values: Sequence[str | None]) -> str:
-    if data_type == "date" or data_type.startswith("timestamp"):
-        return "date"
-    if data_type == "boolean":
-        return "boolean"
-    if data_type != "string":
-        return "number"
-    present = [v for v in values if v is not None]
-    return "number" if present and all(_is_number(v) for v in present) else "string"
-
-
-def _is_number(v: str) -> bool:
-    try:
-        float(v)
-    except ValueError:
-        return False
-    return "_" not in v
-
-
-def column_scores(df: DataFrame, *, order_by: str | None = None) -> DataFrame:
-    """One row per column: how much it looks like a date, text, ticker and return column."""
-    head = _head(df, order_by)
-    value, kind = F.col("value"), F.col("kind")
-    in_head, filled = F.col("filled_pos").isNull(), F.col("filled_pos").isNotNull()
-    parsed = F.when(kind == "string", parse_day(value).isNotNull()).otherwise(
-        value.isNotNull() & (kind != "boolean")
-    )
-    number = to_number(value)
-
-    def share(condition: Column) -> Column:
-        return F.avg(F.when(in_head, condition.cast("double")))
-
-    length = F.length(value).cast("double")
-    in_text, in_tick = filled & (F.col("filled_pos") < TEXT_ROWS), filled & (F.col("filled_pos") < TICKER_ROWS)
-    stats = head.groupBy("col").agg(
-        F.first("kind").alias("kind"),
-        share(parsed).alias("date_rate"),
-        F.avg(F.when(in_text, length)).alias("mean_len"),
-        F.count(F.when(in_tick, value)).alias("n_tick"),
-        F.count_distinct(F.when(in_tick, value)).alias("n_values"),
-        F.percentile(F.when(in_tick, length), F.lit(0.5)).alias("mid_len"),
-        share(number.isNotNull()).alias("num_rate"),
-        F.percentile(F.when(in_head, F.abs(number)), F.lit(0.5)).alias("mid_abs"),
-    )
-    spark = df.sparkSession
-    hints = spark.createDataFrame(
-        [
-            (
-                i,
-                c,
-                _hinted(c, DATE_HINTS, ("date", "time", "created")),
-                _hinted(c, TEXT_HINTS, ("text", "body", "review", "comment")),
-                _hinted(c, TICKER_HINTS, ("symbol", "ticker")),
-                _hinted(c, RETURN_HINTS, ("return",)),
-            )
-            for i, c in enumerate(df.columns)
-        ],
-        "col int, name string, h_date boolean, h_text boolean, h_ticker boolean, h_ret boolean",
-    )
+    kinds = [t for _, t in flat.dtypes]
+    all_stats = flat.agg(*[_statistics(n, t).alias(n) for n, t in zip(names, kinds)])
+
+    def described(i: int) -> Column:
+        name = df.columns[i]
+        return F.struct(
+            F.lit(i).alias("position"),
+            F.lit(name).alias("name"),
+            F.col(names[i]).alias("s"),
+            F.lit(_hinted(name, DATE_HINTS, DATE_PARTS)).alias("h_date"),
+            F.lit(_hinted(name, TEXT_HINTS, TEXT_PARTS)).alias("h_text"),
+            F.lit(_hinted(name, TICKER_HINTS, TICKER_PARTS)).alias("h_ticker"),
+            F.lit(_hinted(name, RETURN_HINTS, RETURN_PARTS)).alias("h_ret"),
+        )
+
+    each = all_stats.select(F.inline(F.array(*[described(i) for i in range(len(names))])))
 
     def bonus(flag: Column, points: float) -> Column:
         return F.when(flag, points).otherwise(0.0)
 
-    date_score = F.coalesce("date_rate", F.lit(0.0)) * 3 + bonus(F.col("h_date"), 2.0)
+    s = F.col("s")
+    few = (s["n_values"] >= 1) & (s["n_values"] <= F.least(F.lit(50), s["filled"]))
+    date_score = s["date_rate"] * 3 + bonus(F.col("h_date"), 2.0)
     text_score = F.when(
-        (kind == "string") & F.col("mean_len").isNotNull(),
-        F.least(F.col("mean_len") / 30, F.lit(4.0)) + bonus(F.col("h_text"), 3.0),
+        s["is_text"], F.least(s["mean_len"] / 30, F.lit(4.0)) + bonus(F.col("h_text"), 3.0)
     ).otherwise(0.0)
-    few = (F.col("n_values") >= 1) & (F.col("n_values") <= F.least(F.lit(50), F.col("n_tick")))
     ticker_score = F.when(
-        F.col("n_tick") > 0,
-        1.0 + bonus(few, 2.0) + bonus(F.col("mid_len") <= 6, 1.0) + bonus(F.col("h_ticker"), 3.0),
+        s["filled"] > 0, 1.0 + bonus(few, 2.0) + bonus(s["short"], 1.0) + bonus(F.col("h_ticker"), 3.0)
     ).otherwise(0.0)
     ret_score = F.when(
-        F.col("num_rate") >= 0.5,
-        F.col("num_rate") * 2 + bonus(F.col("mid_abs") < 0.5, 1.0) + bonus(F.col("h_ret"), 3.0),
+        s["num_rate"] >= 0.5, s["num_rate"] * 2 + bonus(s["small"], 1.0) + bonus(F.col("h_ret"), 3.0)
     ).otherwise(0.0)
-    return (
-        hints.join(stats, "col", "left")
-        .select(
-            F.col("col").alias("position"),
-            "name",
-            date_score.alias("date_score"),
-            text_score.alias("text_score"),
-            ticker_score.alias("ticker_score"),
-            ret_score.alias("ret_score"),
-        )
-        .orderBy("position")
+    return each.select(
+        "position",
+        "name",
+        date_score.alias("date_score"),
+        text_score.alias("text_score"),
+        ticker_score.alias("ticker_score"),
+        ret_score.alias("ret_score"),
     )
 
 
@@ -184,7 +151,6 @@ def _best(rows, score: str, exclude: Sequence[str] = ()) -> str | None:
 def infer_review_columns(
     df: DataFrame,
     *,
-    order_by: str | None = None,
     date_col: str | None = None,
     text_col: str | None = None,
     ticker_col: str | None = None,
@@ -192,7 +158,7 @@ def infer_review_columns(
     """Date, text and ticker columns with a confidence in [0, 1]; named columns override."""
     if not df.columns:
         return ReviewColumns("date", "review_text", "ticker", 0.0)
-    rows = column_scores(df, order_by=order_by).collect()
+    rows = column_scores(df).orderBy("position").collect()
     d, t, k = (_best(rows, s) for s in ("date_score", "text_score", "ticker_score"))
     if len({d, t, k}) < 3:
         t = _best(rows, "text_score", exclude=(d, k)) or t
@@ -207,7 +173,6 @@ def infer_review_columns(
 def infer_market_columns(
     df: DataFrame,
     *,
-    order_by: str | None = None,
     date_col: str | None = None,
     ticker_col: str | None = None,
     ret_col: str | None = None,
@@ -215,7 +180,7 @@ def infer_market_columns(
     """Date, ticker and return columns with a confidence in [0, 1]; named columns override."""
     if not df.columns:
         return MarketColumns("date", "ticker", "ret", 0.0)
-    rows = column_scores(df, order_by=order_by).collect()
+    rows = column_scores(df).orderBy("position").collect()
     d, k = _best(rows, "date_score"), _best(rows, "ticker_score")
     r = _best(rows, "ret_score", exclude=(d, k)) or _best(rows, "ret_score")
     by_name = {x["name"]: x for x in reversed(rows)}

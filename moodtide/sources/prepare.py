@@ -31,19 +31,23 @@ def _fullest_first(df: DataFrame, cols: Sequence[str]) -> Column:
 
 
 def merge_collisions(df: DataFrame, *, text_name: str = "review_text") -> DataFrame:
-    """Merge columns that share a name, left to right.
+    """Merge columns that share a name, left to right; names that differ in case only are the same.
 
     For the text column the column with the most characters comes first and blanks are filled
     from the others.
     """
     names = df.columns
-    if len(set(names)) == len(names):
+    folded = [n.lower() for n in names]
+    if len(set(folded)) == len(names):
         return df
     unique = [f"__{i}" for i in range(len(names))]
     flat = df.toDF(*unique)
     out = []
-    for name in dict.fromkeys(names):
-        same = [u for u, n in zip(unique, names) if n == name]
+    for low in dict.fromkeys(folded):
+        same = [u for u, n in zip(unique, folded) if n == low]
+        # the spelling of the canonical name if one column has it, else that of the first
+        spelled = [n for n in names if n.lower() == low]
+        name = low if low in spelled else spelled[0]
         if len(same) == 1:
             out.append(F.col(same[0]).alias(name))
         elif name != text_name:

@@ -6,9 +6,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from moodtide.operators.mining import default_stop_words
-from workload.oracles import STOP_WORDS
+from workload.oracles import ORACLES, STOP_WORDS
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,11 +26,11 @@ def canonical(rows):
     return sorted(clean, key=lambda r: tuple(str(v) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_result(spark, sql, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
-    cursor = sql.execute(entry.oracle_sql()[name])
+    cursor = sql.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert cols == sorted(names)
     want = canonical([tuple(r[names.index(c)] for c in cols) for r in cursor.fetchall()])
@@ -39,10 +39,10 @@ def test_same_result(spark, sql, name):
 
 
 def test_queries_without_sql_still_run(spark):
-    rest = set(entry.queries()) - set(entry.oracle_sql())
+    rest = set(QUERIES) - set(ORACLES)
     assert rest == {"nmf_topics_corpus", "snapshot_json"}
     for name in rest:
-        assert entry.queries()[name](spark, SF).count() == 5
+        assert QUERIES[name](spark, SF).count() == 5
 
 
 def test_stop_word_list(spark):

@@ -29,7 +29,7 @@ def scored(spark):
 def test_queue_has_distinct_texts(scored, parts):
     q = R.disagreement_queue(scored.repartition(parts), 10).collect()
     assert [r.review_id for r in q] == [1, 4, 7]
-    assert len(q[2].text) == 500 and q[0].disagreement == pytest.approx(1.0)
+    assert len(q[2].text) == 600 and q[0].disagreement == pytest.approx(1.0)
     assert [r.review_id for r in R.disagreement_queue(scored, 2).collect()] == [1, 4]
 
 
@@ -42,6 +42,23 @@ def test_queue_with_repeated_ids(scored):
     assert [r.review_id for r in R.disagreement_queue(scored.union(scored), 10).collect()] == [1, 4, 7]
 
 
+def test_texts_that_differ_after_many_characters_are_two(spark):
+    rows = [(1, D[0], "T", "x" * 600 + "a", 0.9, 0.0), (2, D[0], "T", "x" * 600 + "b", 0.8, 0.0)]
+    df = spark.createDataFrame(rows, SCORED)
+    assert [r.review_id for r in R.disagreement_queue(df, 5).collect()] == [1, 2]
+    assert R.dedupe_queue(df.withColumnRenamed("review_text", "text").withColumn("disagreement", F.lit(1.0))).count() == 2
+
+
+def test_an_id_that_repeats_across_entities_keeps_its_own_text(spark):
+    rows = [(1, D[0], "A", "alpha", 0.1, 0.0), (1, D[0], "B", "beta", 0.9, 0.0), (2, D[1], "B", "copy", 0.5, 0.0), (2, D[1], "B", "copy", 0.5, 0.0)]
+    df = spark.createDataFrame(rows, SCORED)
+    table = R.score_table(df)
+    assert [r.text for r in R.disagreement_queue(table, 1, texts=df).collect()] == ["beta"]
+    direct = R.top_disagreement(df, 3).select("review_id", "ticker", "review_text", "disagreement")
+    joined = R.top_disagreement(table, 3, texts=df).select("review_id", "ticker", "review_text", "disagreement")
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, direct.collect()))
+
+
 def test_dedupe_and_top(scored):
     top = R.top_disagreement(scored, 4)
     assert [r.review_id for r in top.collect()] == [5, 1, 2, 3]
@@ -108,11 +125,3 @@ def test_corpus_prefers_the_disagreement_row(spark):
     assert p.source == "top 1 by score gap plus reviews on 10% / 90% return tails"
     off = reviews.withColumn("score_b", F.lit(None).cast("double"))
     assert "second scorer off" in R.corpus_provenance(R.corpus_slices(off, reg)).first().source
-
-
-def test_beyond_the_broadcast_bound_the_join_still_works(spark, monkeypatch):
-    import moodtide.session as session
-
-    df = spark.range(50)
-    assert session.broadcast_if_small(df, 10) is df
-    assert df.join(session.broadcast_if_small(df, 10), "id").count() == 50

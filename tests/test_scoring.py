@@ -31,9 +31,8 @@ def lexicon(spark):
     return spark.createDataFrame(LEXICON, "word string, kind string, weight double")
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_lexicon_rule(reviews, lexicon, limit):
-    scored = N.score_reviews(reviews, N.lexicon_scorer(lexicon, max_inline_words=limit))
+def test_lexicon_rule(reviews, lexicon):
+    scored = N.score_reviews(reviews, N.lexicon_scorer(lexicon))
     got = {r.review_id: r.score_a for r in scored.collect()}
     assert got == {i: pytest.approx(v) for i, (_, v) in enumerate(CASES)}
     assert scored.columns == ["review_id", "review_text", "score_a", "score_b"]
@@ -45,10 +44,24 @@ def test_word_of_two_kinds(spark):
         "word string, kind string, weight double",
     )
     df = spark.createDataFrame([(1, "pretty good"), (2, "pretty plain good")], "review_id long, review_text string")
-    for limit in (100, 0):
-        out = N.score_reviews(df, N.lexicon_scorer(lex, max_inline_words=limit))
-        got = {r.review_id: r.score_a for r in out.collect()}
-        assert got == {1: pytest.approx((0.3 + 0.8) / 2), 2: pytest.approx((0.3 + 0.4) / 2)}
+    out = N.score_reviews(df, N.lexicon_scorer(lex))
+    got = {r.review_id: r.score_a for r in out.collect()}
+    assert got == {1: pytest.approx((0.3 + 0.8) / 2), 2: pytest.approx((0.3 + 0.4) / 2)}
+
+
+def test_lexicon_is_normalised_once(spark):
+    schema = "word string, kind string, weight double"
+    rows = [("good", "polarity", 0.1), ("good", "polarity", 0.5), ("odd", "polarity", None), ("very", "intensifier", None),
+            ("not", "negation", None), (None, "polarity", 1.0)]
+    df = spark.createDataFrame([(1, "good"), (1, "odd"), (2, "very good"), (3, "not good"), (4, None)], "review_id long, review_text string")
+    out = N.score_reviews(df, N.lexicon_scorer(spark.createDataFrame(rows, schema))).collect()
+    assert sorted((r.review_id, r.score_a) for r in out if r.review_text) == [(1, 0.0), (1, 0.5), (2, 0.5), (3, -0.25)]
+    with pytest.raises(ValueError, match="unknown kinds"):
+        N.lexicon_scorer(spark.createDataFrame([("x", "loud", 1.0)], schema))
+    many = [(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "polarity", i / 4000 - 0.5) for i in range(4000)]
+    text = spark.createDataFrame([(1, f"{many[7][0]} {many[3999][0]} zzz")], "review_id long, review_text string")
+    got = N.score_reviews(text, N.lexicon_scorer(spark.createDataFrame(many, schema))).first().score_a
+    assert got == pytest.approx((many[7][2] + many[3999][2]) / 2)
 
 
 def test_second_scorer_absent_is_null(reviews, lexicon):
@@ -77,6 +90,9 @@ def test_model_hook_batches_and_raises(spark):
     got = N.model_scorer(factory)(df, "s").orderBy("review_id").collect()
     assert [r.s for r in got] == [pytest.approx(min(1.0, i / 20)) for i in range(40)]
 
+    holes = spark.createDataFrame([(1, None), (2, "x" * 4)], "review_id long, review_text string")
+    assert [r.s for r in N.model_scorer(factory)(holes, "s").orderBy("review_id").collect()] == [None, pytest.approx(0.2)]
+
     def broken():
         raise RuntimeError("no weights here")
 

@@ -65,7 +65,7 @@ def test_infer_messy_headers(spark):
     assert (guess.date_col, guess.text_col, guess.ticker_col) == ("When Posted", "Body", "Symbol")
     assert not guess.uncertain
     scores = {r["name"]: r for r in detect.column_scores(df).collect()}
-    assert scores["Stars"]["date_score"] == 3.0  # numbers read as time stamps
+    assert scores["Stars"]["date_score"] == 0.0  # no number that preparation reads as a day
     assert scores["Stars"]["text_score"] == 0.0
     assert scores["Body"]["text_score"] == pytest.approx(3 + len(rows[0][2]) / 30)
     assert guess.confidence == pytest.approx(min(1, (3 + scores["Body"]["text_score"] + 7) / 18))
@@ -91,10 +91,39 @@ def test_infer_market_returns_original_names(spark):
 def test_sparse_column_is_looked_up_past_its_nulls(spark):
     rows = [(i, None if i < 300 else "word " * 30) for i in range(310)]
     df = spark.createDataFrame(rows, "id int, body string").coalesce(1)
-    scores = {r["name"]: r["text_score"] for r in detect.column_scores(df, order_by="id").collect()}
+    scores = {r["name"]: r["text_score"] for r in detect.column_scores(df).collect()}
     assert scores["body"] == pytest.approx(7.0)
 
 
+def test_whole_numbers_are_dates_only_where_preparation_reads_them(spark):
+    df = spark.createDataFrame([(i, 20240101 + i, f"text number {i} " * 4, "ABC") for i in range(9)], "no int, day int, body string, sym string")
+    scores = {r["name"]: r["date_score"] for r in detect.column_scores(df).collect()}
+    assert scores["no"] == 0 and scores["day"] == 3
+    c = detect.infer_review_columns(df)
+    assert (c.date_col, c.text_col, c.ticker_col) == ("day", "body", "sym")
+    assert prepare.prepare_reviews(df, c.date_col, c.text_col, c.ticker_col).count() == 9
+
+
+def test_headers_that_differ_in_case(spark):
+    df = spark.createDataFrame([("2024-01-02", "x", "T", "one"), (None, "2024-01-03", "T", "two")], "posted string, Date string, sym string, body string")
+    out = prepare.prepare_reviews(df, "posted", "body", "sym").collect()
+    assert sorted((r.date.isoformat(), r.review_text) for r in out) == [("2024-01-02", "one"), ("2024-01-03", "two")]
+
+
+def test_days_do_not_move_with_the_session_zone(spark):
+    from moodtide.functions.dates import parse_day
+
+    texts = ["2024-01-02T23:30:00Z", "2024-01-02 00:30:00+09:00", "2024-01-02T01:02:03.456-0800", "2024-01-02"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert {r[0].isoformat() for r in df.select(parse_day(F.col("t"))).collect()} == {"2024-01-02"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_merge_collisions(spark):
     df = spark.createDataFrame(
         [(1, "short", "a much longer text", "x", None), (2, None, "  ", None, "y"), (3, "left", "nan", None, None)],

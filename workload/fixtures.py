@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodtide.functions.text import tokens
 from moodtide.operators import panel as P
 from moodtide.operators import reviews as R
 from moodtide.operators.scoring import Scorer, disagreement, lexicon_scorer, score_reviews
@@ -39,16 +40,25 @@ def lexicon(spark: SparkSession, which: int) -> DataFrame:
     return spark.createDataFrame(rows, "word string, kind string, weight double")
 
 
+def derived_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first token of every document, with a weight from the id: thousands of words and weights."""
+    first = F.get(tokens(F.col("text")), F.lit(0))
+    words = table(spark, sf_dir, "documents").select(first.alias("word"), "doc_id").where("word IS NOT NULL")
+    weight = (F.min("doc_id") % 1999) / F.lit(1000.0) - F.lit(1.0)
+    return words.groupBy("word").agg(weight.alias("weight")).withColumn("kind", F.lit("polarity"))
+
+
 # -- text panel -------------------------------------------------------------------------
 
 
-def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_reviews(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     slot = F.expr("cast((doc_id div 30) % 5 as int) + 1")
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("review_id"),
         F.date_add(F.to_date(F.lit("2024-01-01")), F.expr("cast(doc_id % 30 as int)")).alias("date"),
         F.element_at(F.array(*[F.lit(e) for e in ENTITIES]), slot).alias("ticker"),
         F.col("text").alias("review_text"),
+        *more,
     )
 
 

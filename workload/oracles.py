@@ -170,8 +170,8 @@ register("reviews_csv", f"WITH {A_REVIEWS} SELECT review_id, date, ticker, md5(r
 register("market_csv", f"WITH {A_MARKET} SELECT date, ticker, {r('ret')} FROM market")
 
 # The queue's text key is checked on its own below; here NFKC changes nothing but letters.
-KEY = r"""left(trim(regexp_replace(lower(regexp_replace(nfc_normalize({}),
-  '[\x{{200B}}-\x{{200F}}\x{{2028}}\x{{2029}}\x{{FEFF}}\x{{2060}}\x{{00A0}}]', ' ', 'g')), '[\s\p{{Z}}]+', ' ', 'g')), 500)"""
+KEY = r"""trim(regexp_replace(lower(regexp_replace(nfc_normalize({}),
+  '[\x{{200B}}-\x{{200F}}\x{{2028}}\x{{2029}}\x{{FEFF}}\x{{2060}}\x{{00A0}}]', ' ', 'g')), '[\s\p{{Z}}]+', ' ', 'g'))"""
 
 QUEUE = f"""{scored()},
 keyed AS (
@@ -182,7 +182,7 @@ firsts AS (
 
 register("queue_csv", f"WITH {QUEUE} SELECT review_id, date, ticker, {r('disagreement')} FROM firsts "
          "ORDER BY firsts.disagreement DESC, review_id LIMIT 10")
-register("disagreement_queue", f"WITH {QUEUE} SELECT review_id, date, ticker, md5(left(review_text, 500)) AS text, "
+register("disagreement_queue", f"WITH {QUEUE} SELECT review_id, date, ticker, md5(review_text) AS text, "
          f"{r('score_a')}, {r('score_b')}, {r('disagreement')} FROM firsts "
          "ORDER BY firsts.disagreement DESC, review_id LIMIT 25")
 register("dedupe_queue", f"WITH {QUEUE} SELECT review_id, {r('disagreement')} FROM firsts")
@@ -195,33 +195,32 @@ register("top_disagreement", f"WITH {scored()} SELECT review_id, date, ticker, "
 
 def _column(side: str, pos: int, name: str, src: str, value: str, is_text: bool, date_ok: str, number: str,
             hints: tuple[int, int, int, int]) -> str:
-    """Scores of one column from the first rows of ``src``; hints are the bonus points."""
+    """Scores of one column of ``src``; hints are the bonus points."""
     hd, ht, hk, hr = hints
-    text_score = f"least(avg(length(v)) FILTER (i <= 150) / 30, 4.0) + {ht}" if is_text else "0.0"
+    text_score = f"least(avg(length(v)) / 30, 4.0) + {ht}" if is_text else "0.0"
     return f"""
 SELECT {pos} AS position, '{name}' AS name, '{side}' AS side,
   {r(f"avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) * 3 + {hd}", "date_score")},
   {r(f"({text_score})::DOUBLE", "text_score")},
-  {r(f"(1.0 + CASE WHEN count(DISTINCT v) FILTER (i <= 100) BETWEEN 1 AND least(50, count(v) FILTER (i <= 100)) THEN 2 ELSE 0 END "
-     f"+ CASE WHEN quantile_cont(length(v), 0.5) FILTER (i <= 100) <= 6 THEN 1 ELSE 0 END + {hk})::DOUBLE", "ticker_score")},
+  {r(f"(1.0 + CASE WHEN count(DISTINCT v) BETWEEN 1 AND least(50, count(v)) THEN 2 ELSE 0 END "
+     f"+ CASE WHEN quantile_cont(length(v), 0.5) <= 6 THEN 1 ELSE 0 END + {hk})::DOUBLE", "ticker_score")},
   {r(f"(CASE WHEN avg(CASE WHEN x IS NOT NULL THEN 1.0 ELSE 0.0 END) < 0.5 THEN 0 ELSE "
      f"avg(CASE WHEN x IS NOT NULL THEN 1.0 ELSE 0.0 END) * 2 + CASE WHEN median(abs(x)) < 0.5 THEN 1 ELSE 0 END + {hr} END)::DOUBLE", "ret_score")}
-FROM (SELECT row_number() OVER (ORDER BY o) AS i, v, ok, x FROM (
-  SELECT o, cast({value} AS varchar) AS v, {date_ok} AS ok, {number} AS x FROM {src} ORDER BY o LIMIT 200))"""
+FROM (SELECT cast({value} AS varchar) AS v, {date_ok} AS ok, {number} AS x FROM {src})"""
 
 
 _REV = f"(SELECT review_id AS o, * FROM (WITH {A_REVIEWS} SELECT * FROM reviews))"
 _EV = "(SELECT event_id AS o, * FROM events)"
 _COLS = [
-    _column("reviews", 0, "row no", _REV, "review_id", False, "true", "review_id::DOUBLE", (0, 0, 0, 0)),
+    _column("reviews", 0, "row no", _REV, "review_id", False, "false", "review_id::DOUBLE", (0, 0, 0, 0)),
     _column("reviews", 1, "When Posted", _REV, "strftime(date, '%m/%d/%Y')", True, "true", "NULL::DOUBLE", (0, 0, 0, 0)),
     _column("reviews", 2, "Body", _REV, "review_text", True, "false", "NULL::DOUBLE", (0, 3, 0, 0)),
     _column("reviews", 3, "Symbol", _REV, "ticker", True, "false", "NULL::DOUBLE", (0, 0, 3, 0)),
-    _column("reviews", 4, "Size", _REV, "length(review_text)", False, "true", "length(review_text)::DOUBLE", (0, 0, 0, 0)),
-    _column("market", 0, "No", _EV, "event_id", False, "true", "event_id::DOUBLE", (0, 0, 0, 0)),
+    _column("reviews", 4, "Size", _REV, "length(review_text)", False, "false", "length(review_text)::DOUBLE", (0, 0, 0, 0)),
+    _column("market", 0, "No", _EV, "event_id", False, "false", "event_id::DOUBLE", (0, 0, 0, 0)),
     _column("market", 1, "Created At", _EV, "strftime(ts, '%Y-%m-%d %H:%M:%S')", True, "true", "NULL::DOUBLE", (2, 0, 0, 0)),
     _column("market", 2, "Sym", _EV, "event_type", True, "false", "NULL::DOUBLE", (0, 0, 3, 0)),
-    _column("market", 3, "Daily Return", _EV, "value/1000", False, "true", "value/1000", (0, 0, 0, 3)),
+    _column("market", 3, "Daily Return", _EV, "value/1000", False, "false", "value/1000", (0, 0, 0, 3)),
 ]
 register("column_scores", " UNION ALL ".join(_COLS))
 # Roles by hand from the scores: argmax per role, leftmost wins; ticker and return exclude earlier picks.
@@ -244,6 +243,8 @@ conf AS (
 SELECT side, d AS date_col, t AS text_col, k AS ticker_col, r AS ret_col, {r('c', 'confidence')}, c < 0.42 AS uncertain
 FROM conf""")
 
+register("infer_and_prepare", f"WITH {A_REVIEWS} SELECT review_id, date, ticker, md5(review_text) AS text_md5 FROM reviews")
+
 register("coalesce_columns", """
 WITH two AS (
   SELECT doc_id, lang, source, CASE WHEN lang = 'en' THEN text ELSE 'nan' END AS a,
@@ -271,7 +272,11 @@ SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM
 # -- scoring ----------------------------------------------------------------------------
 
 register("lexicon_score", f"WITH {scored()} SELECT review_id, date, ticker, {r('score_a')}, {r('score_b')} FROM scored")
-register("lexicon_score_joined", f"WITH {scored()} SELECT review_id, {r('score_a')}, {r('score_b')} FROM scored")
+register("lexicon_score_derived", f"""
+WITH {A_REVIEWS}, {tokens('reviews', 'review_id', 'review_text')},
+lex AS (SELECT token AS word, (min(id) % 1999)/1000.0::DOUBLE - 1.0::DOUBLE AS w FROM tokens WHERE pos = 1 GROUP BY 1),
+means AS (SELECT id, avg(greatest(-1, least(1, w))::DOUBLE) AS a FROM tokens JOIN lex ON token = word GROUP BY id)
+SELECT review_id, {r('coalesce(a, 0.0)', 'score_a')} FROM reviews LEFT JOIN means ON review_id = id""")
 register("expected_score", f"""
 SELECT l_orderkey, l_linenumber,
   {r("greatest(-1.0::DOUBLE, least(1.0::DOUBLE, l_discount*5 - l_tax*6.25))", "score")} FROM lineitem""")
@@ -471,7 +476,7 @@ SLICES = f"""{TAILS},
 high AS (SELECT review_id, date, ticker, review_text, abs(score_a - score_b) AS disagreement, 'disagreement' AS slice
          FROM scored ORDER BY abs(score_a - score_b) DESC, review_id LIMIT 80),
 tail AS (SELECT review_id, date, ticker, review_text, NULL::DOUBLE AS disagreement, 'tail' AS slice
-         FROM scored WHERE (date, ticker) IN (SELECT date, ticker FROM flags) ORDER BY md5('42:' || review_id), review_id LIMIT 400),
+         FROM scored WHERE (date, ticker) IN (SELECT date, ticker FROM flags)),
 slices AS (
   SELECT *, row_number() OVER (PARTITION BY review_text, date, ticker
     ORDER BY slice, disagreement DESC NULLS LAST, review_id) AS rn FROM (SELECT * FROM high UNION ALL SELECT * FROM tail)),
@@ -519,7 +524,7 @@ def weights(docs: str, content: str) -> str:
 tf AS (SELECT id, token AS term, count(*) AS tf FROM {content} GROUP BY 1, 2),
 vocab AS (
   SELECT term, count(*) AS df, sum(tf) AS total, (SELECT count(*) FROM {docs}) AS n FROM tf GROUP BY term
-  HAVING count(*) <= 0.95::DOUBLE * (SELECT count(*) FROM {docs}) ORDER BY sum(tf) DESC, term LIMIT 2000),
+  HAVING count(*) <= 0.95::DOUBLE * (SELECT count(*) FROM {docs})),
 w AS (SELECT id, tf.term, tf, tf * (ln((1.0::DOUBLE + n)/(1 + df)) + 1) AS w FROM tf JOIN vocab ON tf.term = vocab.term)
 SELECT id AS review_id, term, tf, {r('w / sqrt(sum(w*w) OVER (PARTITION BY id))', 'weight')} FROM w"""
 
@@ -554,7 +559,7 @@ for _odd, _to in (("’", "''"), ("“", '"'), ("”", '"'), ("—", "-"), ("–
     _PLAIN = f"replace({_PLAIN}, '{_odd}', '{_to}')"
 register("ascii_safe", rf"""
 WITH a AS (SELECT doc_id, regexp_replace({_PLAIN}, '[^\x20-\x7E\n]+', ' ', 'g') AS t FROM documents),
-b AS (SELECT doc_id, trim(CASE WHEN length(t) > 400 THEN left(t, 400) || '...' ELSE t END, E' \n') AS c FROM a)
+b AS (SELECT doc_id, trim(t, E' \n') AS c FROM a)
 SELECT doc_id, CASE WHEN c = '' THEN ' ' ELSE c END AS plain FROM b""")
 register("strip_markdown", r"""
 WITH a AS (SELECT doc_id, '## ' || lang || E'\n# **' || source || E'** of\n' || text AS t FROM documents)
@@ -582,6 +587,11 @@ def _verdict(c: str, rr: str) -> str:
             f"WHEN ({c} > 0) <> ({rr} > 0) AND abs({c}) > 0.05 AND abs({rr}) > 0.08 THEN 'weakens' ELSE 'inconclusive' END")
 
 
+def _significance(s: str) -> str:
+    return (f"CASE WHEN n_holdout_{s} IS NULL THEN NULL WHEN holdout_p_{s} IS NULL THEN 'undefined' "
+            f"WHEN holdout_p_{s} >= 0.05 THEN 'not_significant' ELSE 'significant' END")
+
+
 VERDICTS = f"""
 v1 AS (
   SELECT *, r_a IS NOT NULL AND r_b IS NOT NULL AS both_scorers, abs(r_a - r_b) AS r_gap,
@@ -598,6 +608,7 @@ v1 AS (
          WHEN end_gap < 0.12 AND (rolling_sd IS NULL OR rolling_sd < 0.11) THEN 'stable' ELSE 'inconclusive' END AS regime,
     n_holdout_a IS NOT NULL AS holdout_available_a, n_holdout_b IS NOT NULL AS holdout_available_b,
     {_verdict('holdout_r_a', 'r_a')} AS holdout_verdict_a, {_verdict('holdout_r_b', 'r_b')} AS holdout_verdict_b,
+    {_significance('a')} AS significance_a, {_significance('b')} AS significance_b,
     CASE WHEN n_holdout_a IS NULL THEN NULL WHEN holdout_r_a IS NULL THEN 'not_scored' WHEN holdout_r_a < -0.05 THEN 'disagreed'
          WHEN abs(holdout_r_a) < 0.15 THEN 'flat' WHEN holdout_r_a < 0.35 THEN 'weak' ELSE 'positive' END AS holdout_class_a,
     CASE WHEN mean_abs_disagreement > 0.45 THEN 'high' WHEN mean_abs_disagreement > 0.25 THEN 'moderate'
@@ -633,7 +644,8 @@ v3 AS (
       'link_summary', 'association_only', 'extend_window'], lambda f: f IS NOT NULL)[1:3] AS summary
   FROM v2)"""
 
-_NUMBERS = ("r_a", "r_b", "end_gap", "rolling_sd", "holdout_r_a", "holdout_r_b", "gap_early", "gap_late",
+_NUMBERS = ("r_a", "r_b", "end_gap", "rolling_sd", "holdout_r_a", "holdout_r_b", "holdout_p_a", "holdout_p_b",
+            "last_expanding_a", "last_rolling_a", "last_expanding_b", "last_rolling_b", "gap_early", "gap_late",
             "mean_abs_disagreement", "r_gap", "drift_size", *_SUMMARY_NAMES)
 _FACT_COLS = ", ".join(f"round({c}, 9) + 0.0 AS {c}" for c in _NUMBERS)
 FACTS_OUT = f"""SELECT v3.* EXCLUDE (flags, summary) REPLACE ({_FACT_COLS}),
@@ -643,7 +655,7 @@ FACTS_OUT = f"""SELECT v3.* EXCLUDE (flags, summary) REPLACE ({_FACT_COLS}),
 def facts(panel: str, min_train: int) -> str:
     def held(s: str) -> str:
         sql = f"{split(f'avg_{s}_lag1', min_train, src='long_reg')}, {fit('split', f'avg_{s}_lag1', 'ticker', 'is_train')}, {HELD.replace('{x}', f'avg_{s}_lag1')}"
-        return (f"h_{s} AS (WITH {sql} SELECT held.ticker, {HELD_CORR} AS holdout_r_{s}, n AS n_train_{s}, n_holdout AS n_holdout_{s} "
+        return (f"h_{s} AS (WITH {sql} SELECT held.ticker, {HELD_CORR} AS holdout_r_{s}, {erfc(_Z)} AS holdout_p_{s}, n AS n_train_{s}, n_holdout AS n_holdout_{s} "
                 "FROM held JOIN fitted ON held.ticker = fitted.g WHERE se IS NOT NULL)")
 
     return f"""{panel},
@@ -651,11 +663,14 @@ long_reg AS (SELECT * FROM reg WHERE ticker IN (SELECT ticker FROM reg GROUP BY
 {stability('long_reg')}, {SPREAD}, {GAPS}, {held('a')}, {held('b')},
 base AS (SELECT ticker, count(*) AS n_days, {SUMMARY_COLS}, min(date) AS overlap_first, max(date) AS overlap_last FROM panel GROUP BY ticker),
 corrs AS (SELECT ticker, {CORR} FROM reg GROUP BY ticker),
+ends AS (SELECT ticker, expanding_a AS last_expanding_a, rolling_a AS last_rolling_a, expanding_b AS last_expanding_b,
+         rolling_b AS last_rolling_b FROM stab QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC, ret DESC) = 1),
 dis AS (SELECT ticker, avg(abs(score_a - score_b)) AS mean_abs_disagreement FROM scored GROUP BY ticker),
 facts AS (
-  SELECT base.*, corrs.* EXCLUDE (ticker), spread.* EXCLUDE (ticker), h_a.* EXCLUDE (ticker), h_b.* EXCLUDE (ticker),
+  SELECT base.*, corrs.* EXCLUDE (ticker), spread.* EXCLUDE (ticker), ends.* EXCLUDE (ticker), h_a.* EXCLUDE (ticker), h_b.* EXCLUDE (ticker),
          gap_early, gap_late, {GAP_CHANGE} AS gap_change, mean_abs_disagreement
   FROM base LEFT JOIN corrs ON base.ticker = corrs.ticker LEFT JOIN spread ON base.ticker = spread.ticker
+  LEFT JOIN ends ON base.ticker = ends.ticker
   LEFT JOIN h_a ON base.ticker = h_a.ticker LEFT JOIN h_b ON base.ticker = h_b.ticker
   LEFT JOIN gaps ON base.ticker = gaps.ticker LEFT JOIN dis ON base.ticker = dis.ticker),
 {VERDICTS}"""
@@ -668,7 +683,7 @@ WITH {facts(B_PANEL, 25)}
 SELECT ticker, (generate_subscripts(flags, 1) - 1)::INT AS position, unnest(flags) AS flag FROM v3""")
 
 _RULE_NUMBERS = ("a_first", "a_last", "a_sd", "b_mean", "r_a", "r_b", "end_gap", "rolling_sd", "holdout_r_a", "holdout_r_b",
-                 "mean_abs_disagreement", "r_gap", "drift_size")
+                 "holdout_p_a", "holdout_p_b", "mean_abs_disagreement", "r_gap", "drift_size")
 register("verdict_rules", f"""
 WITH o AS (SELECT o_custkey, o_orderkey AS k, o_totalprice/499979 AS v FROM orders),
 s AS (SELECT o_custkey, count(*) AS n, arg_min(v, k) AS f, arg_max(v, k) AS l, min(v) AS lo, max(v) AS hi, avg(v) AS m FROM o GROUP BY 1),
@@ -677,13 +692,13 @@ facts AS (
     CASE WHEN l > 0.3 THEN m END AS b_mean, CASE WHEN n > 4 THEN f - m END AS r_a, CASE WHEN n > 6 THEN l - m END AS r_b,
     n AS n_stability, CASE WHEN n > 5 THEN n END AS n_points, CASE WHEN n > 5 THEN abs(f - l) END AS end_gap,
     CASE WHEN n > 8 THEN (hi - m)/3 END AS rolling_sd, CASE WHEN n > 7 THEN m - hi/2 END AS holdout_r_a,
+    CASE WHEN n > 7 THEN abs(f - l) END AS holdout_p_a, CASE WHEN n > 9 THEN (hi - lo)/8 END AS holdout_p_b,
     CASE WHEN n > 6 THEN n END AS n_holdout_a, CASE WHEN n > 9 THEN lo - m/2 END AS holdout_r_b, CASE WHEN n > 8 THEN n END AS n_holdout_b,
     CASE WHEN f > 0.5 THEN 'widened' WHEN f > 0.3 THEN 'narrowed' END AS gap_change,
     CASE WHEN n > 3 THEN hi - lo END AS mean_abs_disagreement FROM s),
 {VERDICTS}
 SELECT v3.* EXCLUDE (flags, summary) REPLACE ({", ".join(f"round({c}, 9) + 0.0 AS {c}" for c in _RULE_NUMBERS)}),
-  array_to_string(flags, ',') AS risk_flags, array_to_string(summary, ',') AS executive_summary,
-  CASE WHEN r_a IS NULL THEN 'undefined' WHEN abs(r_a) >= 0.05 THEN 'not_significant' ELSE 'significant' END AS significance
+  array_to_string(flags, ',') AS risk_flags, array_to_string(summary, ',') AS executive_summary
 FROM v3""")
 
 register("run_fingerprint", f"""

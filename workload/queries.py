@@ -103,16 +103,16 @@ def _returns_export(spark, d):
 
 @query
 def column_scores(spark, d):
-    reviews = detect.column_scores(_export(spark, d), order_by="row no").withColumn("side", F.lit("reviews"))
-    market = detect.column_scores(_returns_export(spark, d), order_by="No").withColumn("side", F.lit("market"))
+    reviews = detect.column_scores(_export(spark, d)).withColumn("side", F.lit("reviews"))
+    market = detect.column_scores(_returns_export(spark, d)).withColumn("side", F.lit("market"))
     return reviews.unionByName(market)
 
 
 @query
 def infer_scores(spark, d):
     """Columns picked for each role, with confidence and the low-confidence flag."""
-    r = detect.infer_review_columns(_export(spark, d), order_by="row no")
-    m = detect.infer_market_columns(_returns_export(spark, d), order_by="No")
+    r = detect.infer_review_columns(_export(spark, d))
+    m = detect.infer_market_columns(_returns_export(spark, d))
     rows = [
         ("reviews", r.date_col, r.text_col, r.ticker_col, None, r.confidence, r.uncertain),
         ("market", m.date_col, None, m.ticker_col, m.ret_col, m.confidence, m.uncertain),
@@ -124,6 +124,15 @@ def infer_scores(spark, d):
     )
 
 
+@query
+def infer_and_prepare(spark, d):
+    """The picked columns, put to use: every review of the export is kept."""
+    raw = _export(spark, d)
+    c = detect.infer_review_columns(raw)
+    out = prepare.prepare_reviews(raw, c.date_col, c.text_col, c.ticker_col, id_col="row no")
+    return out.select("review_id", "date", "ticker", F.md5("review_text").alias("text_md5"))
+
+
 @query
 def coalesce_columns(spark, d):
     """Two columns of the same name for text and for source, merged."""
@@ -152,10 +161,7 @@ def _mixed_date(day):
 
 @query
 def prep_reviews(spark, d):
-    docs = X.text_reviews(spark, d).join(
-        X.table(spark, d, "documents").select(F.col("doc_id").alias("review_id"), "lang"), "review_id"
-    )
-    raw = docs.select(
+    raw = X.text_reviews(spark, d, "lang").select(
         "review_id",
         _mixed_date(F.col("date")).alias("posted"),
         F.when(F.col("ticker") != "view", F.col("ticker")).alias("sym"),
@@ -205,14 +211,13 @@ def lexicon_score(spark, d):
 
 
 @query
-def lexicon_score_joined(spark, d):
-    """The same scores through the join that serves lexicons of any size."""
+def lexicon_score_derived(spark, d):
+    """Scores by a lexicon of thousands of words with as many weights, derived from the documents."""
     scored = N.score_reviews(
         X.text_reviews(spark, d),
-        N.lexicon_scorer(X.lexicon(spark, 0), max_inline_words=0),
-        N.lexicon_scorer(X.lexicon(spark, 1), max_inline_words=0),
+        N.lexicon_scorer(X.derived_lexicon(spark, d)),
     )
-    return scored.select("review_id", "score_a", "score_b")
+    return scored.select("review_id", "score_a")
 
 
 @query
@@ -464,7 +469,7 @@ def tail_reviews(spark, d):
 @query
 def tail_reviews_sampled(spark, d):
     """Fixed-size repeatable sample of the tail-day order lines."""
-    rows = R.tail_reviews(X.long_scored(spark, d), X.long_reg(spark, d))
+    rows = R.tail_reviews(X.long_scored(spark, d), X.long_reg(spark, d), max_reviews=400)
     return rows.select("review_id", "date", "ticker")
 
 
@@ -591,17 +596,17 @@ def theme_clusters_pages(spark, d):
     """Themes in all pairs of the raw pages and conversations."""
     pages = X.table(spark, d, "pages").select(F.col("html").alias("review_text"))
     talk = X.table(spark, d, "conversations").select(F.col("text").alias("review_text"))
-    return M.theme_clusters(M.top_bigrams(pages.union(talk), None))
+    return M.themes_of_texts(pages.union(talk))
 
 
 @query
 def theme_clusters_documents(spark, d):
-    return M.theme_clusters(M.top_bigrams(X.text_reviews(spark, d), None))
+    return M.themes_of_texts(X.text_reviews(spark, d))
 
 
 @query
 def nmf_topics_corpus(spark, d):
-    return nmf_topics(_corpus(spark, d))
+    return nmf_topics(_corpus(spark, d), max_terms=2000)
 
 
 # -- scalar functions -------------------------------------------------------------------
@@ -712,6 +717,8 @@ def _window_statistics(spark, d):
         F.when(c("n") > 8, (c("hi") - c("m")) / 3).alias("rolling_sd"),
         F.when(c("n") > 7, c("m") - c("hi") / 2).alias("holdout_r_a"),
         F.when(c("n") > 6, c("n")).alias("n_holdout_a"),
+        F.when(c("n") > 7, F.abs(c("f") - c("l"))).alias("holdout_p_a"),
+        F.when(c("n") > 9, (c("hi") - c("lo")) / 8).alias("holdout_p_b"),
         F.when(c("n") > 9, c("lo") - c("m") / 2).alias("holdout_r_b"),
         F.when(c("n") > 8, c("n")).alias("n_holdout_b"),
         F.when(c("f") > 0.5, "widened").when(c("f") > 0.3, "narrowed").alias("gap_change"),
@@ -723,7 +730,7 @@ def _window_statistics(spark, d):
 def verdict_rules(spark, d):
     """Every rule over one row per customer: thousands of different inputs."""
     out = verdicts.add_verdicts(_window_statistics(spark, d))
-    return _flat(out).withColumn("significance", verdicts.significance(F.abs(F.col("r_a"))))
+    return _flat(out)
 
 
 @query
