@@ -57,7 +57,77 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
+def _fits(host: str, path: str, rule_host: str, rule_path: str) -> str:
+    return f"(({host} = '{rule_host}' OR ends_with({host}, '.{rule_host}')) AND starts_with({path}, '{rule_path}'))"
+
+
+# rules of the query, longest first: host, path, verdict
+_RULES = (("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"), ("net", "/", "block"))
+
+
+def _ruled(host: str, path: str, what: int | None) -> str:
+    """CASE over the rules: their verdict (2) or their text (None)."""
+    cases = (f"WHEN {_fits(host, path, h, p)} THEN '{v if what else h + p}'" for h, p, v in _RULES)
+    return f"CASE {' '.join(cases)} END"
+
+
+def _host(url: str) -> str:
+    return f"coalesce({_LOWER.format(rf"regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1)")}, '')"
+
+
+def _path(url: str) -> str:
+    return f"coalesce(regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+
+
+def _node(url: str) -> str:
+    rest = rf"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^#]*)', 1)"
+    return f"CASE WHEN {_host(url)} <> '' THEN {_host(url)} || CASE WHEN starts_with({rest}, '/') THEN {rest} ELSE '/' || {rest} END END"
+
+
+def _attribute(tag: str, name: str) -> str:
+    value = rf"""regexp_extract({tag}, '(?is)\b{name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 0)"""
+    bare = rf"""regexp_replace({value}, '(?is)^{name}\s*=\s*["'']?|["'']$', '', 'g')"""
+    return f"replace(trim({bare}), '&amp;', '&')"
+
+
+URL_FILTER = rf"""
+WITH RECURSIVE p AS (
+  SELECT page_id, url, coalesce(html, '') AS h, {_host('url')} AS host, {_path('url')} AS path, {_node('url')} AS node FROM pages
+), tags AS (
+  SELECT *, regexp_extract(h, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0) AS canonical,
+    regexp_extract(h, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0) AS refresh FROM p
+), targets AS (
+  SELECT url, path, node, {_attribute('canonical', 'href')} AS t FROM tags
+  UNION ALL
+  SELECT url, path, node, regexp_extract({_attribute('refresh', 'content')}, '(?is)^[\s\d.;,]*url\s*=\s*[''"]?([^''"]+)', 1) FROM tags
+), absolute AS (
+  SELECT node AS a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+    WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
+    WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t
+    WHEN regexp_matches(t, '^(#|\?|[A-Za-z][A-Za-z0-9+.-]*:)') THEN NULL
+    ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') || t
+    END AS target
+  FROM targets WHERE t <> ''
+), one_way AS (
+  SELECT DISTINCT a, {_node('target')} AS b FROM absolute
+), edges AS (
+  SELECT a, b FROM one_way WHERE a <> b UNION SELECT b, a FROM one_way WHERE a <> b
+), reach AS (
+  SELECT a AS node, b AS other FROM edges
+  UNION
+  SELECT reach.node, edges.b FROM reach JOIN edges ON reach.other = edges.a
+), said AS (
+  SELECT node, {_ruled(_host("('http://' || other)"), _path("('http://' || other)"), 2)} AS v FROM reach
+), alias AS (
+  SELECT node, CASE WHEN bool_or(v = 'allow') THEN 'allow' WHEN bool_or(v = 'block') THEN 'block' END AS v FROM said GROUP BY 1
+)
+SELECT page_id, host, path, {_ruled('host', 'path', None)} AS rule,
+  coalesce({_ruled('host', 'path', 2)}, alias.v, 'allow') AS verdict
+FROM p LEFT JOIN alias ON p.node = alias.node
+"""
+
 ORACLES: dict[str, str] = {
     "op1_near_dedup": NEAR_DEDUP,
     "op3_decontamination": DECONTAMINATION,
+    "op10_url_filter": URL_FILTER,
 }
