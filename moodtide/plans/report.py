@@ -191,6 +191,27 @@ class Run:
     def themes(self) -> DataFrame:
         return M.theme_clusters(self.bigrams())
 
+    def mining(self, *, with_topics: bool = True, min_scored: int = 5) -> DataFrame:
+        """What mining the flagged corpus gave, as one row: texts mined, their source, phrases, topics.
+
+        Phrases and topics are empty for fewer than three texts. No row where the corpus is empty or
+        fewer than ``min_scored`` reviews were scored. Topics run jobs when called.
+        """
+        source = self.corpus_source()
+        ranked = self.bigrams().select((-F.col("count")).alias("rank_key"), "phrase", "count")
+        phrases = F.array_sort(F.collect_list(F.struct("rank_key", "phrase", "count")))
+        columns = {
+            "n_docs": self.corpus.agg(F.count(F.lit(1))).scalar(),
+            "source": F.col("source"),
+            "bigrams": ranked.agg(F.transform(phrases, lambda p: F.struct(p["phrase"].alias("phrase"), p["count"].alias("count")))).scalar(),
+        }
+        if with_topics:
+            topics = self.topics().agg(F.array_sort(F.collect_list(F.struct("id", "top_words"))))
+            columns["topics"] = topics.scalar()
+        n_scored = self.scores.agg(F.count(F.lit(1))).scalar()
+        some = (F.col("n_disagreement") + F.col("n_tail") > 0) & (n_scored >= min_scored)
+        return source.where(some).select(*[c.alias(n) for n, c in columns.items()])
+
     def worst_day_excerpts(self, k: int = 3) -> DataFrame:
         return R.day_excerpts(self.reviews, self.worst_day, by=[], k=k)
 

@@ -513,6 +513,12 @@ mined AS (SELECT review_id, review_text FROM corpus WHERE length(regexp_replace(
 _TOP = ("SELECT phrase, count(*) AS count FROM c_grams WHERE (SELECT count(*) FROM mined) >= 3 "
         "GROUP BY phrase ORDER BY count(*) DESC, phrase LIMIT 15")
 register("bigrams", f"WITH {MINED} {_TOP}")
+register("mining_bundle", f"""
+WITH {MINED},
+top AS ({_TOP}),
+c AS (SELECT count(*) FILTER (slice = 'disagreement') AS n FROM slices)
+SELECT (SELECT count(*) FROM mined) AS n_docs, 'top ' || n || ' by score gap plus reviews on 10% / 90% return tails' AS source,
+  (SELECT string_agg(phrase || ':' || count, ',' ORDER BY count DESC, phrase) FROM top) AS phrases FROM c""")
 register("bigrams_all", f"""
 WITH {_DOCS}, {tokens('docs', 'doc_id', 'text')}
 SELECT phrase, count(*) AS count FROM grams GROUP BY phrase HAVING count(DISTINCT id) >= 2
@@ -678,6 +684,10 @@ facts AS (
 
 register("verdict_facts", f"WITH {facts(B_PANEL, 25)} {FACTS_OUT}")
 register("verdict_facts_text", f"WITH {facts(A_PANEL, 15)} {FACTS_OUT}")
+register("snapshot_facts", f"""
+WITH {facts(A_PANEL, 15)}
+SELECT ticker, n_days, {', '.join(r(n) for n in ('r_a', 'r_b', 'a_mean', 'b_sd', 'mean_abs_disagreement', 'holdout_r_a', 'last_rolling_a'))},
+  overlap_first, overlap_last, drift, regime, recommended_action, both_scorers FROM v3""")
 register("risk_flags", f"""
 WITH {facts(B_PANEL, 25)}
 SELECT ticker, (generate_subscripts(flags, 1) - 1)::INT AS position, unnest(flags) AS flag FROM v3""")

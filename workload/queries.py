@@ -752,6 +752,39 @@ def snapshot_json(spark, d):
     return result.entity_snapshots()
 
 
+@query
+def snapshot_facts(spark, d):
+    """The run's snapshots, parsed back into columns."""
+    result = report.run(
+        X.text_reviews(spark, d),
+        X.text_market(spark, d),
+        X.text_scorer(spark, 0),
+        X.text_scorer(spark, 1),
+        report.Options(min_train=15),
+    )
+    fields = (
+        "n_days long, r_a double, r_b double, a_mean double, b_sd double, mean_abs_disagreement double, holdout_r_a double, "
+        "last_rolling_a double, overlap_first date, overlap_last date, drift string, regime string, recommended_action string, "
+        "both_scorers boolean"
+    )
+    parsed = F.from_json("snapshot", fields)
+    return result.entity_snapshots().select("ticker", parsed.alias("s")).select("ticker", "s.*")
+
+
+@query
+def mining_bundle(spark, d):
+    """Number of mined texts, their source and their phrases, of the run on the text panel."""
+    result = report.run(
+        X.text_reviews(spark, d),
+        X.text_market(spark, d),
+        X.text_scorer(spark, 0),
+        X.text_scorer(spark, 1),
+        report.Options(top_disagreement=16),
+    )
+    listed = F.transform("bigrams", lambda b: F.concat_ws(":", b["phrase"], b["count"]))
+    return result.mining(with_topics=False).select("n_docs", "source", F.array_join(listed, ",").alias("phrases"))
+
+
 @query
 def run_fingerprint(spark, d):
     """Fingerprint of a small snapshot per entity, from whole-number fields."""
