@@ -109,7 +109,8 @@ def posting_lists(holders: DataFrame, values: str, share: float) -> DataFrame:
     Two holders with ``share`` of their values in common meet in a list (prefix filter).
     """
     entries = holders.select("id", "c", "n", F.size(values).alias("m"), F.explode(values).alias("v"))
-    shared = entries.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
+    # written, so that the join deals both sides anew and Spark can split the rows of a hot value
+    shared = written(entries.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1"), "shared")
     per_holder = (
         entries.join(shared, "v")
         .groupBy("id", "c", "n", "m")
@@ -138,7 +139,7 @@ def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
         .filter("roots > 1")
         .select("v", F.col("main.root").alias("main"))
     )
-    return placed.join(main, "v")
+    return placed.join(written(main, "main-roots"), "v")
 
 
 def _similar_sizes(n: Column, m: Column, percent: int) -> Column:
@@ -271,7 +272,7 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: str =
     repeated = spare.join(vertices.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     links = written(repeated.select(F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct(), "links")
 
-    leaders = lists.groupBy("v").agg(F.min(F.struct("id", "n")).alias("leader"))
+    leaders = written(lists.groupBy("v").agg(F.min(F.struct("id", "n")).alias("leader")), "leaders")
     star = (
         lists.join(leaders, "v")
         .filter((F.col("id") != F.col("leader.id")) & _similar_sizes(F.col("n"), F.col("leader.n"), percent))
