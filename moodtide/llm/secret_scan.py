@@ -16,9 +16,8 @@ from collections import defaultdict
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from moodtide.llm.common import pieces
+from moodtide.llm.common import pieces, written
 
 # Kinds in their order, and the patterns of the base.
 KINDS = ("assign", "access", "hex", "model")
@@ -209,20 +208,12 @@ def labelled_credentials(docs: DataFrame, text: str = "text", per_kind: int = 10
                 {"kind": pa.array([p[0] for p in pairs], pa.string()), "value": pa.array([p[1] for p in pairs], pa.string())}
             )
 
-    first = Window.partitionBy("kind").orderBy("h", "value")
-    rows = (
-        docs.select(text)
-        .mapInArrow(find, "kind string, value string")
-        .distinct()
-        .withColumn("h", F.xxhash64("value"))
-        .withColumn("n", F.row_number().over(first))
-        .filter(F.col("n") <= per_kind)
-        .collect()
-    )
-    out: dict[str, list[str]] = {k: [] for k in KINDS}
-    for r in sorted(rows, key=lambda r: (r["kind"], r["n"])):
-        out[r["kind"]].append(r["value"])
-    return out
+    values = written(docs.select(text).mapInArrow(find, "kind string, value string").distinct(), "credentials")
+    order = (F.xxhash64("value"), "value")
+    return {
+        k: [r["value"] for r in values.filter(F.col("kind") == k).orderBy(*order).limit(per_kind).collect()]
+        for k in KINDS
+    }
 
 
 def fit(sample: dict[str, list[str]], alpha: float = 0.05) -> tuple[list[Automaton], Automaton]:
