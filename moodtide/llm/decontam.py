@@ -14,17 +14,20 @@ from moodtide.llm.common import ascii_lower, written
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 END = ""  # no word; its posting holds the number of words of a document
-# Rows up to which a table that has been counted is sent to every task; beyond, Spark shuffles.
+# Rows, or other units, up to which a table that has been counted is sent to every task; beyond, Spark
+# shuffles.
 SMALL_ROWS = 200_000
+SMALL_CHARACTERS = 4_000_000
 
 
 def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
-def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """``df``, a written table, marked for broadcast if it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small(df: DataFrame, weight: Column | None = None, most: int = SMALL_ROWS) -> DataFrame:
+    """``df``, a written table, marked for broadcast if its rows weigh ``most`` at most, one each by default."""
+    total = df.agg(F.sum(F.lit(1) if weight is None else weight)).first()[0] or 0
+    return F.broadcast(df) if total <= most else df
 
 
 def test_items(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -51,7 +54,7 @@ def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text:
         F.xxhash64(text).alias("h"),
         F.posexplode(F.concat(words(F.col(text)), F.array(F.lit(END)))).alias("pos", "word"),
     )
-    return written(tokens.join(small(terms), "word").select("doc_id", "h", "pos", "term"), "postings")
+    return written(tokens.join(small(terms, F.length("word") + 1, SMALL_CHARACTERS), "word").select("doc_id", "h", "pos", "term"), "postings")
 
 
 def _windows(items: DataFrame, index: DataFrame, terms: DataFrame, size: int, rare: int) -> DataFrame:
@@ -108,7 +111,7 @@ def occurrences(
     kept = F.filter("windows", lambda w: (F.size(F.array_except(w["rare"], F.col("met"))) == 0) & (w["start"] + F.col("shift") >= 0))
     starts = F.transform(kept, lambda w: w["start"])
     candidates = (
-        met.join(small(by_item), "item_id")
+        met.join(small(by_item, F.size("words") + F.size("windows")), "item_id")
         .select("doc_id", "h", F.struct("item_id", "words", "len", "shift", starts.alias("starts")).alias("c"))
         .filter(F.size("c.starts") > 0)
         .groupBy("doc_id", "h")

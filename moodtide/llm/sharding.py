@@ -112,7 +112,6 @@ def plan(
     rank = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
     ranked = dealt.withColumn("rank", rank).join(F.broadcast(offsets), "part")
     place = F.col("rank") + F.col("before")
-    shard = F.floor(place * shards / F.lit(max(total, 1)))
     shard = F.expr(f"cast((rank + before) * {shards} div {max(total, 1)} as int)")
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return (
