@@ -53,7 +53,11 @@ def test_run_tables(result):
 def test_run_text_steps(result):
     assert result.bigrams().count() == 15
     assert {r.theme for r in result.themes().collect()} >= {"support"}
-    assert result.topics(max_iter=20).count() == 5
+    with pytest.warns(UserWarning, match="did not settle in 5 sweeps"):
+        assert result.topics(max_iter=5).count() == 5
+    bundle = result.mining(with_topics=False).first()
+    assert bundle.n_docs == result.corpus.count() and len(bundle.bigrams) == 15 and bundle.source.startswith("top ")
+    assert result.biggest_drop.count() <= 2 and result.early_late_rolling.count() <= 2
     assert result.worst_day_excerpts().count() == 3 and result.best_day_excerpts().count() == 4
 
 

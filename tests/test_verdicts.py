@@ -40,6 +40,7 @@ def test_rules(spark, fn, values, want):
 STATS = {
     "n_days": 50, "a_first": 0.0, "a_last": 0.5, "a_sd": 0.01, "b_mean": 0.1, "r_a": 0.1, "r_b": 0.12,
     "n_stability": 30, "n_points": 30, "end_gap": 0.01, "rolling_sd": 0.01, "holdout_r_a": 0.2, "holdout_r_b": None,
+    "holdout_p_a": 0.01, "holdout_p_b": None,
     "n_holdout_a": 10, "n_holdout_b": None, "gap_change": "widened", "mean_abs_disagreement": 0.1,
 }
 SCHEMA = ", ".join(
