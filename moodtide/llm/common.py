@@ -45,7 +45,7 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
 
 
 def pieces(
-    batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20
+    batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20
 ) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``max_bytes`` of ``column``; a longer text stays whole."""
     for batch in batches:
@@ -56,6 +56,8 @@ def pieces(
         cuts = np.flatnonzero(np.diff(group)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(int(a), int(b - a))
+        del batch
+        pa.default_memory_pool().release_unused()  # workers are reused: give back what a batch took
 
 
 class Words:

@@ -21,7 +21,7 @@ from moodtide.llm.common import pieces, written
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 END_ID = 1
-_CACHE_SIZE = 400_000
+_CACHE_SIZE = 150_000
 
 
 class Encoder:
@@ -108,7 +108,7 @@ def token_pieces(
 
     def cut(batches):
         enc = encoder(vocabulary)
-        for batch in pieces(batches, text, 4 << 20):
+        for batch in pieces(batches, text):
             owner, start, length, crc, total, ids = [], [], [], [], [], []
             for i, tokens in enumerate(enc.encode(batch.column(text))):
                 tokens = np.append(tokens, np.uint32(END_ID)).astype("<u4")
