@@ -3,17 +3,18 @@
 A node of the tree is a context of the last 0 to ``DEPTH`` bytes; within it every bit of the next byte,
 given the bits before it, has a Krichevsky-Trofimov estimate. Bottom-up, each node weighs its own
 estimate against the product of its children; top-down, these weights mix the estimates of all depths
-into one probability. The tree holds the contexts that make up at least one part in ``max_contexts`` of
-the corpus, hence at most that many at each depth, and is sent to all tasks.
+into one probability. The tree holds every context of the training texts. It is kept as a table: subtrees
+below contexts of two bytes are weighed in tasks, the two levels above, 257 contexts at most, on the driver.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from math import lgamma
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from moodtide.llm.common import BLANK_WORDS, Words, pieces, written
 
 DEPTH = 4
-WORD, GRAM, TEXTS = 0, 1, 2  # kinds of counts
+TOP = 2  # depth from which on subtrees are weighed in tasks
+WORD, GRAM, TEXTS, OTHER = 0, 1, 2, 3  # kinds of counts
 
 
 def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,6 +46,19 @@ def _contexts(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
+def _grams(symbols: np.ndarray) -> np.ndarray:
+    """Context and symbol as one number, for every symbol from the DEPTH-th on."""
+    return (_contexts(symbols) << np.uint64(8) | symbols[DEPTH:]).astype(np.int64)
+
+
+def _real(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which symbols from the DEPTH-th on are not the zeros before a text."""
+    real = np.ones(len(symbols) - DEPTH, bool)
+    for j in range(DEPTH):
+        real[(starts[1:] - 1 - j) - DEPTH] = False
+    return real
+
+
 def _hashes(words: Words) -> np.ndarray:
     names = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.dictionary), np.uint64, len(words.dictionary))
     return names.view(np.int64)
@@ -73,37 +88,45 @@ class _Tally:
         return out
 
 
-def count(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, key, n) over all texts of ``docs``: words by hash, byte sequences, number of texts.
+def count(docs: DataFrame, training: Column, text: str = "text") -> DataFrame:
+    """(kind, key, n): words by hash, byte sequences and number of texts where ``training`` holds, and byte
+    sequences of the other texts.
 
     Words are named by 64-bit hashes. Counts are added up within a task first.
     """
 
     def tally(batches):
-        tallies = {WORD: _Tally(), GRAM: _Tally()}
+        tallies = {WORD: _Tally(), GRAM: _Tally(), OTHER: _Tally()}
         total = 0
 
         def rows(kind, keys, n):
             return pa.RecordBatch.from_pydict({"kind": pa.array(np.full(len(keys), kind, np.int32)), "key": keys, "n": n})
 
+        def counted(texts, kind):
+            symbols, starts, _ = _bytes(texts)
+            keys, n = np.unique(_grams(symbols)[_real(symbols, starts)], return_counts=True)
+            return kind, keys, n
+
         for batch in pieces(batches, text):
-            words = Words(batch.column(text), BLANK_WORDS)
-            found = np.bincount(words.codes, minlength=len(words.dictionary))
-            symbols, starts, lengths = _bytes(batch.column(text))
-            grams = _contexts(symbols) << np.uint64(8) | symbols[DEPTH:]
-            real = np.ones(len(grams), bool)  # not the zeros before a text
-            for j in range(DEPTH):
-                real[(starts[1:] - 1 - j) - DEPTH] = False
-            keys, n = np.unique(grams[real], return_counts=True)
-            total += batch.num_rows
-            for kind, k, c in ((WORD, _hashes(words), found), (GRAM, keys.astype(np.int64), n)):
+            chosen = batch.column("training")
+            learnt, other = (batch.filter(c).column(text) for c in (chosen, pc.invert(chosen)))
+            found = []
+            if len(learnt):
+                words = Words(learnt, BLANK_WORDS)
+                found += [(WORD, _hashes(words), np.bincount(words.codes, minlength=len(words.dictionary)))]
+                found += [counted(learnt, GRAM)]
+            if len(other):
+                found += [counted(other, OTHER)]
+            total += len(learnt)
+            for kind, k, c in found:
                 if tallies[kind].add(k, c):
                     yield rows(kind, *tallies[kind].take())
         for kind, t in tallies.items():
             yield rows(kind, *t.take())
         yield rows(TEXTS, np.zeros(1, np.int64), np.array([total], np.int64))
 
-    parts = docs.select(text).mapInArrow(tally, "kind int, key long, n long")
+    chosen = docs.select(text, F.coalesce(training, F.lit(False)).alias("training"))
+    parts = chosen.mapInArrow(tally, "kind int, key long, n long")
     return written(parts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
 
 
@@ -138,55 +161,13 @@ def _bits(counts: np.ndarray) -> np.ndarray:
 class Tree:
     contexts: list[np.ndarray]  # known contexts of each depth, sorted
     log2: np.ndarray  # log2 of the chance of each byte, a row for each context, by depth
-    _walk: tuple | None = field(default=None, repr=False)
-
-    def walk(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row of the longest known context of two bytes or less, row of a context one byte longer or 0)."""
-        if self._walk is None:
-            start, first = np.zeros(1 << 16, np.int32), [0]
-            for known in self.contexts:
-                first.append(first[-1] + len(known))
-            longer = np.zeros((first[-1], 256), np.int32)
-            for d, known in enumerate(self.contexts):
-                row = np.arange(first[d], first[d + 1], dtype=np.int32)
-                if d <= 2:
-                    start.reshape(-1, 1 << 8 * d)[:, known] = row
-                else:
-                    shorter = first[d - 1] + np.searchsorted(self.contexts[d - 1], known & ((1 << 8 * (d - 1)) - 1))
-                    longer[shorter, known >> 8 * (d - 1)] = row
-            self._walk = start, longer
-        return self._walk
-
-    def __getstate__(self):
-        return {"contexts": self.contexts, "log2": self.log2, "_walk": None}
-
-    def rows(self, symbols: np.ndarray) -> np.ndarray:
-        """Row of the longest known context before every symbol from the DEPTH-th on."""
-        start, longer = self.walk()
-        n = len(symbols) - DEPTH
-
-        def back(j: int) -> np.ndarray:
-            return symbols[DEPTH - j : DEPTH - j + n]
-
-        row = start[back(2).astype(np.int32) << 8 | back(1)]
-        at = np.arange(n)
-        for d in range(3, len(self.contexts)):
-            more = longer[row[at], back(d)[at]]
-            at, more = at[more > 0], more[more > 0]
-            row[at] = more
-        return row
-
-    def log2_probability(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(log2 probability of each text and its end, number of symbols)."""
-        symbols, starts, lengths = _bytes(texts)
-        p = self.log2[self.rows(symbols), symbols[DEPTH:]].astype(np.float64)
-        total = np.concatenate([[0.0], np.cumsum(p)])
-        a = starts - DEPTH
-        return total[a + lengths] - total[a], lengths
 
 
 def weighted_tree(levels: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
-    """Tree from (contexts, byte counts) of each depth, contexts sorted, the empty one at depth 0."""
+    """Tree from (contexts, byte counts) of each depth, contexts sorted, the empty one at depth 0.
+
+    The undivided form of ``chances``, for tables that fit in memory.
+    """
     bits = [_bits(n) for _, n in levels]
     parents = [None] + [
         np.searchsorted(levels[d - 1][0], levels[d][0] & ((1 << 8 * (d - 1)) - 1)) for d in range(1, len(levels))
@@ -221,27 +202,184 @@ def _byte_log2(one: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(counts: DataFrame, max_contexts: int = 1 << 15) -> Tree:
-    """Tree over all byte sequences counted in ``counts``."""
-    grams = counts.filter(F.col("kind") == GRAM)
-    symbols = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    levels = [(np.zeros(1, np.int64), np.zeros((1, 256)))]
-    for d in range(DEPTH + 1):
-        context = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << 8 * d) - 1))
-        at = grams.select(context.alias("c"), F.col("key").bitwiseAND(F.lit(255)).alias("y"), "n")
-        total = F.col("total") * max_contexts >= symbols
-        known = at.groupBy("c").agg(F.sum("n").alias("total")).filter(total if d else F.lit(True)).select("c")
-        rows = at.groupBy("c", "y").agg(F.sum("n").alias("n")).join(known, "c", "left_semi").toPandas()
-        if not len(rows):
+@dataclass
+class _Level:
+    """Bit nodes (context << 8 | node) of one depth that some byte sequence passes, with their weights."""
+
+    names: np.ndarray
+    parent: np.ndarray  # of each node of the level below (or bit of a sequence): its row here
+    zeros: np.ndarray
+    ones: np.ndarray
+    estimate: np.ndarray
+    weighted: np.ndarray
+
+    def one(self) -> np.ndarray:
+        return (self.ones + 0.5) / (self.zeros + self.ones + 1)
+
+    def own(self) -> np.ndarray:
+        return np.exp(np.minimum(self.estimate - np.log(2) - self.weighted, 0))
+
+
+def _subtrees(keys: np.ndarray, n: np.ndarray) -> list[_Level]:
+    """Levels DEPTH to TOP, the deepest first, over whole subtrees of byte sequences counted ``n``."""
+    j = np.arange(8)
+    context, byte = keys[:, None] >> 8, keys[:, None] & 255
+    name = (context << 8 | 1 << j | byte >> (8 - j)).reshape(-1)
+    bit = (byte >> (7 - j) & 1).reshape(-1)
+    zeros, ones = np.repeat(n, 8) * (1.0 - bit), np.repeat(n, 8) * bit.astype(float)
+    below, levels = None, []
+    for d in range(DEPTH, TOP - 1, -1):
+        name = (name >> 8 & ((1 << 8 * d) - 1)) << 8 | name & 255
+        names, at = np.unique(name, return_inverse=True)
+        zeros, ones = np.bincount(at, zeros, len(names)), np.bincount(at, ones, len(names))
+        estimate = _log_kt(zeros, ones)
+        weighted = estimate
+        if below is not None:
+            weighted = np.logaddexp(estimate, np.bincount(at, below, len(names))) - np.log(2)
+        levels.append(_Level(names, at, zeros, ones, estimate, weighted))
+        name, below = names, weighted
+    return levels
+
+
+def _whole_subtrees(batches, least: int = 1 << 17):
+    """(keys, n, m) in groups of whole subtrees, from rows sorted by the subtree."""
+    held = []
+    for batch in batches:
+        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "n", "m")])
+        if sum(len(k) for k, _, _ in held) < least:
+            continue
+        keys, n, m = (np.concatenate(x) for x in zip(*held, strict=True))
+        tree = keys >> 8 & ((1 << 8 * TOP) - 1)
+        cut = int(np.flatnonzero(tree != tree[-1])[-1]) + 1 if (tree != tree[-1]).any() else 0
+        if cut:
+            yield keys[:cut], n[:cut], m[:cut]
+        held = [[keys[cut:], n[cut:], m[cut:]]]
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def chances(counts: DataFrame) -> DataFrame:
+    """(key, m, log2): log2 of the chance of every byte sequence that any text has, ``m`` times in all texts.
+
+    A context that no training text has counts as the longest one of its ends that one has.
+    """
+    learnt = F.when(F.col("kind") == GRAM, F.col("n")).otherwise(F.lit(0))
+    subtree = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1))
+    grams = counts.filter(F.col("kind").isin(GRAM, OTHER)).groupBy("key").agg(F.sum(learnt).alias("n"), F.sum("n").alias("m"))
+    grams = written(grams, "sequences").repartition(subtree).sortWithinPartitions(subtree)
+
+    def up(batches):
+        for keys, n, _ in _whole_subtrees(batches):
+            top = _subtrees(keys, n)[-1]
+            context = keys >> 8 & 255
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "name": pa.array(np.concatenate([top.names & 0xFFFF, context << 8 | keys & 255])),
+                    "n": pa.array(np.concatenate([np.zeros(len(top.names), np.int64), n])),
+                    "weighted": pa.array(np.concatenate([top.weighted, np.zeros(len(keys))])),
+                }
+            )
+
+    # one row for each byte before and bit node or byte: 65,536 at most
+    sums = grams.mapInArrow(up, "name long, n long, weighted double").groupBy("name")
+    sums = sums.agg(F.sum("n").alias("n"), F.sum("weighted").alias("weighted")).toPandas()
+    n, product = np.zeros(1 << 16), np.zeros(1 << 16)
+    n[sums["name"].to_numpy(np.int64)] = sums["n"].to_numpy()
+    product[sums["name"].to_numpy(np.int64)] = sums["weighted"].to_numpy()
+    n = n.reshape(256, 256)
+    got, left, leaf = np.zeros((1, 256)), np.ones((1, 256)), []
+    bits = [_bits(n.sum(axis=0, keepdims=True)), _bits(n)]
+    estimate = [_log_kt(b[..., 0], b[..., 1]) for b in bits]
+    one_byte = np.logaddexp(estimate[1], product.reshape(256, 256)) - np.log(2)
+    weighted = [np.logaddexp(estimate[0], one_byte.sum(axis=0)) - np.log(2), one_byte]
+    for b, e, w in zip(bits, estimate, weighted, strict=True):
+        one, own = (b[..., 1] + 0.5) / (b.sum(axis=2) + 1), np.exp(np.minimum(e - np.log(2) - w, 0))
+        leaf.append(got + left * one)
+        got, left = got + left * own * one, left * (1 - own)
+    leaf = np.where(n.sum(axis=1, keepdims=True) > 0, leaf[1], leaf[0])
+    shared = counts.sparkSession.sparkContext.broadcast((got, left, leaf))
+
+    def down(batches):
+        for keys, n, m in _whole_subtrees(batches):
+            levels = _subtrees(keys, n)
+            context, node = levels[-1].names >> 8 & 255, levels[-1].names & 255
+            got, left, p = (x[context, node] for x in shared.value)
+            for d, level in zip(range(TOP, DEPTH + 1), reversed(levels), strict=True):
+                contexts, at = np.unique(level.names >> 8, return_inverse=True)
+                first = level.names & 255 == 1  # every sequence of a context passes its first node
+                seen = np.bincount(at[first], (level.zeros + level.ones)[first], len(contexts))[at] > 0
+                p = np.where(seen, got + left * level.one(), p)
+                if d < DEPTH:
+                    got, left = got + left * level.own() * level.one(), left * (1 - level.own())
+                got, left, p = got[level.parent], left[level.parent], p[level.parent]
+            bit = (keys[:, None] >> (7 - np.arange(8)) & 1).reshape(-1)
+            log2 = np.log2(np.where(bit == 1, p, 1 - p)).reshape(-1, 8).sum(axis=1)
+            yield pa.RecordBatch.from_pydict({"key": keys, "m": m, "log2": log2})
+
+    return written(grams.mapInArrow(down, "key long, m long, log2 double"), "chances")
+
+
+class Lookup:
+    """Hash table of numbers by whole numbers, from 0 on, in arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        self.slots, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        at, rest = self._first(keys), np.arange(len(keys))
+        while len(rest):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = keys[rest[free]]
+            won = self.slots[at] == keys[rest]
+            self.values[at[won]] = values[rest[won]]
+            at, rest = at[~won] + 1 & len(self.slots) - 1, rest[~won]
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values, 0 for unknown keys; which keys are known)."""
+        at, rest = self._first(keys), np.arange(len(keys))
+        out, known = np.zeros(len(keys)), np.zeros(len(keys), bool)
+        while len(rest):
+            there = self.slots[at]
+            hit = there == keys[rest]
+            out[rest[hit]], known[rest[hit]] = self.values[at[hit]], True
+            more = ~hit & (there >= 0)
+            at, rest = at[more] + 1 & len(self.slots) - 1, rest[more]
+        return out, known
+
+
+def _sums(texts: pa.Array, often: Lookup):
+    """(log2 chance of the frequent sequences of each text, symbols, (text, key, count) of its other ones)."""
+    symbols, starts, lengths = _bytes(texts)
+    grams, real = _grams(symbols), _real(symbols, starts)
+    p, known = often.get(grams)
+    total = np.concatenate([[0.0], np.cumsum(np.where(real, p, 0.0))])
+    a = starts - DEPTH
+    at = np.flatnonzero(real & ~known)
+    owner = np.searchsorted(a, at, side="right") - 1
+    order = np.lexsort((grams[at], owner))
+    owner, keys = owner[order], grams[at][order]
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(keys) != 0)])[: len(keys)])
+    k = np.diff(np.append(first, len(keys)))
+    return total[a + lengths] - total[a], lengths, (owner[first], keys[first], k)
+
+
+def _band(m: Column) -> Column:
+    return F.floor(F.log2(m) * 4)
+
+
+def _frequent_band(model: DataFrame, most: int) -> int:
+    """The least band of counts from which on there are no more than ``most`` rows."""
+    sizes = model.groupBy(_band(F.col("m")).alias("band")).count().orderBy(F.desc("band")).collect()
+    least = sizes[0]["band"] + 1 if sizes else 0
+    for r in sizes:
+        most -= r["count"]
+        if most < 0:
             break
-        contexts, i = np.unique(rows["c"].to_numpy(), return_inverse=True)
-        n = np.zeros((len(contexts), 256))
-        n[i, rows["y"].to_numpy()] = rows["n"].to_numpy()
-        if d:
-            levels.append((contexts, n))
-        else:
-            levels = [(contexts, n)]
-    return weighted_tree(levels)
+        least = r["band"]
+    return least
 
 
 def score(
@@ -249,8 +387,8 @@ def score(
     training: Column | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
-    max_contexts: int = 1 << 15,
     max_frequent: int = 1 << 16,
+    max_sequences: int = 1 << 20,
 ) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every whole text.
 
@@ -259,28 +397,34 @@ def score(
     adds log10((c + 1) / (N + V + 1)) over words and one end.
 
     Words that make up one part in ``max_frequent`` of the training tokens or more, so at most that
-    many, are looked up in memory; all others are joined with their counts, of which none is hot.
+    many, are looked up in memory; all others are joined with their counts, of which none is hot. Byte
+    sequences likewise: the most frequent, ``max_sequences`` at most, in memory, all others by the join.
 
     Null and empty texts are the end alone; repeated rows are scored each; without training rows
     counts are 0 and every bit has chance one half; an empty table gives no rows.
     """
-    counts = count(docs if training is None else docs.filter(training), text)
+    counts = count(docs, F.lit(True) if training is None else training, text)
+    model = chances(counts)
     of_words = counts.filter(F.col("kind") == WORD)
     tokens, types = of_words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     texts = counts.filter(F.col("kind") == TEXTS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tokens, types = tokens + texts, types + (texts > 0)
     head = of_words.filter(F.col("n") * max_frequent >= tokens).orderBy("key").select("key", "n").toPandas()
     head_keys, head_n = head["key"].to_numpy(np.int64), head["n"].to_numpy(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast((fit(counts, max_contexts), head_keys, head_n))
+    least = _frequent_band(model, max_sequences)
+    often = model.filter(_band(F.col("m")) >= least).select("key", "log2").toPandas()
+    often = often["key"].to_numpy(np.int64), often["log2"].to_numpy(np.float64)
+    shared = docs.sparkSession.sparkContext.broadcast((often, head_keys, head_n))
     kind = docs.schema[doc_id].dataType.simpleString()
     ends = np.log10(texts + 1)
 
     def read(batches):
-        tree, keys, n = shared.value
+        often, keys, n = shared.value
+        often = Lookup(*often)
         logs = np.append(np.log10(n + 1), 0.0)
         next_row = TaskContext.get().partitionId() << 33
         for batch in pieces(batches, text):
-            log2, length = tree.log2_probability(batch.column(text))
+            log2, length, sequences = _sums(batch.column(text), often)
             words = Words(batch.column(text), BLANK_WORDS)
             h = _hashes(words)
             at = np.searchsorted(keys, h)
@@ -294,7 +438,7 @@ def score(
             who, what = pair // (len(h) + 1), pair % (len(h) + 1)
             row = next_row + np.arange(rows)
             next_row += rows
-            # a row for each text, which no word joins, and one for each of its rare words
+            # a row for each text, which nothing joins, and one for each of its rare words and sequences
             own = pa.StructArray.from_arrays(
                 [
                     batch.column(doc_id),
@@ -307,33 +451,45 @@ def score(
                 names=["doc_id", "n_tokens", "known", "base", "log2", "symbols"],
             )
             yield pa.RecordBatch.from_pydict(
-                {"row": pa.array(row), "key": pa.array(row), "k": pa.array(np.zeros(rows, np.int32)), "own": own}
+                {
+                    "row": pa.array(row),
+                    "kind": pa.array(np.full(rows, TEXTS, np.int32)),
+                    "key": pa.array(row),
+                    "k": pa.array(np.zeros(rows, np.int32)),
+                    "own": own,
+                }
             )
-            if len(who):
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "row": pa.array(row[who]),
-                        "key": pa.array(h[what]),
-                        "k": pa.array(k.astype(np.int32)),
-                        "own": pa.nulls(len(who), own.type),
-                    }
-                )
+            for part, who, key, k in ((WORD, who, h[what], k), (GRAM, *sequences)):
+                if len(who):
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "row": pa.array(row[who]),
+                            "kind": pa.array(np.full(len(who), part, np.int32)),
+                            "key": pa.array(key),
+                            "k": pa.array(k.astype(np.int32)),
+                            "own": pa.nulls(len(who), own.type),
+                        }
+                    )
 
     own_type = f"struct<doc_id:{kind},n_tokens:long,known:long,base:double,log2:double,symbols:long>"
-    uses = docs.select(doc_id, text).mapInArrow(read, f"row long, key long, k int, own {own_type}")
-    joined = uses.join(of_words.filter(F.col("n") * max_frequent < tokens).select("key", "n"), "key", "left")
+    uses = docs.select(doc_id, text).mapInArrow(read, f"row long, kind int, key long, k int, own {own_type}")
+    rare = of_words.filter(F.col("n") * max_frequent < tokens).select("kind", "key", "n", F.lit(0.0).alias("log2"))
+    rarely = model.filter(_band(F.col("m")) < least).select(F.lit(GRAM).alias("kind"), "key", F.lit(0).cast("long"), "log2")
+    joined = uses.join(rare.union(rarely), ["kind", "key"], "left")
     n = F.coalesce("n", F.lit(0))
     per_text = joined.groupBy("row").agg(
         F.max("own").alias("own"),
         F.sum(F.col("k") * F.log10(n + 1)).alias("logs"),
         F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("known"),
+        F.coalesce(F.sum(F.col("k") * F.col("log2")), F.lit(0.0)).alias("log2"),
     )
+    log2 = F.col("own.log2") + F.col("log2")
     return per_text.select(
         F.col("own.doc_id").alias("doc_id"),
         F.col("own.n_tokens").alias("n_tokens"),
         (F.col("own.known") + F.col("known")).alias("n_known"),
         F.lit(int(tokens)).cast("long").alias("train_tokens"),
         (F.col("own.base") + F.col("logs") - F.col("own.n_tokens") * float(np.log10(tokens + types + 1))).alias("base_score"),
-        (F.col("own.log2") * float(np.log10(2))).alias("score"),
-        (-F.col("own.log2") / F.col("own.symbols")).alias("bits_per_byte"),
+        (log2 * float(np.log10(2))).alias("score"),
+        (-log2 / F.col("own.symbols")).alias("bits_per_byte"),
     )

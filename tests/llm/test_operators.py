@@ -307,6 +307,46 @@ def test_language_model(docs, rows, empty):
     assert all(r.bits_per_byte == pytest.approx(8) and r.n_known == 0 for r in untrained)
 
 
+@pytest.mark.parametrize("max_sequences", [0, 200, 1 << 20])
+def test_scores_use_every_context_of_the_training_texts(docs, rows, max_sequences):
+    """Against the undivided tree of all contexts, whether sequences are looked up in memory or joined."""
+    raw = [(t or "").encode().translate(common.BLANK_WORDS) + b"\0" for _, t in rows]
+    held = [zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2 for i, _ in rows]
+    counts = Counter()
+    for t, h in zip(raw, held, strict=True):
+        for k in range(0 if h else len(t)):
+            before = (bytes(4) + t)[k : k + 4]
+            counts.update((d, int.from_bytes(before[4 - d :]), t[k]) for d in range(5))
+    levels = []
+    for d in range(5):
+        known = np.array(sorted({c for e, c, _ in counts if e == d}))
+        n = np.zeros((len(known), 256))
+        for (e, c, y), times in counts.items():
+            if e == d:
+                n[np.searchsorted(known, c), y] = times
+        levels.append((known, n))
+    tree = ctw.weighted_tree(levels)
+    row = {(d, c): r for r, (d, c) in enumerate((d, int(c)) for d, known in enumerate(tree.contexts) for c in known)}
+
+    def log2(t):
+        for k in range(len(t)):
+            before = (bytes(4) + t)[k : k + 4]
+            at = [(d, int.from_bytes(before[4 - d :])) for d in range(5)]
+            yield float(tree.log2[row[max(x for x in at if x in row)], t[k]])
+
+    expected = sorted(sum(log2(t)) * math.log10(2) for t in raw)
+    got = ctw.score(docs, common.id_remainder(F.col("doc_id"), 7) != 2, max_sequences=max_sequences)
+    assert sorted(r.score for r in got.collect()) == pytest.approx(expected, rel=1e-5)
+
+
+def test_rare_contexts_are_kept(spark):
+    """A context seen ten times among 600,000 symbols foretells what follows it."""
+    common_text = "the cat sat on the mat and the dog lay on the rug " * 120
+    made = [(i, common_text) for i in range(100)] + [(100 + i, "qzxjv") for i in range(10)]
+    scored = {r.doc_id: r for r in ctw.score(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert scored[100].bits_per_byte < 3.5
+
+
 def test_tree_weights_are_those_of_a_plain_recursion():
     """One bit node of the tree against the textbook recursion, and chances that add up to one."""
     rng = np.random.default_rng(1)
