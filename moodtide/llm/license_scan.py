@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -134,26 +135,30 @@ def _align(index: Index, idf: list[float], pos, number, candidates, rare: int, s
     places: dict[int, list[int]] = defaultdict(list)
     for p, w in zip(pos, number, strict=True):
         places[w].append(p)
-    top = sorted((w for w in places if index.vocabulary[w] in index.postings), key=lambda w: (-idf[w], w))[:rare]
-    starts: dict[int, set[int]] = defaultdict(set)
-    for w in top:
-        for t, i in index.postings[index.vocabulary[w]]:
-            if t in candidates:
-                starts[t].update((p - i) // (slack + 1) for p in places[w])
     found: dict[str, float] = {}
-    for t, buckets in starts.items():
+    for t in candidates:
         words = [index.number[w] for w in index.words[t]]
         whole = sum(idf[w] for w in words) or 1.0
         keys = [[index.number[w] for w in k] for k in index.keys[t]]
         stands = [_runs(pos, number, k) for k in keys]
         if not all(stands):
             continue
+        times = Counter(w for w in words if w in places)
+        rest = sum(idf[w] * n for w, n in times.items())
+        buckets: set[int] = set()
+        for k, w in enumerate(sorted(times, key=lambda w: (-idf[w], w))):
+            if k >= rare and rest < least * whole - 1e-6:
+                break  # the other words alone are not enough
+            rest -= idf[w] * times[w]
+            for u, i in index.postings[index.vocabulary[w]]:
+                if u == t:
+                    buckets.update((p - i) // (slack + 1) for p in places[w])
         sets = {w: set(places.get(w, ())) for w in words}
         best = 0.0
         for b in buckets:
             lo, hi = b * (slack + 1) - slack, b * (slack + 1) + 2 * slack
-            near = all(any(lo <= s <= hi + len(words) for s in ss) for ss in stands)
-            if near:
+            near = (ss[(j := bisect_left(ss, lo)) : j + 1] for ss in stands)
+            if all(s and s[0] <= hi + len(words) for s in near):
                 got = sum(idf[w] for i, w in enumerate(words) if any(s + i in sets[w] for s in range(lo, hi + 1)))
                 best = max(best, got / whole)
         if best >= least:
@@ -174,9 +179,10 @@ def scan(
 ) -> DataFrame:
     """Licence labels of every text.
 
-    ``rare`` highest-IDF licence words of a text look up the postings of the templates; places that
-    agree on where a template starts, within ``slack`` words, are aligned; a template stands if all
-    its key phrases do and ``least`` of its IDF weight is aligned. IDF comes from all texts.
+    Each template whose key phrases stand is looked up by its own highest-IDF words in the text: ``rare``
+    of them, and more until the others cannot make up ``least``. Places that agree on where a template
+    starts, within ``slack`` words, are aligned; a template stands if all its key phrases do and
+    ``least`` of its IDF weight is aligned. IDF comes from all texts.
     ``score`` is the largest aligned share, 1 where a base phrase stands, else 0.
 
     Null and empty texts have no words and no labels; repeated rows give repeated results; ties in

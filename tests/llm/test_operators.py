@@ -213,6 +213,16 @@ def test_licenses(docs, rows, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_every_licence_of_a_long_notice(spark):
+    """A text with all templates has all labels; the rarest words of the text belong to a few of them."""
+    notice = " and more prose of any kind. ".join(t.text for t in license_scan.TEMPLATES)
+    made = [(1, notice), *((i, "the terms of use and the work of a person") for i in range(2, 40))]
+    made += [(100, "affero any attribution binary bsd cc0 charge commons copy creative dedication domain " + license_scan.TEMPLATES[0].text)]
+    got = {r.doc_id: r.labels for r in license_scan.scan(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert set(got[1].split(",")) == {t.label for t in license_scan.TEMPLATES}
+    assert got[100] == "apache-2.0" and not got[2]
+
+
 def test_sharding(docs, rows, empty):
     out = sharding.plan(docs, 7).collect()
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in out) == Counter(
