@@ -31,9 +31,10 @@ def small(df: DataFrame, weight: Column | None = None, most: int = SMALL_ROWS) -
 
 
 def test_items(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, words) of items that have words."""
+    """(item, item_id, words) of items that have words; ``item`` numbers them, as ids may be null or repeat."""
     own = items.select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("words"))
-    return written(own.filter(F.size("words") > 0).distinct(), "test-items")
+    own = own.filter(F.size("words") > 0).distinct()
+    return written(own.select(F.monotonically_increasing_id().alias("item"), "item_id", "words"), "test-items")
 
 
 def vocabulary(items: DataFrame) -> DataFrame:
@@ -58,25 +59,25 @@ def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text:
 
 
 def _windows(items: DataFrame, index: DataFrame, terms: DataFrame, size: int, rare: int) -> DataFrame:
-    """(item_id, words, start, len, rare): windows whose words all occur, with their rarest positions."""
+    """(item, item_id, words, start, len, rare): windows whose words all occur, with their rarest positions."""
     counts = index.groupBy("term").agg(F.count("*").alias("cf"))
     word_counts = terms.join(counts, "term").select("word", "cf")
-    placed = items.select("item_id", "words", F.posexplode("words").alias("i", "word"))
+    placed = items.select("item", "item_id", "words", F.posexplode("words").alias("i", "word"))
     counted = (
         placed.join(word_counts, "word", "left")
-        .groupBy("item_id", "words")
+        .groupBy("item", "item_id", "words")
         .agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("cf", F.lit(0)).alias("cf")))).alias("at"))
     )
     length = F.least(F.size("words"), F.lit(size))
     starts = F.explode(F.sequence(F.lit(0), F.size("words") - length))
-    windows = counted.select("item_id", "words", "at", length.alias("len"), starts.alias("start"))
+    windows = counted.select("item", "item_id", "words", "at", length.alias("len"), starts.alias("start"))
     by_count = F.array_sort(
         F.transform(F.slice("at", F.col("start") + 1, F.col("len")), lambda x: F.struct(x["cf"].alias("cf"), x["i"].alias("i")))
     )
     windows = windows.withColumn("rarest", F.slice(by_count, 1, rare))
     possible = windows.filter(F.col("rarest")[0]["cf"] > 0)
     return written(
-        possible.select("item_id", "words", "start", "len", F.sort_array(F.col("rarest.i")).alias("rare")), "windows"
+        possible.select("item", "item_id", "words", "start", "len", F.sort_array(F.col("rarest.i")).alias("rare")), "windows"
     )
 
 
@@ -93,25 +94,24 @@ def occurrences(
     """(doc_id, h, hits, item_ids): positions inside windows, and items with such windows, per text."""
     windows = _windows(items, index, terms, size, rare)
     looked_up = (
-        windows.select("item_id", "words", F.explode("rare").alias("i"))
-        .distinct()
-        .select("item_id", "i", F.element_at("words", F.col("i") + 1).alias("word"))
+        windows.select("item", "words", F.explode("rare").alias("i"))
         .distinct()
+        .select("item", "i", F.element_at("words", F.col("i") + 1).alias("word"))
         .join(terms, "word")
-        .select("item_id", "i", "term")
+        .select("item", "i", "term")
     )
     looked_up = written(looked_up, "lookups")
     met = (
         index.join(small(looked_up), "term")
-        .groupBy("doc_id", "h", "item_id", (F.col("pos") - F.col("i")).alias("shift"))
+        .groupBy("doc_id", "h", "item", (F.col("pos") - F.col("i")).alias("shift"))
         .agg(F.collect_set("i").alias("met"))  # words of an item at most
     )
-    by_item = windows.groupBy("item_id", "words", "len").agg(F.collect_list(F.struct("start", "rare")).alias("windows"))
+    by_item = windows.groupBy("item", "item_id", "words", "len").agg(F.collect_list(F.struct("start", "rare")).alias("windows"))
     by_item = written(by_item, "windows-by-item")
     kept = F.filter("windows", lambda w: (F.size(F.array_except(w["rare"], F.col("met"))) == 0) & (w["start"] + F.col("shift") >= 0))
     starts = F.transform(kept, lambda w: w["start"])
     candidates = (
-        met.join(small(by_item, F.size("words") + F.size("windows")), "item_id")
+        met.join(small(by_item, F.size("words") + F.size("windows")), "item")
         .select("doc_id", "h", F.struct("item_id", "words", "len", "shift", starts.alias("starts")).alias("c"))
         .filter(F.size("c.starts") > 0)
         .groupBy("doc_id", "h")
@@ -165,8 +165,8 @@ def judge(
     A window is ``size`` consecutive words of an item, all of them if it has fewer; a document word
     inside an occurrence of a window is hit; contaminated from ``percent`` per cent hit words on.
 
-    Null texts have no words; items without words no windows; null ids are kept; repeated rows are
-    judged alike; without items or documents nothing is hit.
+    Null texts have no words; items without words no windows; null ids are kept; items without id are
+    matched, count as one item together and are left out of items_sha256; repeated rows are judged alike; without items or documents nothing is hit.
     """
     items = test_items(items, item_id, item_text)
     terms = vocabulary(items)

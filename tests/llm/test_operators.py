@@ -185,6 +185,15 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontam.judge(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_decontamination_by_items_without_id(spark):
+    texts = [(1, f"x {BENCH} y"), (2, "rare pair of two"), (3, "nothing"), (4, f"{BENCH} rare pair")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame([(None, BENCH), (None, "rare pair"), (7, "rare pair")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontam.judge(docs, bench).collect()}
+    none, seven = (hashlib.sha256(x).hexdigest() for x in (b"", b"7"))
+    assert got == {1: (15, 1, none, True), 2: (2, 2, seven, True), 3: (0, 0, none, False), 4: (17, 2, seven, True)}
+
+
 def test_proximity(spark):
     d = spark.createDataFrame([(1, "a b x c"), (2, "a x x x x b c"), (3, "c b a")], "doc_id long, text string")
     phrases = spark.createDataFrame([(7, ["a", "b", "c"]), (8, ["a", "q"])], "phrase_id long, words array<string>")
