@@ -57,6 +57,25 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
+_LINE_KEY = _LOWER.format(r"trim(l[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")
+
+LINE_DEDUP = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), e AS (
+  SELECT r, doc_id, i, l[i] AS line, {_LINE_KEY} AS k FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM d)
+), c AS (
+  SELECT k, max(doc_id) AS keeper FROM (SELECT DISTINCT r, doc_id, k FROM e WHERE length(k) >= 20)
+  GROUP BY k HAVING count(*) >= 3
+), judged AS (
+  SELECT r, doc_id, i, line, c.k IS NOT NULL AND c.keeper IS DISTINCT FROM doc_id AS gone FROM e LEFT JOIN c ON e.k = c.k
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""
+
+
 def _fits(host: str, path: str, rule_host: str, rule_path: str) -> str:
     return f"(({host} = '{rule_host}' OR ends_with({host}, '.{rule_host}')) AND starts_with({path}, '{rule_path}'))"
 
@@ -130,4 +149,5 @@ ORACLES: dict[str, str] = {
     "op1_near_dedup": NEAR_DEDUP,
     "op3_decontamination": DECONTAMINATION,
     "op10_url_filter": URL_FILTER,
+    "op12_line_dedup": LINE_DEDUP,
 }

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moodtide.llm import ann, ctw, decontam, license_scan, near_dedup, packing, secret_scan, sharding, toxicity, url_filter
+from moodtide.llm import (
+    ann,
+    ctw,
+    decontam,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    packing,
+    periodic_runs,
+    secret_scan,
+    sharding,
+    toxicity,
+    url_filter,
+    whitening,
+)
 from moodtide.llm.common import id_remainder, table
 
 # The rules of the url query.
@@ -79,6 +93,46 @@ def op10_url_filter(spark, d):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def planted(text, doc_id):
+    """``text``, in a tenth of the documents with words from some place on replaced by a repeating stretch."""
+    w = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    n, g = F.size(w).cast("long"), F.floor(h / 10)
+    a = g % F.greatest(n, F.lit(1))
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+    block = F.slice(w, a.cast("int") + 1, p.cast("int"))
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(block, times)), F.lit(1), (n - a).cast("int"))
+    made = F.array_join(F.concat(F.slice(w, F.lit(1), a.cast("int")), tail), " ")
+    return F.when((h % 10 == 0) & (n > 0), made).otherwise(text)
+
+
+def op11_periodic_runs(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs.find_runs(docs)
+    best = periodic_runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_line_dedup(spark, d):
+    out = line_dedup.drop_repeated_lines(table(spark, d, "documents"), min_chars=20, min_docs=3)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_whitening(spark, d):
+    return whitening.whiten(table(spark, d, "embeddings"), components=4, weights="one")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,5 +146,8 @@ QUERIES = {
         op8_nearest,
         op9_secret_scan,
         op10_url_filter,
+        op11_periodic_runs,
+        op12_line_dedup,
+        op13_whitening,
     )
 }
