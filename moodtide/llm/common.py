@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -57,7 +59,17 @@ def pieces(
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(int(a), int(b - a))
         del batch
-        pa.default_memory_pool().release_unused()  # workers are reused: give back what a batch took
+        pa.default_memory_pool().release_unused()
+    _trim()
+
+
+def _trim() -> None:
+    """Workers are reused by later stages: give back what this one took, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 class Words:

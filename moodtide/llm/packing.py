@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from functools import cache
 
@@ -14,23 +15,30 @@ import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from moodtide.llm.common import pieces, written
 
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
+SPECIAL_ID = 50256
 END_ID = 1
-_CACHE_SIZE = 150_000
+# Different units and ids that a task remembers before it starts afresh.
+_MOST_UNITS, _MOST_IDS = 300_000, 4_000_000
+
+# White space as the vocabulary's pattern knows it. That pattern always cuts before a unit: a word with the one
+# blank before it, white space up to the last character of a run, that character unless it is a blank
+# before a word.
+_SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_IN_RUNS = rf"^$|^[{_SPACE}]|[{_SPACE}][{_SPACE}]|[{_SPACE}]$"
+_PLAIN_SPACE = re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), _SPACE)
+_UNIT = re.compile(rf" ?[^{_PLAIN_SPACE}]+|[{_PLAIN_SPACE}]+(?![^{_PLAIN_SPACE}])|[{_PLAIN_SPACE}]")
 
 
 class Encoder:
-    """Ids of whole texts by the byte-level vocabulary.
+    """Ids of whole texts by the byte-level vocabulary, each different unit encoded once.
 
-    Between two words, at a blank with no white space on either side, the vocabulary's pattern
-    always cuts, so a text is encoded blank by blank and each different word once. Texts with other
-    white space at such a place are encoded as a whole; those with the special token's string by
-    the tokenizer file itself, which alone knows it. The ids are the same in all three ways.
+    The ids are those of the tokenizer file, which takes four times as long: the same ranks, and the
+    special token's string as its one id. What is remembered lies in flat arrays and is bounded.
     """
 
     def __init__(self, vocabulary: str):
@@ -39,54 +47,104 @@ class Encoder:
         self.fast = tiktoken.Encoding(
             vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.whole = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-        self.cache: dict[str, np.ndarray] = {}
-
-    def _word(self, word: str) -> np.ndarray:
-        ids = self.cache.get(word)
-        if ids is None:
-            if len(self.cache) >= _CACHE_SIZE:
-                self.cache.clear()
-            ids = np.array(self.fast.encode_ordinary(word), np.uint32)
-            if len(word) <= 64:
-                self.cache[word] = ids
-        return ids
-
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        texts = pa.concat_arrays([pc.fill_null(texts.cast(pa.string()), "")])
-        n = len(texts)
-        lists = pc.split_pattern(texts, " ")
-        starts = lists.offsets.to_numpy()
-        encoded = lists.values.dictionary_encode()
-        code = encoded.indices.to_numpy(zero_copy_only=False)
-        words = encoded.dictionary.to_pylist()
-        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, len(words))
-        owner = np.repeat(np.arange(n), np.diff(starts))
-        whole = np.zeros(n, bool)
-        np.logical_or.at(whole, owner, odd[code])
-        whole |= pc.match_substring(texts, SPECIAL).to_numpy(zero_copy_only=False)
-        whole |= np.diff(starts) <= 1
-        used = np.zeros(len(words), bool)
-        used[code[~whole[owner]]] = True
-        ids = [self._word(" " + w) if u else np.zeros(0, np.uint32) for w, u in zip(words, used, strict=True)]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        begin = np.cumsum(length) - length
-        flat = np.concatenate([*ids, np.zeros(0, np.uint32)])
-        out = []
-        for i in range(n):
-            if whole[i]:
-                text = texts[i].as_py()
-                got = self.whole.encode(text, add_special_tokens=False).ids if SPECIAL in text else self.fast.encode_ordinary(text)
-                out.append(np.array(got, np.uint32))
-                continue
-            first = self._word(words[code[starts[i]]])
-            rest = code[starts[i] + 1 : starts[i + 1]]
-            size = length[rest]
-            ends = np.cumsum(size)
-            total = int(ends[-1]) if len(ends) else 0
-            where = np.arange(total) + np.repeat(begin[rest] - (ends - size), size)
-            out.append(np.concatenate([first, flat[where]]))
-        return out
+        self._forget()
+
+    def _forget(self) -> None:
+        # numbers 0 and 1 are the closing id and the special token, 2 is a line feed
+        self.numbers = {"\n": 2}
+        self.line_feed = self.fast.encode_ordinary("\n")[0]
+        self.ids = np.array([END_ID, SPECIAL_ID, self.line_feed], np.uint32)
+        self.length = np.ones(3, np.int64)
+        self.waiting: list[list[int]] = []
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): the ids of all texts in one array, each text closed by ``END_ID``."""
+        if len(self.numbers) > _MOST_UNITS or len(self.ids) > _MOST_IDS:
+            self._forget()
+        units, last = self._units(pa.concat_arrays([pc.fill_null(texts.cast(pa.string()), "")]))
+        size = self.length[units]
+        ends = np.cumsum(size)
+        begin = (np.cumsum(self.length) - self.length)[units]
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.arange(total) + np.repeat(begin - (ends - size), size)]
+        return ids, ends[last - 1]
+
+    def _units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(unit numbers of all texts, each closed by the closing id's; end of each text among them).
+
+        Texts in which words are parted by one blank or one line feed are cut for the whole batch at
+        once; those with longer white space, or the special token's string, one by one.
+        """
+        lists = pc.split_pattern(texts, "\n")
+        words = pc.split_pattern(lists.values, " ")
+        coded = words.values.dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        line_ends = words.offsets.to_numpy()[1:].astype(np.int64)
+        line_of = np.repeat(np.arange(len(line_ends)), np.diff(line_ends, prepend=0))
+        text_ends = lists.offsets.to_numpy()[1:].astype(np.int64)  # in lines
+        text_of = np.repeat(np.arange(len(texts)), np.diff(text_ends, prepend=0))
+        single = pc.or_(pc.match_substring(texts, SPECIAL), pc.match_substring_regex(texts, _IN_RUNS))
+        single = single.to_numpy(zero_copy_only=False)
+
+        # a place for every word, and one after every line for the line feed or the closing id
+        units = np.full(len(code) + len(line_ends), 2, np.int64)
+        first = np.ones(len(code), bool)
+        first[1:] = line_of[1:] != line_of[:-1]
+        whole = ~single[text_of[line_of]]
+        at = np.arange(len(code)) + line_of
+        for lead, mask in (("", first & whole), (" ", ~first & whole)):
+            used = np.flatnonzero(np.bincount(code[mask], minlength=1))
+            if mask.any():
+                own = np.zeros(used[-1] + 1, np.int64)
+                own[used] = self._numbered(coded.dictionary.take(pa.array(used)), lead)
+                units[at[mask]] = own[code[mask]]
+        last = line_ends[text_ends - 1] + text_ends
+        units[last - 1] = 0
+        if not single.any():
+            return units, last
+        parts = np.split(units, last[:-1])
+        for i in np.flatnonzero(single).tolist():
+            own = []
+            for n, part in enumerate(texts[i].as_py().split(SPECIAL)):
+                if n:
+                    own.append(1)
+                own += [self._number(u) for u in _UNIT.findall(part)]
+            parts[i] = np.array([*own, 0], np.int64)
+        ids = [np.array(x, np.uint32) for x in self.waiting]
+        self._remember(np.concatenate([*ids, np.zeros(0, np.uint32)]), np.array(list(map(len, ids)), np.int64))
+        self.waiting = []
+        return np.concatenate(parts), np.cumsum(list(map(len, parts)))
+
+    def _numbered(self, words: pa.Array, lead: str) -> list[int]:
+        """Numbers of different ``words`` behind ``lead``, none of them with white space at an end.
+
+        New ones are encoded in one go, a line each, and parted by the id of the line feed.
+        """
+        lines = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n" + lead)[0].as_py()
+        units = (lead + lines).split("\n")
+        numbers = self.numbers
+        got = list(map(numbers.get, units))
+        new = [i for i, x in enumerate(got) if x is None]
+        if new:
+            ids = np.array(self.fast.encode_ordinary("\n".join([units[i] for i in new])), np.uint32)
+            feed = ids == self.line_feed
+            cuts = np.flatnonzero(feed)
+            length = np.diff(cuts, prepend=-1, append=len(ids)) - 1
+            self._remember(ids[~feed], length)
+            for n, i in enumerate(new, len(self.length) - len(new)):
+                got[i] = numbers[units[i]] = n
+        return got
+
+    def _number(self, unit: str) -> int:
+        n = self.numbers.get(unit)
+        if n is None:
+            n = self.numbers[unit] = len(self.length) + len(self.waiting)
+            self.waiting.append(self.fast.encode_ordinary(unit))
+        return n
+
+    def _remember(self, ids: np.ndarray, length: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, ids])
+        self.length = np.concatenate([self.length, length])
 
 
 @cache
@@ -109,27 +167,25 @@ def token_pieces(
     def cut(batches):
         enc = encoder(vocabulary)
         for batch in pieces(batches, text):
-            owner, start, length, crc, total, ids = [], [], [], [], [], []
-            for i, tokens in enumerate(enc.encode(batch.column(text))):
-                tokens = np.append(tokens, np.uint32(END_ID)).astype("<u4")
-                for a in range(0, len(tokens), window):
-                    part = tokens[a : a + window]
-                    owner.append(i)
-                    start.append(a)
-                    length.append(len(part))
-                    crc.append(zlib.crc32(part.tobytes()))
-                    total.append(len(tokens))
-                    if with_ids:
-                        ids.append(part.astype(np.int32))
+            ids, ends = enc.encode(batch.column(text))
+            total = np.diff(ends, prepend=0)
+            parts = -(-total // window)
+            owner = np.repeat(np.arange(len(total)), parts)
+            start = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * window
+            length = np.minimum(window, total[owner] - start)
+            raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+            first = 4 * ((ends - total)[owner] + start)
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip(first.tolist(), (first + 4 * length).tolist(), strict=True)]
             columns = {
-                "doc_id": batch.column(doc_id).take(pa.array(owner, pa.int64())),
-                **{
-                    n: pa.array(v, pa.int64())
-                    for n, v in (("start", start), ("length", length), ("ids_crc32", crc), ("doc_tokens", total))
-                },
+                "doc_id": batch.column(doc_id).take(pa.array(owner)),
+                "start": pa.array(start),
+                "length": pa.array(length),
+                "ids_crc32": pa.array(crc, pa.int64()),
+                "doc_tokens": pa.array(total[owner]),
             }
             if with_ids:
-                columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
+                bounds = np.append(0, np.cumsum(length)).astype(np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long{ids_type}"
