@@ -12,7 +12,7 @@ import heapq
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,8 +24,8 @@ from moodtide.llm.common import written
 class Settings:
     """``sample`` bounds the vectors that centroids are fitted on, ``max_lists`` the centroids (which are
     sent to all tasks). ``replicas`` and ``boundary``: copies of a vector, up to this ratio of distances.
-    ``beam``: centroids that a walk keeps; ``ratio``: lists up to this ratio of the nearest are read, and
-    the ``least_lists`` nearest always. A list of over ``list_rows`` vectors is read in several parts.
+    ``ratio``: lists up to this ratio of the nearest distance are read, and the ``least_lists`` nearest always;
+    ``beam``: centroids a walk visits at least before it stops beyond that ratio. A list of over ``list_rows`` vectors is read in several parts.
     """
 
     sample: int = 16_384
@@ -33,7 +33,7 @@ class Settings:
     max_lists: int = 2_048
     replicas: int = 4
     boundary: float = 1.1
-    beam: int = 512
+    beam: int = 64
     ratio: float = 1.2
     least_lists: int = 32
     list_rows: int = 4_096
@@ -57,8 +57,11 @@ class Centroids:
             price = np.maximum(price - price.min(), 0)
         self.points = c
         d = self._distances(c, c)
-        self.graph = np.argsort(d, axis=1, kind="stable")[:, 1:25]
-        self.entries = np.unique(np.linspace(0, n - 1, 8).astype(int))
+        # each centroid's nearest ones, and a few far ones: groups of centroids stay within reach of each other
+        near = np.argsort(d, axis=1, kind="stable")[:, 1:25]
+        far = rng.integers(0, n, (n, 8))
+        self.graph = np.concatenate([near, far], axis=1)
+        self.entries = np.unique(np.linspace(0, n - 1, max(8, 4 * int(np.sqrt(n)))).astype(int))
 
     @staticmethod
     def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -84,26 +87,24 @@ class Centroids:
 
         seen = np.zeros(len(self.points), bool)
         seen[self.entries] = True
-        d = away(self.entries)
-        todo = list(zip(d.tolist(), self.entries.tolist(), strict=True))
+        found = list(zip(away(self.entries).tolist(), self.entries.tolist(), strict=True))
+        todo = list(found)
         heapq.heapify(todo)
-        best = [(-x, i) for x, i in todo]
-        heapq.heapify(best)
-        while len(best) > s.beam:
-            heapq.heappop(best)
+        nearest, steps = min(found)[0], 0
+        # on as long as lists within the ratio turn up, however many; ``beam`` steps at least
         while todo:
             x, i = heapq.heappop(todo)
-            if len(best) >= s.beam and x > -best[0][0]:
+            if x > s.ratio * nearest and steps >= s.beam:
                 break
-            new = self.graph[i][~seen[self.graph[i]]]
+            steps += 1
+            new = np.unique(self.graph[i][~seen[self.graph[i]]])
             seen[new] = True
-            for y, j in zip(away(new).tolist(), new.tolist(), strict=True):
-                if len(best) < s.beam or y < -best[0][0]:
-                    heapq.heappush(todo, (y, j))
-                    heapq.heappush(best, (-y, j))
-                    if len(best) > s.beam:
-                        heapq.heappop(best)
-        found = sorted((-x, i) for x, i in best)
+            more = list(zip(away(new).tolist(), new.tolist(), strict=True))
+            found += more
+            for pair in more:
+                heapq.heappush(todo, pair)
+                nearest = min(nearest, pair[0])
+        found.sort()
         limit = s.ratio * found[0][0]
         return np.array([i for n, (x, i) in enumerate(found) if x <= limit or n < s.least_lists])
 
@@ -119,8 +120,11 @@ def _lift(x: np.ndarray, top: float) -> np.ndarray:
     return np.concatenate([x, rest[:, None]], axis=1)
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype(np.float64)
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """Rows of a list column of equal lengths, in double precision."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1).astype(np.float64)
 
 
 def search(
@@ -162,6 +166,7 @@ def search(
     asked = written(distinct.join(queries.select("key").distinct(), "key", "left_semi").select("key", "v"), "vector-queries")
 
     id_type = rows.schema["id"].dataType.simpleString()
+    v_type = rows.schema["v"].dataType.simpleString()  # components as stored
     result = f"query string, key string, id {id_type}, score double"
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n, top = distinct.agg(F.count("*"), F.max(norm)).first()
@@ -169,24 +174,29 @@ def search(
     if not n:
         found = spark.createDataFrame([], result)
     else:
-        sample = distinct.orderBy(F.xxhash64("key"), "key").limit(s.sample).select("v").toPandas()
-        points = _lift(_matrix(sample["v"]), top)
+        sample = distinct.orderBy(F.xxhash64("key"), "key").limit(s.sample).select("v").toArrow()
+        points = _lift(_matrix(sample.column("v")), top)
         lists = max(1, min(s.max_lists, n // s.list_size, len(points)))
         shared = spark.sparkContext.broadcast(Centroids(points, lists))
 
         def post(batches):
-            for pdf in batches:
-                if len(pdf):
-                    who, where = shared.value.assign(_lift(_matrix(pdf["v"]), top), s)
-                    yield pd.DataFrame({"list": where, **{c: pdf[c].to_numpy()[who] for c in ("key", "id", "v")}})
+            for batch in batches:
+                if batch.num_rows:
+                    who, where = shared.value.assign(_lift(_matrix(batch.column("v")), top), s)
+                    rows = pa.array(who)
+                    columns = [pa.array(where, pa.int32()), *(batch.column(c).take(rows) for c in ("key", "id", "v"))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["list", "key", "id", "v"])
 
         def probe(batches):
-            for pdf in batches:
-                x = _lift(_matrix(pdf["v"]), 0.0) if len(pdf) else []
-                hits = [shared.value.search(q / np.linalg.norm(q) * np.sqrt(top), s) for q in x]
-                yield pd.DataFrame({"key": pdf["key"], "v": pdf["v"], "list": hits})
-
-        posted = written(distinct.mapInPandas(post, f"list int, key string, id {id_type}, v array<float>"), "vector-lists")
+            for batch in batches:
+                if batch.num_rows:
+                    x = _lift(_matrix(batch.column("v")), 0.0)
+                    hits = [shared.value.search(q / np.linalg.norm(q) * np.sqrt(top), s) for q in x]
+                    who = pa.array(np.repeat(np.arange(len(hits)), list(map(len, hits))))
+                    columns = [*(batch.column(c).take(who) for c in ("key", "v")), pa.array(np.concatenate(hits), pa.int32())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "v", "list"])
+
+        posted = written(distinct.mapInArrow(post, f"list int, key string, id {id_type}, v {v_type}"), "vector-lists")
         sizes = posted.groupBy("list").count().collect()  # one row a list, max_lists at most
         parts = {r["list"]: -(-r["count"] // s.list_rows) for r in sizes}
         split = {i: p for i, p in parts.items() if p > 1}
@@ -195,28 +205,32 @@ def search(
             parts_of = F.coalesce(F.create_map(*[F.lit(x) for p in split.items() for x in p])[F.col("list")], F.lit(1))
         posted = posted.withColumn("part", F.pmod(F.xxhash64("key"), parts_of).cast("int"))
         probes = (
-            asked.mapInPandas(probe, "key string, v array<float>, list array<int>")
-            .select("key", "v", F.explode("list").alias("list"))
+            asked.mapInArrow(probe, f"key string, v {v_type}, list int")
             .withColumn("part", F.explode(F.sequence(F.lit(0), parts_of - 1)))
         )
 
-        def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if not len(left) or not len(right):
-                return pd.DataFrame({c: [] for c in ("query", "key", "id", "score")})
-            scores = _matrix(right["v"]) @ _matrix(left["v"]).T
-            m = min(k + 1, len(left))
-            best = np.argpartition(-scores, m - 1, axis=1)[:, :m]
-            limit = np.take_along_axis(scores, best, 1).min(axis=1)
-            who, what = np.nonzero(scores >= limit[:, None])  # with all that tie with the last
-            return pd.DataFrame(
+        def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not left.num_rows or not right.num_rows:
+                kinds = (pa.string(), pa.string(), left.schema.field("id").type, pa.float64())
+                return pa.table({n: pa.array([], t) for n, t in zip(("query", "key", "id", "score"), kinds, strict=True)})
+            mine, parts = _matrix(left.column("v")), []
+            asked = _matrix(right.column("v"))
+            m = min(k + 1, len(mine))
+            for a in range(0, len(asked), 1024):
+                scores = asked[a : a + 1024] @ mine.T
+                limit = np.partition(scores, len(mine) - m, axis=1)[:, len(mine) - m]
+                who, what = np.nonzero(scores >= limit[:, None])  # with all that tie with the last
+                parts.append((who + a, what, scores[who, what]))
+            who, what, score = (np.concatenate(x) for x in zip(*parts, strict=True))
+            return pa.table(
                 {
-                    "query": right["key"].to_numpy()[who],
-                    **{c: left[c].to_numpy()[what] for c in ("key", "id")},
-                    "score": scores[who, what],
+                    "query": right.column("key").take(pa.array(who)),
+                    **{c: left.column(c).take(pa.array(what)) for c in ("key", "id")},
+                    "score": pa.array(score),
                 }
             )
 
-        found = posted.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInPandas(compare, result)
+        found = posted.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInArrow(compare, result)
 
     def first(df: DataFrame, by: list[str], order: list, limit: int) -> DataFrame:
         w = Window.partitionBy(*by).orderBy(*order)
