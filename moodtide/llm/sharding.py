@@ -70,9 +70,12 @@ def plan(
     text: str = "text",
     lang: str = "lang",
     source: str = "source",
+    whole_rows: bool = False,
 ) -> DataFrame:
     """(doc_id, size, text_crc32, curve, shard, slot): rows in the order of the curve, cut into equal runs.
 
+    ``whole_rows`` adds ``row``, a struct of all columns of ``docs``.
+
     Dimensions: language, source (hashed to cells), size (half powers of two) and id (linear between
     the smallest and largest). Rows of one cell go by id, checksum and size, so a hot source or a
     repeated text spreads over tasks and shards, and counts of shards differ by one at most. Sorted
@@ -88,7 +91,9 @@ def plan(
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
         F.col(lang).alias("lang"),
         F.col(source).alias("source"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []),
     )
+    row = ["row"] if whole_rows else []
     low, high = docs.agg(F.min(doc_id), F.max(doc_id)).first()
     half_powers = F.least(F.lit((1 << BITS) - 1), F.floor(2 * F.log2("size"))).cast("long")
     placed = rows.select(
@@ -98,6 +103,7 @@ def plan(
         _curve(
             _category(F.col("lang")), _category(F.col("source")), half_powers, _scale(F.col("doc_id"), low, high)
         ).alias("curve"),
+        *row,
     )
     order = ["curve", "doc_id", "text_crc32", "size"]
     dealt = written(
@@ -117,20 +123,22 @@ def plan(
     return (
         ranked.withColumn("shard", shard)
         .withColumn("slot", place - first)
-        .select("doc_id", "size", "text_crc32", "curve", "shard", "slot")
+        .select("doc_id", "size", "text_crc32", "curve", "shard", "slot", *row)
     )
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> None:
-    """Documents as one folder per shard, in slot order. ``placed``: from ``plan`` over unique ids."""
-    spots = placed.select(F.col("doc_id").alias(doc_id), "shard", "slot")
-    joined = docs.drop("shard", "slot").join(spots, doc_id)
-    (
-        joined.repartitionByRange("shard", "slot")
-        .sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard")
-        .parquet(path)
-    )
+def write_shards(docs: DataFrame, path: str, shards: int = 40, **columns: str) -> None:
+    """All rows of ``docs`` as one folder per shard, ``shard=0`` on, in the order of ``plan``.
+
+    Rows travel with their place, so repeated ids and rows stay as they are; ``columns`` are those of
+    ``plan``. A column of ``docs`` may be called ``shard``: the files hold it, the folders' names are apart.
+    """
+    placed = plan(docs, shards, whole_rows=True, **columns)
+    sorted_rows = placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    names = {c.lower() for c in docs.columns}
+    folder = "shard" if "shard" not in names else next(f"shard_{i}" for i in range(len(names) + 1) if f"shard_{i}" not in names)
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    sorted_rows.select(*own, F.col("shard").alias(folder)).write.partitionBy(folder).parquet(path)
 
 
 def shard_bounds(docs: DataFrame, placed: DataFrame, columns: list[str], doc_id: str = "doc_id") -> DataFrame:
