@@ -75,7 +75,10 @@ class Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, usable: Column, limit: int, doc_id: str, text: str, label: str) -> DataFrame:
-    """(text, y) of at most ``limit`` labelled documents, in the order of a hash of the id."""
+    """(text, y) of at most ``limit`` labelled documents, in the order of a hash of the id.
+
+    An id with several rows is one document, with the text of the smallest hash.
+    """
     known = (
         labels.filter(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
         .groupBy(doc_id)
@@ -85,8 +88,10 @@ def labelled(docs: DataFrame, labels: DataFrame, usable: Column, limit: int, doc
         .limit(limit)
     )
     # the limit bounds the broadcast side
-    joined = docs.select(doc_id, text).join(F.broadcast(known), doc_id)
-    return joined.select(F.col(text).alias("text"), (F.col("_y") > 0).cast("int").alias("y"))
+    own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    joined = own.join(F.broadcast(known.withColumnRenamed(doc_id, "_id")), "_id")
+    one = joined.groupBy("_id").agg(F.min(F.struct(F.xxhash64("_text").alias("h"), F.col("_text").alias("text"), "_y")).alias("d"))
+    return one.select("d.text", (F.col("d._y") > 0).cast("int").alias("y"))
 
 
 def telling_features(sample: DataFrame, bits: int) -> tuple[np.ndarray, int, int]:
