@@ -231,7 +231,7 @@ def scan(
 ) -> DataFrame:
     """Spans of secrets in every text: counts per fixed kind, a digest of those, and all spans.
 
-    A candidate outside the fixed spans gets a ``model`` span if its log-likelihood under the best
+    A candidate that does not lie inside a fixed span gets a ``model`` span if its log-likelihood under the best
     credential automaton exceeds that under the automaton of other tokens by ``margin``. Spans are
     kind:start:end in code points, end exclusive, by start, then kind.
 
@@ -257,7 +257,7 @@ def scan(
                 listed = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in base)
                 digests.append(hashlib.sha256(listed.encode()).hexdigest())
                 more = [
-                    (a, 3, b) for a, b in tokens if not any(x < b and a < y for x, _, y in base) and is_secret(t[a:b])
+                    (a, 3, b) for a, b in tokens if not any(x <= a and b <= y for x, _, y in base) and is_secret(t[a:b])
                 ]
                 spans.append(",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(base + more)))
             yield pa.RecordBatch.from_arrays(
