@@ -8,10 +8,16 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from moodtide.llm import (
     ann,
@@ -255,19 +261,49 @@ def test_hilbert_curve_visits_every_cell_by_unit_steps(bits, dims):
     assert (np.abs(np.diff(cells[np.argsort(index)], axis=0)).sum(axis=1) == 1).all()
 
 
-def test_shards_as_files(spark, docs, tmp_path):
-    unique = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    placed = sharding.plan(unique, 5)
-    sharding.write_shards(unique, placed, str(tmp_path / "shards"))
+def test_shards_as_files(spark, docs, rows, tmp_path):
+    """Repeated ids and rows are written once each, in the order of the plan."""
+    sharding.write_shards(docs, str(tmp_path / "shards"), 5)
     back = spark.read.parquet(str(tmp_path / "shards"))
-    assert back.count() == unique.count() and back.select("shard").distinct().count() == 5
-    bounds = sharding.shard_bounds(unique, placed, ["doc_id"]).collect()
+    assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter(rows)
+    sizes = [r["count"] for r in back.groupBy("shard").count().collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+    planned = Counter((r.doc_id, r.text_crc32, r.shard) for r in sharding.plan(docs, 5).collect())
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    assert Counter(map(tuple, back.select("doc_id", crc, "shard").collect())) == planned
+    sharding.write_shards(docs.withColumn("shard", F.lit("own")), str(tmp_path / "clash"), 5)
+    clash = spark.read.parquet(str(tmp_path / "clash"))
+    assert {r.shard for r in clash.collect()} == {"own"} and clash.select("shard_0").distinct().count() == 5
+    unique = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    bounds = sharding.shard_bounds(unique, sharding.plan(unique, 5), ["doc_id"]).collect()
     assert len(bounds) == 5 and all(b.min_doc_id <= b.max_doc_id for b in bounds)
 
 
 def brute_ids(text) -> list:
-    whole = packing.encoder(packing.VOCABULARY).whole
-    return [*whole.encode(text or "", add_special_tokens=False).ids, 1]
+    return [*_whole().encode(text or "", add_special_tokens=False).ids, 1]
+
+
+@cache
+def _whole():
+    return Tokenizer.from_file(public_tokenizers.path(f"{packing.VOCABULARY}.json"))
+
+
+@given(st.lists(st.sampled_from(["a", "Wort", "l'été", "'s", "12", "!?", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", packing.SPECIAL, "<|end"]), max_size=12))
+@settings(max_examples=400, deadline=None)
+def test_units_are_encoded_as_the_whole_text(parts):
+    enc = packing.encoder(packing.VOCABULARY)
+    texts = ["".join(parts), "x".join(parts), " ".join(parts)]
+    ids, ends = enc.encode(pa.array([*texts, None, ""]))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [*map(brute_ids, texts), [1], [1]]
+
+
+def test_encoder_forgets(monkeypatch):
+    monkeypatch.setattr(packing, "_MOST_UNITS", 3)
+    enc = packing.Encoder(packing.VOCABULARY)
+    for text in ("one two three four five", "six one seven", "two", None):
+        ids, ends = enc.encode(pa.array([text], pa.string()))
+        assert ids.tolist() == brute_ids(text) and ends.tolist() == [len(ids)]
+    assert len(enc.numbers) < 6
 
 
 def test_packing_round_trip(docs, rows, empty):
@@ -433,6 +469,47 @@ def test_neighbours(spark):
     assert ann.search(vectors.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def recall(spark, x, settings, every):
+    schema = f"vec_id long, embedding array<{'float' if x.dtype == np.float32 else 'double'}>"
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], schema).coalesce(1)
+    got = defaultdict(set)
+    for r in ann.search(vectors, F.col("vec_id") % every == 0, settings=settings).collect():
+        got[r.query_id].add(r.vec_id)
+    xx, hits = x.astype(float), 0
+    for q, found in got.items():
+        s = xx @ xx[q]
+        s[q] = -np.inf
+        hits += len(found & set(np.argsort(-s, kind="stable")[:20].tolist()))
+    return hits / (20 * len(got))
+
+
+@pytest.mark.parametrize("n", [12_000, 40_000])
+def test_neighbours_where_lists_are_left_out(spark, n):
+    """More lists than are read: the walk and the ratio decide. Vectors lie around a hundred directions."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(100, 32))
+    x = (centres[rng.integers(0, 100, n)] + 0.3 * rng.normal(size=(n, 32))).astype(np.float32)
+    settings = ann.Settings(list_size=64, least_lists=8, ratio=1.1)
+    norm = np.sqrt((x.astype(float) ** 2).sum(axis=1).max())
+    lifted = ann._lift(x[:4096].astype(float), norm**2)
+    index = ann.Centroids(lifted, min(settings.max_lists, n // 64))
+    probe = [x[i] / np.linalg.norm(x[i]) * norm for i in range(0, 2000, 100)]
+    read = [index.search(ann._lift(q[None].astype(float), 0.0)[0], settings) for q in probe]
+    assert all(8 <= len(r) < len(index.points) / 2 for r in read)
+    for q, r in zip(probe, read, strict=True):  # the walk finds nearly all lists within the ratio
+        d = np.sqrt(((index.points - ann._lift(q[None].astype(float), 0.0)) ** 2).sum(axis=1))
+        within = set(np.flatnonzero(d <= settings.ratio * d.min()).tolist())
+        assert len(within - set(r.tolist())) <= 0.1 * len(within)
+    assert recall(spark, x, settings, 200) >= 0.9
+
+
+def test_neighbour_scores_are_of_the_stored_doubles(spark):
+    rows = [(0, [1.0, 0.0]), *((i, [1.0 + i * 1e-10, 0.5]) for i in range(1, 6))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(vectors, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(i, 1.0 + i * 1e-10) for i in (5, 4, 3, 2, 1)]
+
+
 def brute_secrets(text) -> list:
     t, found = text or "", []
     low = re.sub("[A-Z]", lambda m: m[0].lower(), t)
@@ -462,6 +539,16 @@ def test_secrets(spark, docs, rows, empty):
     assert Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in out) == expected
     assert sum(r.n_assign for r in out) >= 4
     assert secret_scan.scan(empty).count() == 0
+    # a credential that holds a fixed span, but goes on at both ends, is hidden as a whole
+    rng = random.Random(12)
+    made = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(60)]
+    texts = [(i, f"a sentence with token={k} and other plain words") for i, k in enumerate(made)]
+    prose = [(100 + i, " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(18)) for _ in range(9))) for i in range(60)]
+    long = "9f" * 3 + "QQ" + "0f1e2d3c4b5a" * 2 + "QQ88"
+    found = secret_scan.scan(spark.createDataFrame([*texts, *prose, (999, f"see {long} here")], "doc_id long, text string"))
+    spans = {r.doc_id: r.spans for r in found.collect()}
+    assert spans[999] == f"model:4:{4 + len(long)},hex:12:36" and not any(spans[i] for i, _ in prose)
+    assert secret_scan.redact(f"see {long} here", spans[999]) == "see [SECRET] here"
     assert secret_scan.redact("a token=abcdefgh b", "assign:2:16,hex:8:16") == "a [SECRET] b"
 
 

@@ -9,11 +9,13 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
-from .test_operators import SCHEMA, _texts, brute_components, brute_hits, brute_ids, brute_secrets
+from pyspark.sql import functions as F
+
+from .test_operators import SCHEMA, _shingles, _texts, brute_components, brute_hits, brute_ids, brute_secrets
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from moodtide.llm import secret_scan
+from moodtide.llm import secret_scan, toxicity
 from moodtide.llm.oracles import ORACLES
 from moodtide.llm.queries import QUERIES
 
@@ -115,6 +117,41 @@ def test_stages(spark, folder):
     assert Counter((r.doc_id, r.start, r.ids_crc32) for r in packed) == ids
 
 
+def test_stages_lose_no_text_of_a_repeated_id(spark, folder):
+    """Different texts under one id are documents of their own; columns may be named as those of the stages."""
+    texts = [t for t in _texts() if t and len(t.split()) > 40][:6]
+    first, other, third = texts[0], texts[3], "a quite different text of its own " * 4
+    rows = [(1, first), (1, third), (2, other), (2, third + "end"), (3, first + " and"), (3, first), (None, first), (None, first), (4, None), (4, None)]
+    rows = [(i, t, n, "a", "b", 7, "c") for n, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, _h string, _key string, _rows int, h string")
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("toxicity", "decontamination", "secret_scan"):
+        kept = stages[name](spark, docs, str(folder))
+        assert kept.columns == docs.columns and Counter(map(tuple, kept.collect())) == Counter(rows), name
+    kept = stages["near_dedup"](spark, docs, str(folder))
+    ids = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert kept.columns == docs.columns
+    expected = [(1, first), (None, first), (None, first), (4, None)]
+    near = _near(third, third + "end")
+    expected += [(1, third)] + ([] if near else [(2, third + "end")]) + ([] if _near(first, other) else [(2, other)])
+    assert ids == Counter(expected)
+    plain = spark.createDataFrame([(1, third), (2, other), (3, third), (3, third)], "doc_id long, text string")
+    assert {tuple(r) for r in stages["near_dedup"](spark, plain, str(folder)).collect()} == {(1, third), (2, other)}
+
+
+def _near(a, b):
+    x, y = _shingles(a), _shingles(b)
+    return 100 * len(x & y) >= 75 * len(x | y)
+
+
+def test_one_document_an_id_in_the_sample_of_labels(spark):
+    docs = spark.createDataFrame([(i % 5, f"text {i}") for i in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    got = toxicity.labelled(docs, labels, F.lit(True), 10_000, "doc_id", "text", "toxic").collect()
+    assert len(got) == 5 and sum(r.y for r in got) == 2
+    assert toxicity.labelled(docs, labels, F.lit(True), 3, "doc_id", "text", "toxic").count() <= 3
+
+
 def test_pipeline_runs_all_stages(spark, folder):
     out = corpus_pipeline.run(spark, str(folder))
     assert "sequence_id" in out.columns and out.count() > 20
