@@ -31,26 +31,41 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id; rows of one id become one."""
-    groups = near_dedup.components(docs)
-    dropped = written(groups.filter(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    kept = docs.join(decontam.small(dropped), "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    repeated = written(repeated.select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    ids = decontam.small(repeated)
-    once = kept.join(ids, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(ids, "doc_id", "left_anti").select(*docs.columns).union(once)
+    """One document of each group of near copies, that with the smallest id.
+
+    A document is an id and a text: different texts under one id are judged each by itself (the smaller
+    hash first), rows that repeat both become one.
+    """
+    masked, names = _masked(docs)
+    texts = masked.filter("doc_id IS NOT NULL").groupBy("doc_id", F.xxhash64("text").alias("_h"))
+    texts = written(texts.agg(F.count("*").alias("_rows")), "texts-of-ids")
+    if texts.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        keyed = masked.withColumn("_key", F.col("doc_id"))
+        texts = texts.withColumn("_key", F.col("doc_id"))
+    else:
+        # numbers in the order of ids: those of a sorted table ascend from part to part
+        texts = written(texts.orderBy("doc_id", "_h").withColumn("_key", F.monotonically_increasing_id()), "numbered")
+        keyed = masked.withColumn("_h", F.xxhash64("text")).join(texts.drop("_rows"), ["doc_id", "_h"], "left").drop("_h")
+        keyed = written(keyed, "numbered-texts")
+    groups = near_dedup.components(keyed, doc_id="_key")
+    dropped = written(groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_key")).distinct(), "dropped")
+    kept = keyed.join(decontam.small(dropped), "_key", "left_anti")
+    repeated = written(texts.filter("_rows > 1").select("_key"), "repeated")
+    if not repeated.isEmpty():
+        ids = decontam.small(repeated)
+        once = kept.join(ids, "_key", "left_semi").dropDuplicates(["_key"])
+        kept = kept.join(ids, "_key", "left_anti").unionByName(once)
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than 5 per cent of the words stand in passages of the benchmark."""
-    judged = decontam.judge(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    masked, names = _masked(docs)
+    judged = decontam.judge(masked, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     bad = judged.filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
     bad = decontam.small(written(bad, "contaminated"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
-    return docs.join(bad, same, "left_anti").select(*docs.columns)
+    return masked.join(bad, same, "left_anti").select(*names).toDF(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
