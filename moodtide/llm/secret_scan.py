@@ -13,7 +13,9 @@ import math
 import re
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -228,6 +230,7 @@ def scan(
     per_kind: int = 1000,
     margin: float = 12.0,
     keep: tuple[str, ...] = (),
+    redacted: str | None = None,
 ) -> DataFrame:
     """Spans of secrets in every text: counts per fixed kind, a digest of those, and all spans.
 
@@ -236,7 +239,8 @@ def scan(
     kind:start:end in code points, end exclusive, by start, then kind.
 
     Null and empty texts have no spans; repeated rows give repeated results; without any labelled
-    credential nothing is added to the fixed spans. ``keep`` names further columns to carry.
+    credential nothing is added to the fixed spans. ``keep`` names further columns to carry,
+    ``redacted`` a column for the text with its spans replaced by a mark (null stays null).
     """
     credentials, other = fit(labelled_credentials(docs, text, per_kind))
 
@@ -248,7 +252,7 @@ def scan(
 
     def find(batches):
         for batch in pieces(batches, text):
-            counts, digests, spans = [], [], []
+            counts, digests, spans, clean = [], [], [], []
             for t in batch.column(text).to_pylist():
                 t = t or ""
                 tokens = candidates(t)
@@ -260,6 +264,8 @@ def scan(
                     (a, 3, b) for a, b in tokens if not any(x <= a and b <= y for x, _, y in base) and is_secret(t[a:b])
                 ]
                 spans.append(",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(base + more)))
+                if redacted is not None and spans[-1]:
+                    clean.append((len(spans) - 1, redact(t, spans[-1])))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(doc_id),
@@ -267,18 +273,31 @@ def scan(
                     pa.array(digests, pa.string()),
                     pa.array(spans, pa.string()),
                     *(batch.column(c) for c in extra),
+                    *([] if redacted is None else [_replaced(batch.column(text), clean)]),
                 ],
-                names=[doc_id, "n_assign", "n_access", "n_hex", "base_sha256", "spans", *extra],
+                names=[doc_id, "n_assign", "n_access", "n_hex", "base_sha256", "spans", *extra, *added],
             )
 
     extra = [c for c in keep if c != doc_id]
+    added = [] if redacted is None else [redacted]
     own = docs.select(doc_id, *(c for c in dict.fromkeys([text, *keep]) if c != doc_id))
     kind = own.schema[doc_id].dataType.simpleString()
     carried = "".join(f", `{c}` {own.schema[c].dataType.simpleString()}" for c in extra)
+    carried += "".join(f", `{c}` string" for c in added)
     schema = f"`{doc_id}` {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string{carried}"
     return own.mapInArrow(find, schema)
 
 
+def _replaced(texts: pa.Array, new: list[tuple[int, str]]) -> pa.Array:
+    """``texts`` with those of the given places exchanged; the others are not copied to Python."""
+    texts = texts.cast(pa.string())
+    if not new:
+        return texts
+    mask = np.zeros(len(texts), bool)
+    mask[[i for i, _ in new]] = True
+    return pc.replace_with_mask(texts, pa.array(mask), pa.array([t for _, t in new], pa.string()))
+
+
 def redact(text: str | None, spans: str, mark: str = "[SECRET]") -> str | None:
     """``text`` with every span replaced by ``mark``; overlapping spans count as one."""
     if not text or not spans:
