@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from moodtide.llm import decontam, near_dedup, packing, secret_scan, toxicity
 from moodtide.llm.common import written
 
 TOXIC_FROM = 0.7
+BATCH_ROWS = 1000
 
 
 def _masked(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
@@ -22,8 +22,16 @@ def _masked(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
     return docs.withColumnsRenamed(names), tuple(names.get(c, c) for c in docs.columns)
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Rows of whole texts cross to Python in small batches, which bounds both sides' buffers."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows, "10000")) > BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under ``TOXIC_FROM``; the model learns from all labels."""
+    _small_batches(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     masked, names = _masked(docs)
     scored = toxicity.score(masked, model, keep=names)
@@ -47,6 +55,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         texts = written(texts.orderBy("doc_id", "_h").withColumn("_key", F.monotonically_increasing_id()), "numbered")
         keyed = masked.withColumn("_h", F.xxhash64("text")).join(texts.drop("_rows"), ["doc_id", "_h"], "left").drop("_h")
         keyed = written(keyed, "numbered-texts")
+    _small_batches(spark)
     groups = near_dedup.components(keyed, doc_id="_key")
     dropped = written(groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_key")).distinct(), "dropped")
     kept = keyed.join(decontam.small(dropped), "_key", "left_anti")
@@ -70,11 +79,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark and the number of characters set anew."""
+    _small_batches(spark)
     masked, names = _masked(docs)
-    found = secret_scan.scan(masked, keep=names)
-    redact = F.udf(secret_scan.redact, StringType(), useArrow=True)
-    clean = F.when(F.col("spans") == "", F.col("text")).otherwise(redact("text", "spans"))
-    out = found.withColumn("text", clean).select(*names).toDF(*docs.columns)
+    found = secret_scan.scan(masked, keep=tuple(n for n in names if n != "text"), redacted="text")
+    out = found.select(*names).toDF(*docs.columns)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length("text").cast(kind))
@@ -83,6 +91,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where the ids of each document lie in sequences of 2048."""
+    _small_batches(spark)
     return packing.pack_documents(docs, window=2048)
 
 
