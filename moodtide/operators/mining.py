@@ -66,32 +66,31 @@ def top_bigrams(
 
     ``top_n=None`` gives the counts of all pairs, unordered.
     """
-    ordered = corpus.select(F.array_sort(bigrams(_content(text_col, stop_words))).alias("grams"))
-    # pairs are counted within the row of their text: one mention per text and phrase
-    mentions = ordered.select(F.inline(_term_counts(F.col("grams")))).toDF("phrase", "c")
+    # words, then pairs: each in a projection of its own, so that no text is cut twice
+    tokenised = corpus.select(_content(text_col, stop_words).alias("words"))
+    grams = tokenised.select(bigrams(F.col("words")).alias("grams"))
+    mention = [F.transform("grams", lambda g: F.struct(g.alias("phrase"), F.lit(1).alias("c"), F.lit(0).alias("d")))]
+    if min_df > 1:
+        # One extra mention per text and phrase counts the texts without a per-text shuffle.
+        mention.append(
+            F.transform(
+                F.array_distinct("grams"),
+                lambda g: F.struct(g.alias("phrase"), F.lit(0).alias("c"), F.lit(1).alias("d")),
+            )
+        )
+    mentions = grams.select(F.inline(F.concat(*mention)))
     counts = (
         mentions.groupBy("phrase")
-        .agg(F.sum("c").alias("count"), F.count(F.lit(1)).alias("df"))
+        .agg(F.sum("c").alias("count"), F.sum("d").alias("df"))
         .where(F.lit(min_df <= 1) | (F.col("df") >= min_df))
         .select("phrase", "count")
     )
-    n_docs = corpus.agg(F.count(text_col)).scalar()
+    # whether there are enough texts shows in the first few
+    n_docs = corpus.where(F.col(text_col).isNotNull()).limit(min_docs).agg(F.count(F.lit(1))).scalar()
     counts = counts.where(n_docs >= min_docs)
     return counts if top_n is None else counts.orderBy(F.desc("count"), "phrase").limit(top_n)
 
 
-def _term_counts(ordered: Column) -> Column:
-    """(term, tf) of a sorted word array, from the places where the word changes."""
-    n = F.size(ordered)
-    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    starts = F.filter(every, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(n))
-    return F.when(
-        n > 0,
-        F.zip_with(starts, ends, lambda a, b: F.struct(F.get(ordered, a).alias("term"), (b - a).cast("long").alias("tf"))),
-    ).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
-
-
 def term_weights(
     corpus: DataFrame,
     *,
@@ -104,10 +103,17 @@ def term_weights(
     """TF-IDF per text and term: ``tf * (ln((1+n)/(1+df)) + 1)``, scaled to unit length per text.
 
     Terms in more than ``max_df`` of the texts are dropped; ``max_terms`` keeps the most frequent of
-    the others only. Terms are counted within the row of their text, before anything is shuffled.
+    the others only. A text is a row: texts that share an id are weighed each by itself.
     """
-    words = corpus.select(F.col(id_col), F.array_sort(_content(text_col, stop_words)).alias("words"))
-    tf = words.select(id_col, F.inline(_term_counts(F.col("words"))))
+    texts = corpus.select(
+        F.col(id_col).alias("__id"),
+        _content(text_col, stop_words).alias("words"),
+        F.monotonically_increasing_id().alias("__row"),  # before the words part, which would number them
+    )
+    words = texts.select("__id", "__row", F.explode("words").alias("term"))
+    # words of a text stand together, so they are combined before the shuffle, whose output the
+    # vocabulary and the weights both read
+    tf = words.groupBy("__id", "__row", "term").agg(F.count(F.lit(1)).alias("tf"))
     n = corpus.agg(F.count(F.lit(1))).scalar()
     vocab = (
         tf.groupBy("term")
@@ -119,8 +125,8 @@ def term_weights(
         vocab = vocab.orderBy(F.desc("total"), "term").limit(max_terms)
     vocab = vocab.select("term", (F.ln((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
     weighted = tf.join(vocab, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return weighted.select(id_col, "term", "tf", (F.col("w") / norm).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("__row")))
+    return weighted.select(F.col("__id").alias(id_col), "term", "tf", (F.col("w") / norm).alias("weight"))
 
 
 def theme_clusters(phrases: DataFrame, phrase_col: str = "phrase") -> DataFrame:

@@ -57,16 +57,21 @@ _IDENTITY = ("review_id", "date", "ticker", "raw")
 
 
 def _with_texts(texts: DataFrame, few: DataFrame) -> DataFrame:
-    """Texts of the ``few`` rows of a top-k, whose limit bounds the broadcast; rows that repeat stay."""
+    """Texts of the ``few`` rows of a top-k, whose limit bounds the broadcast; rows that repeat stay.
+
+    Rows meet by id, day and ticker; only the texts that are left are digested and compared.
+    """
     others = [c for c in few.columns if c not in _IDENTITY]
     same = few.groupBy(*_IDENTITY, *others).agg(F.count(F.lit(1)).alias("__times"))
-    own = texts.select("review_id", "date", "ticker", "review_text")
-    own = own.withColumn("raw", _raw_digest(F.col("review_text")))
     named = same.select(*[F.col(c).alias(f"__{c}") for c in _IDENTITY], *others, "__times")
     match = F.lit(True)
-    for c in _IDENTITY:
+    for c in _IDENTITY[:-1]:
         match = match & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    found = own.join(F.broadcast(named), match).drop(*[f"__{c}" for c in _IDENTITY])
+    own = texts.select("review_id", "date", "ticker", "review_text")
+    met = own.join(F.broadcast(named), match)
+    # the digest in a branch of its own: in the condition of the join it would be worked out for all texts
+    raw = F.when(F.col("__times") > 0, _raw_digest(F.col("review_text")))
+    found = met.withColumn("raw", raw).where(F.col("raw").eqNullSafe(F.col("__raw"))).drop(*[f"__{c}" for c in _IDENTITY])
     once = first_per_key(found, [*_IDENTITY, *others], [F.lit(1)])
     again = F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))
     return once.withColumn("__n", again).drop("__n", "__times", "raw")
@@ -195,6 +200,9 @@ def day_excerpts(
 # -- tail days --------------------------------------------------------------------------
 
 
+_COARSE, _FINE = 16, 16
+
+
 def exact_quantiles(
     rows: DataFrame,
     value: str,
@@ -206,10 +214,46 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group and probability.
 
-    The built-in exact ``percentile`` gathers every distinct value of a group in one task. Here
-    a mergeable sketch first brackets each wanted rank (its rank error is bounded by
-    1/accuracy); only counts below the bracket and the few values inside it are then ranked.
-    Small groups are ranked whole, as the bracket would be narrower than two ranks.
+    The built-in exact ``percentile`` gathers every distinct value of a group in one task. Here the
+    search narrows twice by sketches whose rank error is bounded by 1/accuracy, with exact counts for all
+    that is left out. A sketch of all rows brackets each wanted rank. Values inside are counted, so ties
+    are one row; a sketch of these distinct values cuts the bracket into 256 parts, the counts of
+    which tell the part that holds the rank. Only that part is sorted in one task: about
+    8/accuracy/256 of a group's distinct values. Groups of up to ``whole_below`` rows are ranked whole.
+    """
+    keys = [*by, "q"]
+    parts, counts = _counted_parts(rows, value, probabilities, by, accuracy, whole_below)
+    before = Window.partitionBy(*keys).orderBy("part")  # 258 parts at most
+    cum = F.sum("c").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    pos = (F.col("n") - 1) * F.col("p")
+    placed = parts.withColumn("start", cum - F.col("c")).withColumns({"i": F.floor(pos), "j": F.ceil(pos)})
+
+    def within(index: str, start: str, c: str) -> Column:
+        return (F.col(start) <= F.col(index)) & (F.col(start) + F.col(c) > F.col(index))
+
+    # A rank outside its bracket is an error of the sketch's bound, not a missing value.
+    outside = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("int")
+    part = F.when(F.col("part").between(0, _COARSE * _FINE), F.col("part")).otherwise(outside).alias("part")
+    wanted = placed.where(within("i", "start", "c") | within("j", "start", "c"))
+    wanted = wanted.select(*keys, part, "start", "n", "p", "i", "j")
+    inside = counts.join(wanted, [*keys, "part"])
+    upto = Window.partitionBy(*keys, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("at", F.col("start") + F.sum("c").over(upto) - F.col("c"))
+
+    def at(index: str) -> Column:
+        return F.max(F.when(within(index, "at", "c"), F.col("v")))
+
+    frac = F.max(pos - F.floor(pos)).alias("frac")
+    picked = ranked.groupBy(*keys, "p", "n").agg(at("i").alias("a"), at("j").alias("b"), frac)
+    return picked.select(*by, "q", "p", "n", (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("value"))
+
+
+def _counted_parts(
+    rows: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str], accuracy: int, whole_below: int
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of each part of each bracket as ``c``, distinct values with their counts and part).
+
+    Parts are numbered from 0 inside the bracket; -1 lies below it, one more than the last above it.
     """
     v = F.col(value)
     slack = 4.0 / accuracy
@@ -233,31 +277,30 @@ def exact_quantiles(
     else:
         each = rows.select("v", F.inline(sketch.scalar()))
     # Values outside the bracket collapse to one row per group and side.
-    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
+    last = _COARSE * _FINE
+    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), last + 1).otherwise(0)
+    keys = [*by, "q"]
     counts = (
         each.withColumn("side", side)
         .withColumn("v", F.when(F.col("side") == 0, F.col("v")))
-        .groupBy(*by, "q", "p", "n", "side", "v")
+        .groupBy(*keys, "p", "n", "side", "v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    order = Window.partitionBy(*by, "q").orderBy("side", "v")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pos = (F.col("n") - 1) * F.col("p")
-    cum = counts.withColumn("cum", F.sum("c").over(upto)).withColumns(
-        {"i": F.floor(pos), "j": F.ceil(pos), "frac": pos - F.floor(pos)}
-    )
-    start = F.col("cum") - F.col("c")
-
-    def at(index: str) -> Column:
-        return F.max(F.when((start <= F.col(index)) & (F.col("cum") > F.col(index)), F.col("v")))
-
-    picked = cum.groupBy(*by, "q", "p", "n").agg(
-        at("i").alias("a"), at("j").alias("b"), F.max("frac").alias("frac")
-    )
-    # A rank outside its bracket is an error of the sketch's bound, not a missing value.
-    outside = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
-    picked = picked.withColumns({x: F.when(F.col(x).isNull(), outside).otherwise(F.col(x)) for x in "ab"})
-    return picked.select(*by, "q", "p", "n", (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("value"))
+    # Bounds of the parts, as values, so that they mean the same wherever they are used.
+    steps = [i / last for i in range(1, last)]
+    large = F.when((F.col("side") == 0) & (F.col("n") > whole_below), F.col("v"))
+    bounds = counts.groupBy(*keys).agg(F.percentile_approx(large, steps, accuracy).alias("bounds"))
+
+    def below(array: Column) -> Column:
+        return F.size(F.filter(array, lambda b: b < F.col("v")))
+
+    every = F.transform(F.sequence(F.lit(1), F.lit(_COARSE - 1)), lambda k: F.get(F.col("bounds"), k * _FINE - 1))
+    located = counts.join(bounds, keys).withColumn("coarse", F.when(F.col("bounds").isNotNull(), below(every)))
+    fine = below(F.slice("bounds", F.col("coarse") * _FINE + 1, F.lit(_FINE)))
+    part = F.when((F.col("side") == 0) & F.col("bounds").isNotNull(), F.col("coarse") * _FINE + fine)
+    located = located.withColumn("part", F.coalesce(part, F.col("side"))).drop("bounds", "coarse", "side")
+    parts = located.groupBy(*keys, "p", "n", "part").agg(F.sum("c").alias("c"))
+    return parts, located.where(F.col("v").isNotNull()).drop("p", "n")
 
 
 def return_tails(reg: DataFrame, quantile: float = 0.1, by: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -278,8 +278,13 @@ def expanding_corr(
     by: Sequence[str] = ("ticker",),
     min_rows: int = 15,
 ) -> DataFrame:
-    """Correlation of everything up to each day; NULL before ``min_rows`` points."""
+    """Correlation of everything up to each day; NULL before ``min_rows`` points.
+
+    ``by=[]`` pools all entities in the order of day, return, entity and score.
+    """
     rows = reg.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    if not by:
+        return _pooled_paths(rows, {"expanding_r": (x, "expanding")}, y, 0, min_rows).select("date", "expanding_r")
     r = pearson(F.col(x), F.col(y), min_pairs=min_rows, over=_up_to_now(by))
     return rows.withColumn("expanding_r", r).select(*by, "date", "expanding_r")
 
@@ -293,12 +298,75 @@ def rolling_corr(
     window: int = 20,
     min_rows: int = 15,
 ) -> DataFrame:
-    """Correlation of the last ``window`` rows; NULL when fewer than ``min_rows`` points."""
+    """Correlation of the last ``window`` rows; NULL when fewer than ``min_rows`` points.
+
+    ``by=[]`` pools all entities in the order of day, return, entity and score.
+    """
     rows = reg.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    if not by:
+        return _pooled_paths(rows, {"rolling_r": (x, "rolling")}, y, window, min_rows).select("date", "rolling_r")
     r = pearson(F.col(x), F.col(y), min_pairs=min_rows, over=_last_rows(by, window))
     return rows.withColumn("rolling_r", r).select(*by, "date", "rolling_r")
 
 
+# Rows of a pooled series that one task follows.
+_CHUNK_ROWS = 4096
+
+
+def _pooled_paths(
+    rows: DataFrame, paths: Mapping[str, tuple[str, str]], y: str, window: int, min_rows: int, chunk: int = _CHUNK_ROWS
+) -> DataFrame:
+    """``rows`` with paths over all entities: name -> (score column, "expanding" or "rolling").
+
+    One ordered window over everything would be one task. Expanding paths add prefix sums instead: moments
+    around the overall means are summed up by day, the sums of all days before are carried to each day, and only
+    the rows of a day are summed up in order. Rolling paths cut the series into chunks by position, each
+    with a copy of the rows that its first windows reach back to. Rows of one day go by return, entity and scores.
+    """
+    xs = list(dict.fromkeys(x for x, _ in paths.values()))
+    order = [y, "ticker", *xs]
+    of_day = Window.partitionBy("date").orderBy(*order)
+    up_to = of_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = rows.withColumn("__k", F.lit(1).cast("long"))
+    sums = ["__k"]
+    expanding = [x for x, kind in paths.values() if kind == "expanding"]
+    for i, x in enumerate(expanding):
+        both = F.col(x).isNotNull() & F.col(y).isNotNull()
+        means = rows.agg(F.struct(F.avg(F.when(both, F.col(x))).alias("x"), F.avg(F.when(both, F.col(y))).alias("y")))
+        centre = means.scalar()
+        dx, dy = F.col(x) - centre["x"], F.col(y) - centre["y"]
+        moments = {"n": F.lit(1.0), "x": dx, "y": dy, "xx": dx * dx, "yy": dy * dy, "xy": dx * dy}
+        named = {f"__{m}{i}": F.coalesce(F.when(both, v), F.lit(0.0)) for m, v in moments.items()}
+        numbered = numbered.withColumns(named)
+        sums += list(named)
+    days = numbered.groupBy("date").agg(*[F.sum(c).alias(c) for c in sums])
+    past = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, -1)  # one row a day
+    carried = days.select("date", *[F.coalesce(F.sum(c).over(past), F.lit(0)).alias(f"{c}_before") for c in sums])
+    out = numbered.join(carried, "date")
+    out = out.withColumns({c: F.sum(c).over(up_to) + F.col(f"{c}_before") for c in sums})
+    for name, (x, kind) in paths.items():
+        if kind == "expanding":
+            n, sx, sy, sxx, syy, sxy = (F.col(f"__{m}{expanding.index(x)}") for m in ("n", "x", "y", "xx", "yy", "xy"))
+            free = F.nullif(F.greatest(n - 1, F.lit(0.0)), F.lit(0.0))
+            # rounding may leave a constant side a little below zero
+            vx, vy = (F.greatest((q - s * s / n) / free, F.lit(0.0)) for q, s in ((sxx, sx), (syy, sy)))
+            sd = F.sqrt(vx) * F.sqrt(vy)
+            usable = (n >= min_rows) & (F.sqrt(vx) >= MIN_SD) & (F.sqrt(vy) >= MIN_SD)
+            out = out.withColumn(name, F.when(usable, finite_or_null(F.try_divide((sxy - sx * sy / n) / free, sd))))
+    rolling = {name: x for name, (x, kind) in paths.items() if kind == "rolling"}
+    if rolling:
+        size = max(chunk, 2 * window)
+        place = F.col("__k") - 1
+        own = out.withColumns({"__chunk": F.floor(place / size), "__copy": F.lit(False)})
+        reach = own.where(place % size > size - window)
+        reach = reach.withColumns({"__chunk": F.col("__chunk") + 1, "__copy": F.lit(True)})
+        last = Window.partitionBy("__chunk").orderBy("__k").rowsBetween(-(window - 1), Window.currentRow)
+        both = own.unionByName(reach)
+        out = both.withColumns({name: pearson(F.col(x), F.col(y), min_pairs=min_rows, over=last) for name, x in rolling.items()})
+        out = out.where(~F.col("__copy"))
+    return out
+
+
 def stability_frame(
     reg: DataFrame,
     *,
@@ -309,9 +377,14 @@ def stability_frame(
     """Expanding and rolling correlation of both scores, one row per day of each entity.
 
     All four paths share one sort. Rows where the second score is missing keep their place
-    with a NULL for it.
+    with a NULL for it. ``by=[]`` pools all entities, day by day.
     """
     base = reg.where(F.col("avg_a_lag1").isNotNull() & F.col("ret").isNotNull())
+    if not by:
+        kinds = {f"{kind}_{s}": (f"avg_{s}_lag1", kind) for s in ("a", "b") for kind in ("expanding", "rolling")}
+        out = _pooled_paths(base, kinds, "ret", window, min_rows)
+        masked = [F.when(F.col(x).isNotNull(), F.col(p)).alias(p) for p, (x, _) in kinds.items()]
+        return out.select("date", "ticker", "ret", "avg_a_lag1", *masked)
     wide, recent = _up_to_now(by), _last_rows(by, window)
     y = F.col("ret")
     paths = {}

@@ -68,6 +68,20 @@ def _middle_below(value: Column, limit: float, *, inclusive: bool) -> Column:
     return F.when(below * 2 > n, True).when((below * 2 == n) & (n > 0), F.coalesce(halved, F.lit(False))).otherwise(False)
 
 
+# Distinct values up to which a column may still be a ticker, and the size of the set that counts them.
+_FEW = 50
+_SET_BITS = 9
+
+
+def _distinct_values(text: Column) -> Column:
+    """Number of distinct values, exact up to 512 and about right beyond.
+
+    A theta sketch is the set of hashes itself until it is full: a bounded set that merges, so
+    rows are not copied once for each column as by ``count(DISTINCT)``.
+    """
+    return F.round(F.theta_sketch_estimate(F.theta_sketch_agg(F.when(text.isNotNull(), F.xxhash64(text)), _SET_BITS))).cast("long")
+
+
 def _statistics(column: str, data_type: str) -> Column:
     """What the whole column shows, as one struct of aggregates."""
     c = F.col(column)
@@ -86,7 +100,7 @@ def _statistics(column: str, data_type: str) -> Column:
         is_text.alias("is_text"),
         F.avg(length).alias("mean_len"),
         F.count(text).alias("filled"),
-        F.count_distinct(F.when(text.isNotNull(), F.xxhash64(text))).alias("n_values"),
+        _distinct_values(text).alias("n_values"),
         _middle_below(length, 6, inclusive=True).alias("short"),
         F.coalesce(F.avg(number.isNotNull().cast("double")), F.lit(0.0)).alias("num_rate"),
         _middle_below(size, 0.5, inclusive=False).alias("small"),
@@ -121,7 +135,7 @@ def column_scores(df: DataFrame) -> DataFrame:
         return F.when(flag, points).otherwise(0.0)
 
     s = F.col("s")
-    few = (s["n_values"] >= 1) & (s["n_values"] <= F.least(F.lit(50), s["filled"]))
+    few = (s["n_values"] >= 1) & (s["n_values"] <= F.least(F.lit(_FEW), s["filled"]))
     date_score = s["date_rate"] * 3 + bonus(F.col("h_date"), 2.0)
     text_score = F.when(
         s["is_text"], F.least(s["mean_len"] / 30, F.lit(4.0)) + bonus(F.col("h_text"), 3.0)

@@ -1,9 +1,11 @@
 import pytest
 
+from moodtide.operators import mining as M
 from moodtide.operators import panel as P
 from moodtide.operators import reviews as R
 from moodtide.operators import scoring as N
 from moodtide.operators import stats as S
+from moodtide.sources import detect as D
 from workload import fixtures as X
 from workload.queries import QUERIES
 
@@ -20,8 +22,31 @@ def test_no_cross_joins(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     single = [i for i, line in enumerate(text.splitlines()) if "Exchange SinglePartition" in line]
     lines = text.splitlines()
-    # one task gathers partial sums or the heads of a top-k only
-    assert all("partial_" in lines[i + 1] or "Limit" in lines[i + 1] or "keys=[]" in lines[i + 1] for i in single), text
+    # one task gathers partial sums, the heads of a top-k, or one row a day only
+    few = ("partial_", "Limit", "keys=[]", "HashAggregate(keys=[date")
+    assert all(any(x in lines[i + 1] for x in few) for i in single), text
+
+
+def test_columns_are_profiled_without_copying_rows(spark):
+    text = plan(D.column_scores(X.table(spark, SF, "documents")))
+    assert "Expand" not in text and "partial_theta_sketch_agg" in text
+
+
+def test_texts_are_weighed_with_one_scan_and_one_shuffle_of_words(spark):
+    text = plan(M.term_weights(X.text_reviews(spark, SF)))
+    assert text.count("regexp_extract_all(lower(") == 2  # once in each use of the counts, which share their shuffle
+    text = plan(M.top_bigrams(X.text_reviews(spark, SF), min_df=2))
+    assert text.count("regexp_extract_all(lower(") == 1 and "partial_sum" in text
+
+
+def test_top_k_texts_are_digested_after_the_join(spark):
+    scores = R.score_table(X.text_scored(spark, SF)).persist()
+    text = plan(R.top_disagreement(scores, 5, texts=X.text_reviews(spark, SF)))
+    scores.unpersist()
+    reading = text[: text.index("InMemoryTableScan")] if "InMemoryTableScan" in text else text
+    # rows that meet by their keys are digested in the join's own condition, no others below it
+    joined, below = reading[reading.index("BroadcastHashJoin") :].split("\n", 1)
+    assert "sha2" in joined and "sha2" not in below
 
 
 def test_scoring_stays_in_the_jvm_and_reads_two_columns(spark):

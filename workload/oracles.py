@@ -121,15 +121,20 @@ _UPTO = "OVER (PARTITION BY ticker ORDER BY date, ret ROWS BETWEEN UNBOUNDED PRE
 _LAST = "OVER (PARTITION BY ticker ORDER BY date, ret ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
 
 
-def stability(src: str = "reg") -> str:
+_POOL = "ORDER BY date, ret, ticker, avg_a_lag1, avg_b_lag1"
+_POOL_UPTO = f"OVER ({_POOL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_POOL_LAST = f"OVER ({_POOL} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
+
+
+def stability(src: str = "reg", upto: str = _UPTO, last: str = _LAST) -> str:
     def path(s: str, over: str) -> str:
         return f"CASE WHEN avg_{s}_lag1 IS NOT NULL THEN {pearson(f'avg_{s}_lag1', 'ret', 15, over)} END"
 
     return f"""
 stab AS (
   SELECT date, ticker, ret, avg_a_lag1,
-         {path('a', _UPTO)} AS expanding_a, {path('a', _LAST)} AS rolling_a,
-         {path('b', _UPTO)} AS expanding_b, {path('b', _LAST)} AS rolling_b
+         {path('a', upto)} AS expanding_a, {path('a', last)} AS rolling_a,
+         {path('b', upto)} AS expanding_b, {path('b', last)} AS rolling_b
   FROM {src} WHERE avg_a_lag1 IS NOT NULL AND ret IS NOT NULL)"""
 
 
@@ -375,6 +380,11 @@ register("expanding_corr", f"WITH {B_PANEL}, {stability()} SELECT ticker, date,
 register("rolling_corr", f"WITH {B_PANEL}, {stability()} SELECT ticker, date, {r('rolling_b', 'rolling_r')} FROM stab")
 _PATHS = ("expanding_a", "rolling_a", "expanding_b", "rolling_b")
 register("stability_frame", f"WITH {B_PANEL}, {stability()} SELECT date, ticker, {r('ret')}, {r('avg_a_lag1')}, {', '.join(r(p) for p in _PATHS)} FROM stab")
+_POOLED = f"WITH {B_PANEL}, {stability('reg', _POOL_UPTO, _POOL_LAST)}"
+_WITH_B = f"WITH {B_PANEL}, {stability('(SELECT * FROM reg WHERE avg_b_lag1 IS NOT NULL)', _POOL_UPTO, _POOL_LAST)}"
+register("expanding_corr_pooled", f"{_POOLED} SELECT date, {r('expanding_a', 'expanding_r')} FROM stab")
+register("rolling_corr_pooled", f"{_WITH_B} SELECT date, {r('rolling_b', 'rolling_r')} FROM stab")
+register("stability_frame_pooled", f"{_POOLED} SELECT date, ticker, {r('ret')}, {r('avg_a_lag1')}, {', '.join(r(p) for p in _PATHS)} FROM stab")
 register("stability_endpoints", f"""
 WITH {B_PANEL}, {stability()}
 SELECT ticker, date AS last_date, {', '.join(r(p) for p in _PATHS)} FROM stab

@@ -396,6 +396,22 @@ def stability_frame(spark, d):
     return S.stability_frame(X.long_reg(spark, d))
 
 
+@query
+def expanding_corr_pooled(spark, d):
+    """All entities as one series, without an ordered window over all rows."""
+    return S.expanding_corr(X.long_reg(spark, d), by=[])
+
+
+@query
+def rolling_corr_pooled(spark, d):
+    return S.rolling_corr(X.long_reg(spark, d), "avg_b_lag1", by=[])
+
+
+@query
+def stability_frame_pooled(spark, d):
+    return S.stability_frame(X.long_reg(spark, d), by=[])
+
+
 @query
 def stability_endpoints(spark, d):
     return S.stability_endpoints(S.stability_frame(X.long_reg(spark, d)))
