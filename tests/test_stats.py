@@ -124,9 +124,12 @@ def test_constant_window_gives_null_not_error(panel_of):
     assert all(x.expanding_a is None and x.rolling_a is None for x in r)
 
 
-def test_pooled_series_are_refused(panel_of):
+def test_splits_and_halves_need_an_entity(panel_of):
+    rows = panel_of([0.1], [1])
     with pytest.raises(ValueError):
-        S.stability_frame(panel_of([0.1], [1]), by=[])
+        S.time_split(rows, by=[])
+    with pytest.raises(ValueError):
+        S.early_late_gap(rows.withColumns({"avg_a": rows.ret, "avg_b": rows.ret}), by=[])
 
 
 def _summary_panel(spark, a, b):
