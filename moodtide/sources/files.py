@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from pathlib import PurePosixPath
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,12 +67,12 @@ def _is_parquet(path: str) -> bool:
 def load_demo(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The demo pair in ``folder``; an error names the folder when a file is missing."""
     paths = [f"{folder.rstrip('/')}/{name}" for name in (REVIEWS_FILE, MARKET_FILE)]
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    for p in paths:
-        if not hadoop(p).getFileSystem(conf).exists(hadoop(p)):
-            raise FileNotFoundError(f"demo files {REVIEWS_FILE} and {MARKET_FILE} not found in {folder}")
-    return read_csv(spark, paths[0]), read_csv(spark, paths[1])
+    try:
+        return read_csv(spark, paths[0]), read_csv(spark, paths[1])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"demo files {REVIEWS_FILE} and {MARKET_FILE} not found in {folder}") from e
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
