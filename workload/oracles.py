@@ -173,6 +173,10 @@ def register(name: str, sql: str) -> None:
 
 register("reviews_csv", f"WITH {A_REVIEWS} SELECT review_id, date, ticker, md5(review_text) AS text_md5 FROM reviews")
 register("market_csv", f"WITH {A_MARKET} SELECT date, ticker, {r('ret')} FROM market")
+register("demo_pair", f"""
+WITH {A_REVIEWS}, {A_MARKET},
+daily AS (SELECT date, ticker, count(*) AS n_reviews FROM reviews GROUP BY ALL)
+SELECT date, ticker, n_reviews, {r('ret')} FROM daily JOIN market USING (date, ticker)""")
 
 # The queue's text key is checked on its own below; here NFKC changes nothing but letters.
 KEY = r"""trim(regexp_replace(lower(regexp_replace(nfc_normalize({}),

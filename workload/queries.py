@@ -65,6 +65,17 @@ def market_csv(spark, d):
     return prepare.prepare_market(files.read_market(spark, path))
 
 
+@query
+def demo_pair(spark, d):
+    """The pair of files in one folder, loaded, prepared and joined by day and entity."""
+    folder = _scratch(spark, "demo")
+    files.write_csv(X.text_reviews(spark, d), f"{folder}/{files.REVIEWS_FILE}")
+    files.write_csv(X.text_market(spark, d), f"{folder}/{files.MARKET_FILE}")
+    reviews, market = files.load_demo(spark, folder)
+    daily = prepare.prepare_reviews(reviews).groupBy("date", "ticker").agg(F.count(F.lit(1)).alias("n_reviews"))
+    return daily.join(prepare.prepare_market(market), ["date", "ticker"])
+
+
 @query
 def queue_csv(spark, d):
     """Export of the disagreement queue, read back."""
