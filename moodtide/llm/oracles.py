@@ -104,29 +104,52 @@ def _node(url: str) -> str:
 
 
 def _attribute(tag: str, name: str) -> str:
-    value = rf"""regexp_extract({tag}, '(?is)\b{name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 0)"""
-    bare = rf"""regexp_replace({value}, '(?is)^{name}\s*=\s*["'']?|["'']$', '', 'g')"""
-    return f"replace(trim({bare}), '&amp;', '&')"
+    pattern = rf"""(?is)[\s"''/]{name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))"""
+    value = " || ".join(f"regexp_extract({tag}, '{pattern}', {i})" for i in (1, 2, 3))
+    return f"replace({value}, '&amp;', '&')"
 
 
+def _without_dots(path: str) -> str:
+    parts = f"string_split({path}, '/')"
+    return rf"""(list_reduce({parts}, lambda acc, part: CASE part WHEN '.' THEN acc
+      WHEN '..' THEN regexp_replace(acc, '/[^/]*\z', '') ELSE acc || '/' || part END)
+      || CASE WHEN {parts}[-1] IN ('.', '..') THEN '/' ELSE '' END)"""
+
+
+_CANONICAL = (
+    r"""(?is)<link\b[^>]*[\s"''/]rel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"[^>]*"""
+    r"""|''(?:[^''>]*\s)?canonical(?:\s[^''>]*)?''[^>]*|canonical(?:[\s/][^>]*)?)>"""
+)
+
 URL_FILTER = rf"""
 WITH RECURSIVE p AS (
-  SELECT page_id, url, coalesce(html, '') AS h, {_host('url')} AS host, {_path('url')} AS path, {_node('url')} AS node FROM pages
+  SELECT page_id, url, regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->', '', 'g') AS h,
+    {_host('url')} AS host, {_path('url')} AS path, {_node('url')} AS node FROM pages
 ), tags AS (
-  SELECT *, regexp_extract(h, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0) AS canonical,
-    regexp_extract(h, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0) AS refresh FROM p
+  SELECT *, regexp_extract(h, '{_CANONICAL}', 0) AS canonical,
+    regexp_extract(h, '(?is)<meta\b[^>]*[\s"''/]http-equiv\s*=\s*["'']?refresh\b[^>]*>', 0) AS refresh FROM p
 ), targets AS (
   SELECT url, path, node, {_attribute('canonical', 'href')} AS t FROM tags
   UNION ALL
   SELECT url, path, node, regexp_extract({_attribute('refresh', 'content')}, '(?is)^[\s\d.;,]*url\s*=\s*[''"]?([^''"]+)', 1) FROM tags
+), bare AS (
+  SELECT * REPLACE (regexp_replace(regexp_replace(t, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z', '', 'g'), '(?s)#.*\z', '') AS t)
+  FROM targets WHERE t <> ''
+), named AS (
+  SELECT * REPLACE (CASE WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?):', 1) || ':' || t ELSE t END AS t),
+    regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS site,
+    coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') AS folder
+  FROM bare WHERE t <> ''
+), parts AS (
+  SELECT *, regexp_extract(t, '(?s)^([^?]*)', 1) AS own, regexp_extract(t, '(?s)^[^?]*(.*)\z', 1) AS query FROM named
 ), absolute AS (
-  SELECT node AS a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
-    WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
-    WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t
-    WHEN regexp_matches(t, '^(#|\?|[A-Za-z][A-Za-z0-9+.-]*:)') THEN NULL
-    ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') || t
+  SELECT node AS a, CASE
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://')
+    THEN regexp_extract(t, '(?s)^(.*?://[^/?]*)', 1) || {_without_dots(_path('t'))} || query
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    ELSE site || {_without_dots("(CASE WHEN own = '' THEN path WHEN starts_with(own, '/') THEN own ELSE folder || own END)")} || query
     END AS target
-  FROM targets WHERE t <> ''
+  FROM parts
 ), one_way AS (
   SELECT DISTINCT a, {_node('target')} AS b FROM absolute
 ), edges AS (

@@ -44,36 +44,72 @@ def node(url: Column) -> Column:
     return F.when(host(url) != "", F.concat(host(url), rest))
 
 
+_BLANKS = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z"
+
+# start tags with a canonical link among their relations, and refresh tags
+_CANONICAL = (
+    r"(?is)<link\b[^>]*[\s\"'/]rel\s*=\s*(?:\"(?:[^\">]*\s)?canonical(?:\s[^\">]*)?\"[^>]*"
+    r"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'[^>]*|canonical(?:[\s/][^>]*)?)>"
+)
+_REFRESH = r"(?is)<meta\b[^>]*[\s\"'/]http-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+
+
 def _attribute(tag: Column, name: str) -> Column:
-    value = F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", 0)
-    value = F.regexp_replace(value, rf"(?is)^{name}\s*=\s*[\"']?|[\"']$", "")
-    return F.replace(F.trim(value), F.lit("&amp;"), F.lit("&"))
+    pattern = rf"(?is)[\s\"'/]{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    value = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+    return F.replace(value, F.lit("&amp;"), F.lit("&"))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without its segments ``.`` and ``..`` (RFC 3986, 5.2.4)."""
+    parts = F.split(path, "/", -1)
+
+    def step(acc: Column, part: Column) -> Column:
+        up = F.regexp_replace(acc, r"/[^/]*\z", "")
+        return F.when(part == ".", acc).when(part == "..", up).otherwise(F.concat(acc, F.lit("/"), part))
 
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.lit(""), step)
+    closed = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.lit("/"))).otherwise(kept)
+    return F.when(F.contains(path, F.lit("/.")), closed).otherwise(path)
 
-def _absolute(target: Column, base: Column) -> Column:
-    scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
+
+def resolve(target: Column, base: Column) -> Column:
+    """The url that ``target`` names on a page at ``base`` (RFC 3986, 5.2), without fragment.
+
+    Null where it names the page itself (empty or a fragment only) or no resource with a host
+    (``mailto:`` and the like).
+    """
+    t = F.regexp_replace(F.regexp_replace(target, _BLANKS, ""), r"(?s)#.*\z", "")
+    t = F.when(F.startswith(t, F.lit("//")), F.concat(F.regexp_extract(base, r"(?s)^(.*?):", 1), F.lit(":"), t)).otherwise(t)
     site = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(path(base), r"(?s)^(.*/)", 1)
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    own = F.regexp_extract(t, r"(?s)^([^?]*)", 1)
+    query = F.regexp_extract(t, r"(?s)^[^?]*(.*)\z", 1)
+    merged = F.when(own == "", path(base)).when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(folder, own))
     return (
-        F.when(F.coalesce(target, F.lit("")) == "", F.lit(None))
-        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
-        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(site, target))
-        .when(target.rlike(r"^(#|\?|[A-Za-z][A-Za-z0-9+.-]*:)"), F.lit(None))
-        .otherwise(F.concat(site, folder, target))
+        F.when(F.coalesce(t, F.lit("")) == "", F.lit(None))
+        .when(
+            t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"),
+            F.concat(F.regexp_extract(t, r"(?s)^(.*?://[^/?]*)", 1), _without_dots(path(t)), query),
+        )
+        .when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .otherwise(F.concat(site, _without_dots(merged), query))
     )
 
 
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst) urls: canonical links and immediate redirects (refresh tags) of each page."""
-    page = F.coalesce(F.col(html), F.lit(""))
-    canonical = F.regexp_extract(page, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    refresh = F.regexp_extract(page, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
+    """(src, dst) urls: canonical links and immediate redirects (refresh tags) of each page.
+
+    The first of each kind outside comments counts; targets are resolved against the page's url.
+    """
+    page = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), r"(?s)<!--.*?-->", "")
+    canonical = F.regexp_extract("page", _CANONICAL, 0)
+    refresh = F.regexp_extract("page", _REFRESH, 0)
     to = F.regexp_extract(_attribute(refresh, "content"), r"(?is)^[\s\d.;,]*url\s*=\s*['\"]?([^'\"]+)", 1)
     targets = F.array(_attribute(canonical, "href"), to)
-    found = pages.select(F.col(url).alias("src"), F.explode(targets).alias("target"))
-    return found.filter("target <> ''").select("src", _absolute(F.col("target"), F.col("src")).alias("dst"))
+    found = pages.select(F.col(url).alias("src"), page.alias("page")).select("src", F.explode(targets).alias("target"))
+    return found.filter("target <> ''").select("src", resolve(F.col("target"), F.col("src")).alias("dst"))
 
 
 def judge(

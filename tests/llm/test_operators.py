@@ -590,3 +590,45 @@ def test_urls(spark):
     got = judged.select("page_id", "host", "path", "rule", "verdict").collect()
     assert Counter(map(tuple, got)) == Counter((p[0], *p[3:]) for p in pages)
     assert url_filter.judge(table.limit(0), rules, url_filter.link_edges(table.limit(0))).count() == 0
+
+
+BASE = "http://a/b/c/d;p?q"
+RESOLVED = {
+    "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g",
+    "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", "g#s": "http://a/b/c/g", "g?y#s": "http://a/b/c/g?y",
+    ";x": "http://a/b/c/;x", "g;x=1/./y": "http://a/b/c/g;x=1/y", "g;x=1/../y": "http://a/b/c/y",
+    ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../": "http://a/b/", "../g": "http://a/b/g",
+    "../..": "http://a/", "../../g": "http://a/g", "../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g",
+    "g.": "http://a/b/c/g.", "..g": "http://a/b/c/..g", "./../g": "http://a/b/g", "./g/.": "http://a/b/c/g/",
+    "g?y/./x": "http://a/b/c/g?y/./x", "g#s/../x": "http://a/b/c/g", "#s": None, "": None, "mailto:x@y": None,
+    " \n g\t": "http://a/b/c/g", "https://e.org/x/../y?z": "https://e.org/y?z", "https://e.org": "https://e.org",
+}
+
+
+def test_targets_of_links_are_resolved(spark):
+    """The examples of RFC 3986, 5.4, and a few of our own."""
+    rows = spark.createDataFrame([(t,) for t in RESOLVED], "t string")
+    got = rows.select("t", url_filter.resolve(F.col("t"), F.lit(BASE)).alias("u")).collect()
+    assert {r.t: r.u for r in got} == RESOLVED
+    assert rows.select(url_filter.resolve(F.lit("?p=2"), F.lit("http://a.com")).alias("u")).first().u == "http://a.com?p=2"
+
+
+def test_link_tags_of_a_page(spark):
+    pages = [
+        ("<!-- <link rel=canonical href=/no> --><link rel=canonical href=/yes>", ["/yes"]),
+        ('<link data-href="/no" href="/yes" rel="canonical">', ["/yes"]),
+        ('<LINK REL="nofollow canonical" HREF=\'?p=1&amp;q=2\'/>', ["?p=1&q=2"]),
+        ('<link rel="canonical-like" href="/no"><link data-rel="canonical" href="/no">', []),
+        ('<link rel=canonical href="/a"><meta http-equiv=refresh content="0;URL=\'../b\'">', ["/a", "/b"]),
+        ("", []),
+        (None, []),
+    ]
+    site = "http://h.com"
+    table = spark.createDataFrame([(f"{site}/{i}/", h) for i, (h, _) in enumerate(pages)], "url string, html string")
+    got = {(r.src, r.dst) for r in url_filter.link_edges(table).collect()}
+    want = {
+        (f"{site}/{i}/", f"{site}/{i}/{t}" if t.startswith("?") else f"{site}{t}")
+        for i, (_, targets) in enumerate(pages)
+        for t in targets
+    }
+    assert got == want

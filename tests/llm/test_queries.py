@@ -51,11 +51,17 @@ def test_url_query_with_links(spark, tmp_path):
         (8, None, link.format("http://b.net/y")),
         (9, "mailto:x", None),
         (10, "https://f.com/2", link.format("mailto:x")),
+        (11, "https://g.com/2", link.format("http://example.com/en/../de/x")),
+        (12, "http://example.com/a/b", link.format("./.././de/y")),
+        (13, "http://example.com/a/c", "<!--" + link.format("/de/z") + "-->"),
+        (14, "http://example.com?a", link.format("?p=2")),
+        (15, "https://h.com/", link.format("http://example.com?p=2") + link.format("/de/")),
     ]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     same(spark, "op10_url_filter", tmp_path)
     verdicts = {r.page_id: r.verdict for r in QUERIES["op10_url_filter"](spark, str(tmp_path)).collect()}
     assert [verdicts[i] for i in range(1, 11)] == ["block", "block", "allow", "allow", "block", "block", "allow", "allow", "allow", "allow"]
+    assert [verdicts[i] for i in range(11, 16)] == ["block", "block", "allow", "allow", "allow"]
 
 
 def test_all_are_registered():
