@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodtide.sources import split_csv
+
 # Cell contents that mean "missing" in a CSV.
 NA_VALUES = (
     "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -25,11 +27,14 @@ def read_csv(
     *,
     na_values: Sequence[str] = NA_VALUES,
     multi_line: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """CSV with header; every column is a string, missing-value words become NULL.
 
     Quoted texts may hold line breaks, for which Spark reads each file in one task. For large
-    files without line breaks in quotes, ``multi_line=False`` lets them be split.
+    files without line breaks in quotes, ``multi_line=False`` lets them be split. ``split`` reads
+    large files with line breaks in many tasks too, at the price of a second pass and a shuffle; it
+    refuses quotes in fields that are not quoted.
     """
     df = (
         spark.read.option("header", True)
@@ -38,6 +43,8 @@ def read_csv(
         .option("escape", '"')
         .csv(path if isinstance(path, str) else list(path))
     )
+    if split and multi_line and df.columns:
+        df = split_csv.read(spark, [path] if isinstance(path, str) else list(path), df.columns)
     if not na_values:
         return df
     words = list(na_values)

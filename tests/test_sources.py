@@ -151,3 +151,55 @@ def test_prepare_market(spark):
     assert [(r.date, r.ret) for r in prepare.prepare_market(df).collect()] == [(date(2024, 1, 2), 0.5)]
     with pytest.raises(ValueError, match="lacks columns"):
         prepare.prepare_market(df, ret_col="gain")
+
+
+CELLS = [
+    "plain", "", "two\nlines", '"', '""', 'says "hi", twice', "\n", "\n\n,\n", ',"\n"', "a,b", "  padded  ", "x\r\ny",
+    "long " + "word\n" * 40, "é\nü", '"\n"\n"', "1,\n\"2\",3",
+]
+
+
+@pytest.mark.parametrize("block", ["7b", "64b", "1000b", "128m"])
+def test_split_csv_finds_every_record(spark, tmp_path, block):
+    import csv
+    import random
+    from collections import Counter
+
+    shuffled = random.Random(5)
+    rows = {}
+    for name, end in (("a", "\n"), ("b", "\r\n")):
+        rows[name] = [(str(i), shuffled.choice(CELLS), shuffled.choice(CELLS)) for i in range(60)]
+        with open(tmp_path / f"{name}.csv", "w", newline="") as f:
+            out = csv.writer(f, lineterminator=end)
+            out.writerow(["id", "first col", "x.y"])
+            for i, row in enumerate(rows[name]):
+                out.writerow(row)
+                if i % 20 == 9:
+                    f.write(end)
+    settings = {"spark.sql.files.maxPartitionBytes": block, "spark.sql.files.openCostInBytes": "0"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for names in ("ab", "a", "b"):
+            paths = [str(tmp_path / f"{n}.csv") for n in names]
+            split = files.read_csv(spark, paths, split=True)
+            assert split.columns == ["id", "first col", "x.y"]
+            want = Counter(tuple(c or None for c in r) for n in names for r in rows[n])
+            assert Counter(map(tuple, split.collect())) == want
+            if names == "a":
+                assert Counter(map(tuple, files.read_csv(spark, paths).collect())) == want
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
+def test_split_csv_refuses_what_it_cannot_split(spark, tmp_path):
+    bare, unclosed, only = tmp_path / "bare.csv", tmp_path / "unclosed.csv", tmp_path / "only.csv"
+    bare.write_text('id,t\n1,5" screen and 6" screen\n')
+    unclosed.write_text('id,t\n1,"never\nclosed\n')
+    only.write_text("id,t\n")
+    with pytest.raises(Exception, match="unquoted field"):
+        files.read_csv(spark, str(bare), split=True).collect()
+    with pytest.raises(Exception, match="never closed"):
+        files.read_csv(spark, str(unclosed), split=True).collect()
+    assert files.read_csv(spark, str(only), split=True).collect() == []

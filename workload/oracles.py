@@ -172,6 +172,7 @@ def register(name: str, sql: str) -> None:
 # -- sources ----------------------------------------------------------------------------
 
 register("reviews_csv", f"WITH {A_REVIEWS} SELECT review_id, date, ticker, md5(review_text) AS text_md5 FROM reviews")
+register("reviews_csv_split", f"WITH {A_REVIEWS} SELECT review_id, date, ticker, md5(review_text) AS text_md5 FROM reviews")
 register("market_csv", f"WITH {A_MARKET} SELECT date, ticker, {r('ret')} FROM market")
 register("demo_pair", f"""
 WITH {A_REVIEWS}, {A_MARKET},

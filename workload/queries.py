@@ -58,6 +58,20 @@ def reviews_csv(spark, d):
     )
 
 
+@query
+def reviews_csv_split(spark, d):
+    """The same by the reader that splits files at any line, within quotes or not."""
+    path = _scratch(spark, "reviews")
+    files.write_csv(X.text_reviews(spark, d), path)
+    back = prepare.prepare_reviews(files.read_reviews(spark, path, split=True))
+    return back.select(
+        F.col("review_id").cast("long").alias("review_id"),
+        "date",
+        "ticker",
+        F.md5("review_text").alias("text_md5"),
+    )
+
+
 @query
 def market_csv(spark, d):
     path = _scratch(spark, "market")
