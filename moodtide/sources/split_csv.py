@@ -61,7 +61,9 @@ def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     ).withColumn("head", (F.col("start") == 0) & (F.col("filled") <= 1) & ~F.col("within"))
 
     blank = F.replace("line", F.lit("\r"), F.lit("")) == ""
-    whole = stated.filter(~F.col("within") & ~F.col("odd") & ~blank).select("file", "head", F.col("line").alias("record"))
+    single = ~F.col("within") & ~F.col("odd") & ~blank
+    # no text under another condition: a later filter, moved down here, may look at rows that this one drops
+    whole = stated.filter(single).select("file", "head", F.when(single, F.col("line")).alias("record"))
 
     pieces = (
         stated.filter(F.col("within") | F.col("odd"))
@@ -82,7 +84,8 @@ def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         .groupBy("file", "number")
         .agg(F.max("head").alias("head"), _joined(F.struct("start", "piece"), "record").alias("record"))
     )
-    out = whole.unionByName(pieces.filter(closed).select("file", "head", "record"))
+    inner = pieces.filter(closed).select("file", "head", F.when(closed, F.col("record")).alias("record"))
+    out = whole.unionByName(inner)
     return out.unionByName(over.select("file", "head", "record"))
 
 
