@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import IntegralType, LongType
 from pyspark.sql.window import Window
 
 from moodtide.llm.common import written
@@ -50,8 +50,21 @@ def _curve(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     return pd.Series(hilbert_index(points, BITS))
 
 
-def _category(c: Column) -> Column:
-    return (F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % (1 << BITS)).cast("long")
+def _starts(docs: DataFrame, column: str) -> list:
+    """Least values of up to 2**BITS runs of distinct values, in their order; one row a run reaches the driver."""
+    values = docs.select(F.col(column).alias("v")).filter("v IS NOT NULL").distinct()
+    runs = values.repartitionByRange(1 << BITS, "v").groupBy(F.spark_partition_id().alias("run")).agg(F.min("v").alias("v"))
+    return sorted(r["v"] for r in runs.collect())
+
+
+def _category(c: Column, starts: list) -> Column:
+    """Cell of the run that a value lies in, runs being spread over all cells; null lies in the first."""
+    first = F.lit(0).cast("long")
+    out = None
+    for i in range(len(starts) - 1, 0, -1):
+        at = F.lit(i * (1 << BITS) // len(starts)).cast("long")
+        out = F.when(c >= F.lit(starts[i]), at) if out is None else out.when(c >= F.lit(starts[i]), at)
+    return first if out is None else out.otherwise(first)
 
 
 def _scale(c: Column, low, high) -> Column:
@@ -76,13 +89,14 @@ def plan(
 
     ``whole_rows`` adds ``row``, a struct of all columns of ``docs``.
 
-    Dimensions: language, source (hashed to cells), size (half powers of two) and id (linear between
-    the smallest and largest). Rows of one cell go by id, checksum and size, so a hot source or a
+    Dimensions: language and source (distinct values in their order, cut into runs, so that bounds per
+    shard are narrow), size (half powers of two) and id (linear between the smallest and largest;
+    ids that are no whole numbers are cut like sources). Rows of one cell go by id, checksum and size, so a hot source or a
     repeated text spreads over tasks and shards, and counts of shards differ by one at most. Sorted
     rows, without texts, are written to the shared folder; ranks come from counts per partition.
 
     Null texts have size 16 and the checksum of no bytes; null ids, languages and sources lie in
-    the first cell or that of the empty text; rows that repeat get a slot each; no rows, no shards.
+    the first cell; rows that repeat get a slot each; no rows, no shards.
     """
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 16
     rows = docs.select(
@@ -94,15 +108,19 @@ def plan(
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []),
     )
     row = ["row"] if whole_rows else []
-    low, high = docs.agg(F.min(doc_id), F.max(doc_id)).first()
+    if isinstance(docs.schema[doc_id].dataType, IntegralType):
+        low, high = docs.agg(F.min(doc_id), F.max(doc_id)).first()
+        id_cell = _scale(F.col("doc_id"), low, high)
+    else:
+        id_cell = _category(F.col("doc_id"), _starts(docs, doc_id))
+    lang_cell = _category(F.col("lang"), _starts(docs, lang))
+    source_cell = _category(F.col("source"), _starts(docs, source))
     half_powers = F.least(F.lit((1 << BITS) - 1), F.floor(2 * F.log2("size"))).cast("long")
     placed = rows.select(
         "doc_id",
         "size",
         "text_crc32",
-        _curve(
-            _category(F.col("lang")), _category(F.col("source")), half_powers, _scale(F.col("doc_id"), low, high)
-        ).alias("curve"),
+        _curve(lang_cell, source_cell, half_powers, id_cell).alias("curve"),
         *row,
     )
     order = ["curve", "doc_id", "text_crc32", "size"]

@@ -253,6 +253,23 @@ def test_sharding(docs, rows, empty):
     assert len(few) == 3 and all(0 <= r.shard < 40 and r.slot == 0 for r in few)
 
 
+def test_shards_follow_the_curve_and_leave_out_files(spark):
+    rows = [(i, "x" * (i * 37 % 500), f"l{i % 4}", f"s{i * 7 % 12:02d}") for i in range(1200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    placed = sharding.plan(table, 40)
+    order = sorted((r.curve, r.doc_id, r.text_crc32, r["size"], r.shard, r.slot) for r in placed.collect())
+    assert [o[4:] for o in order] == sorted(o[4:] for o in order)
+    bounds = sharding.shard_bounds(table, placed, ["doc_id", "lang", "source"]).collect()
+    cases = {"doc_id": [5, 600, 1190], "lang": ["l0", "l3"], "source": ["s00", "s06", "s11"]}
+    for column, values in cases.items():
+        for v in values:
+            read = sum(b[f"min_{column}"] <= v <= b[f"max_{column}"] for b in bounds)
+            assert 0 < read <= 30, (column, v, read)
+    words = table.withColumn("doc_id", F.concat(F.lit("id"), "doc_id"))
+    got = sharding.plan(words, 40).collect()
+    assert {r.doc_id for r in got} == {f"id{i}" for i in range(1200)} and len(got) == 1200
+
+
 @pytest.mark.parametrize(("bits", "dims"), [(3, 2), (3, 3), (2, 4)])
 def test_hilbert_curve_visits_every_cell_by_unit_steps(bits, dims):
     cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
