@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from moodtide.operators import score_store
 from moodtide.operators import scoring as N
 
 LEXICON = [
@@ -98,3 +99,55 @@ def test_model_hook_batches_and_raises(spark):
 
     with pytest.raises(Exception, match="no weights here"):
         N.model_scorer(broken)(df, "s").collect()
+
+
+def test_store_of_scores_calls_the_model_for_new_texts_only(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    def factory():
+        import uuid
+
+        def model(texts):
+            (seen / uuid.uuid4().hex).write_text("\n".join(texts))
+            return [float("nan") if t == "odd" else len(t) / 20 for t in texts]
+
+        return model
+
+    def called():
+        texts = sorted(t for f in seen.iterdir() for t in f.read_text().split("\n"))
+        for f in seen.iterdir():
+            f.write_text("")
+        return [t for t in texts if t]
+
+    def table(texts):
+        return spark.createDataFrame(list(enumerate(texts)), "review_id long, review_text string")
+
+    model = N.model_scorer(factory)
+    first = ["a", "bb", "a", None, "odd"] + ["bb"] * 50
+    got = N.score_reviews(table(first), N.column_scorer(F.lit(0.0)), score_store.filling_scorer(model, path, "1"))
+    want = {"a": 0.05, "bb": 0.1, "ccc": 0.15, "": 0.0}
+    assert [r.score_b for r in got.orderBy("review_id").collect()] == [want.get(t) for t in first]
+    assert called() == ["a", "bb", "odd"]
+
+    grown = first + ["ccc", "a", "", "ccc"]
+    got = score_store.filling_scorer(model, path, "2")(table(grown), "s").orderBy("review_id").collect()
+    assert [r.s for r in got] == [want.get(t) for t in grown]
+    assert called() == ["ccc"]
+    runs = {(r.run, r["count"]) for r in score_store.stored(spark, path).groupBy("run").count().collect()}
+    assert runs == {("1", 3), ("2", 2)}
+
+    # a run that overlapped with another adds rows twice; a text keeps one
+    spark.read.parquet(path).withColumn("run", F.lit("3")).write.mode("append").parquet(path)
+    assert score_store.stored_scorer(path)(table(grown), "s").count() == len(grown)
+    assert score_store.stored(spark, path).count() == 5
+
+    def broken():
+        raise RuntimeError("no weights here")
+
+    with pytest.raises(Exception, match="no weights here"):
+        score_store.fill(table(["new"]), N.model_scorer(broken), path, "4")
+    assert score_store.stored(spark, path).count() == 5
+    empty = score_store.stored_scorer(str(tmp_path / "none"))(table(["a"]), "s")
+    assert [r.s for r in empty.collect()] == [None]

@@ -295,6 +295,18 @@ WITH {scored()}
 SELECT review_id, {r('score_a')},
   {r("least(1.0::DOUBLE, 20.0::DOUBLE * (length(review_text) - length(replace(review_text, '!', ''))) / greatest(1, length(review_text))) * 2 - 1", "score_b")}
 FROM scored""")
+register("model_score_stored", f"""
+WITH {scored()}
+SELECT review_id, {r('score_a')},
+  {r("least(1.0::DOUBLE, 20.0::DOUBLE * (length(review_text) - length(replace(review_text, '!', ''))) / greatest(1, length(review_text))) * 2 - 1", "score_b")}
+FROM scored""")
+register("score_store_runs", """
+WITH firsts AS (SELECT t, min(run) AS run FROM (
+    SELECT text AS t, '1 documents' AS run FROM documents UNION ALL SELECT text, '2 with turns' FROM conversations)
+  WHERE t IS NOT NULL GROUP BY t)
+SELECT run, count(*) AS n_texts, round(avg(
+  least(1.0::DOUBLE, 20.0::DOUBLE * (length(t) - length(replace(t, '!', ''))) / greatest(1, length(t))) * 2 - 1), 9) AS mean_score
+FROM firsts GROUP BY run""")
 register("second_scorer_off", f"""
 WITH {scored()} SELECT ticker, count(*) AS n, 0::BIGINT AS n_b, {r('avg(score_a)', 'mean_a')} FROM scored GROUP BY ticker""")
 

@@ -12,6 +12,7 @@ from moodtide.functions import dates, numeric, text
 from moodtide.operators import mining as M
 from moodtide.operators import panel as P
 from moodtide.operators import reviews as R
+from moodtide.operators import score_store
 from moodtide.operators import scoring as N
 from moodtide.operators import stats as S
 from moodtide.operators.topics import nmf_topics
@@ -272,6 +273,28 @@ def model_score(spark, d):
     return scored.select("review_id", "score_a", "score_b")
 
 
+@query
+def model_score_stored(spark, d):
+    """The same by a store of scores, so that the model sees each text once."""
+    model = score_store.filling_scorer(N.model_scorer(_toy_model), _scratch(spark, "scores"), "first")
+    scored = N.score_reviews(X.text_reviews(spark, d), N.lexicon_scorer(X.lexicon(spark, 0)), model)
+    return scored.select("review_id", "score_a", "score_b")
+
+
+@query
+def score_store_runs(spark, d):
+    """Texts that each of two runs scores: documents, then documents and turns of conversations."""
+    path = _scratch(spark, "scores")
+    model = N.model_scorer(_toy_model)
+    documents = X.text_reviews(spark, d).select("review_text")
+    turns = X.table(spark, d, "conversations").select(F.col("text").alias("review_text"))
+    score_store.fill(documents, model, path, "1 documents")
+    score_store.fill(documents.unionByName(turns), model, path, "2 with turns")
+    return score_store.stored(spark, path).groupBy("run").agg(
+        F.count(F.lit(1)).alias("n_texts"), F.round(F.avg("score"), 9).alias("mean_score")
+    )
+
+
 @query
 def second_scorer_off(spark, d):
     """One scorer only: the second column exists and is NULL, the queue is empty."""
