@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from moodtide.operators.scoring import Scorer
 
+# Texts cross to a Python model in batches of so many rows, which bounds the buffers on both sides.
+BATCH_ROWS = 1000
+
 _SCHEMA = "digest binary, score double, run string"
 
 
@@ -46,7 +49,13 @@ def fill(texts: DataFrame, scorer: Scorer, path: str, run: str, *, text_col: str
     new = named.join(stored(spark, path).select("digest"), "digest", "left_anti")
     distinct = new.groupBy("digest").agg(F.first(text_col).alias(text_col))
     scored = scorer(distinct, "score").select("digest", "score", F.lit(run).alias("run"))
-    scored.write.mode("append").parquet(path)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
+    try:
+        scored.write.mode("append").parquet(path)
+    finally:
+        spark.conf.set(rows, before)
 
 
 def stored_scorer(path: str, *, text_col: str = "review_text") -> Scorer:
