@@ -46,9 +46,9 @@ def fill(texts: DataFrame, scorer: Scorer, path: str, run: str, *, text_col: str
     """
     spark = texts.sparkSession
     named = texts.select(F.col(text_col)).filter(F.col(text_col).isNotNull()).withColumn("digest", _digest(F.col(text_col)))
-    new = named.join(stored(spark, path).select("digest"), "digest", "left_anti")
-    distinct = new.groupBy("digest").agg(F.first(text_col).alias(text_col))
-    scored = scorer(distinct, "score").select("digest", "score", F.lit(run).alias("run"))
+    distinct = named.groupBy("digest").agg(F.first(text_col).alias(text_col))
+    new = distinct.join(stored(spark, path).select("digest"), "digest", "left_anti")
+    scored = scorer(new, "score").select("digest", "score", F.lit(run).alias("run"))
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(rows)
     spark.conf.set(rows, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
