@@ -39,6 +39,13 @@ def test_texts_are_weighed_with_one_scan_and_one_shuffle_of_words(spark):
     assert text.count("regexp_extract_all(lower(") == 1 and "partial_sum" in text
 
 
+def test_pairs_of_text_and_term_are_counted_in_the_text_and_not_sorted_by_term(spark):
+    text = plan(M.term_weights(X.text_reviews(spark, SF)))
+    # the vocabulary, the pairs by term, the weighted pairs by text
+    assert text.count("Exchange hashpartitioning(") == 3 and "hashpartitioning(__id" not in text
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" in text
+
+
 def test_top_k_texts_are_digested_after_the_join(spark):
     scores = R.score_table(X.text_scored(spark, SF)).persist()
     text = plan(R.top_disagreement(scores, 5, texts=X.text_reviews(spark, SF)))
