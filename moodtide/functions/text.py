@@ -6,7 +6,7 @@ import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,13 +64,20 @@ def bigrams(words: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+# Texts that a worker holds as Python strings at a time; the rest of a batch stays in its Arrow buffers.
+_NFKC_ROWS = 128
+
+
+def _nfkc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for at in range(0, len(batch), _NFKC_ROWS):
+            texts = batch.slice(at, _NFKC_ROWS).to_pylist()
+            yield pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in texts], pa.string())
+
+
 @cache
 def _nfkc_udf():
-    def normalise(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
-
-    return F.pandas_udf(normalise, T.StringType())
+    return F.arrow_udf(_nfkc, T.StringType())
 
 
 def text_key(

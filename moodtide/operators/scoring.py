@@ -78,12 +78,12 @@ class _Lookup:
         self.table = F.from_json(F.lit(json.dumps(slots)), _SLOT)
 
     def _slots(self, words: list[str], spark: SparkSession) -> list[int]:
-        """The hash is Spark's own, so that both sides agree."""
+        """The hash is Spark's own, so that both sides agree; the words get there without Python workers."""
         if not words:
             return []
-        frame = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
-        rows = frame.select("i", F.pmod(F.xxhash64("w"), F.lit(self.n)).alias("slot")).collect()
-        return [r["slot"] for r in sorted(rows, key=lambda r: r["i"])]
+        listed = F.from_json(F.lit(json.dumps(words)), "array<string>")
+        slots = F.transform(listed, lambda w: F.pmod(F.xxhash64(w), F.lit(self.n)))
+        return spark.range(1).select(slots.alias("slots")).first()["slots"]
 
     def of(self, word: Column) -> Column:
         return F.get(self.table, F.pmod(F.xxhash64(word), F.lit(self.n)).cast("int"))[word]

@@ -63,6 +63,13 @@ def test_scoring_stays_in_the_jvm_and_reads_two_columns(spark):
     assert text.count("regexp_extract_all(lower(") == 1 and "partial_avg" in text
 
 
+def test_verdicts_and_lexicons_need_no_python_workers(spark):
+    assert "Python" not in plan(QUERIES["verdict_facts"](spark, SF))
+    text = plan(QUERIES["verdict_facts_text"](spark, SF))
+    assert "erfc" not in text and text.count("ArrowEvalPython") == text.count("ArrowEvalPython [_nfkc")  # keys of texts
+    assert "ExistingRDD" not in plan(X.lexicon(spark, 0))  # rows of a Python list
+
+
 def test_queue_is_a_top_k_without_full_sort(spark):
     text = plan(R.disagreement_queue(X.text_scored(spark, SF)))
     assert text.count("TakeOrderedAndProject") == 2 and "partial_min" in text
